@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,7 +57,11 @@ def update_star(
     order = ["companies", "categories", "locations", "jobs", "jobstats"]
     for name in order:
         def apply(batch: DataFrame, name=name) -> None:
-            load_star(spark, {name: batch}, tables, key_mode, buckets)
+            load_star(batch.sparkSession, {name: batch}, tables, key_mode, buckets)
 
         folder = f"{landing.rstrip('/')}/processed/{name}"
-        apply_new_files(spark, folder, FRAMES[name], apply, f"{checkpoint.rstrip('/')}/{name}")
+        try:
+            apply_new_files(spark, folder, FRAMES[name], apply, f"{checkpoint.rstrip('/')}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # this frame has never been landed
+                raise
