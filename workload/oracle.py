@@ -76,14 +76,16 @@ cte("companies_known", "", """
 cte("categories", "", """
   SELECT DISTINCT p_type AS category_label, md5(p_type) AS category_id FROM part""")
 cte("places", "", f"""
-  SELECT DISTINCT {CITY} AS city, r_name AS state, country
-  FROM nation JOIN region ON n_regionkey = r_regionkey, (VALUES ('US'), ('CA')) AS c(country)""")
+  SELECT DISTINCT {CITY} AS city, r_name AS state,
+    CASE WHEN c_acctbal < 5000 THEN 'CA' ELSE 'US' END AS country
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 cte("locations", "places", """
   SELECT *, md5(concat_ws('|', coalesce(city, ''), state, country)) AS location_id FROM places""")
 cte("locations_known", "", """
-  SELECT CASE n_nationkey % 5 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE n_name END AS city,
+  SELECT DISTINCT CASE n_nationkey % 5 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE n_name END AS city,
     r_name AS state, 'US' AS country, 'N' || n_nationkey AS location_id
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('AFRICA', 'ASIA')""")
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  WHERE r_name IN ('AFRICA', 'ASIA') AND c_acctbal >= 5000""")
 
 
 def latest(source: str) -> str:
@@ -106,8 +108,8 @@ def keyed(source: str) -> str:
     {decode('s.ingest_ts')} AS ingest_ts, c.company_id, k.category_id, l.location_id
   FROM {source} s LEFT JOIN companies c ON s.company_name = c.company_name
   LEFT JOIN categories k ON s.category_label = k.category_label
-  LEFT JOIN (SELECT * FROM locations WHERE country = 'CA') l
-    ON coalesce(s.city, '') = coalesce(l.city, '') AND coalesce(s.state, '') = coalesce(l.state, '')"""
+  LEFT JOIN (SELECT coalesce(city, '') AS city, state, arg_min(location_id, country) AS location_id
+    FROM locations GROUP BY 1, 2) l ON coalesce(s.city, '') = l.city AND coalesce(s.state, '') = l.state"""
 
 
 cte("latest_jobs", "staging_jobs", latest("staging_jobs"))

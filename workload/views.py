@@ -125,12 +125,16 @@ class Views:
     def categories_known(self) -> DataFrame:
         return self.categories().filter("category_label IN ('ECONOMY', 'PROMO')")
 
-    def locations_staging(self) -> DataFrame:
+    def _customer_places(self) -> DataFrame:
         places = self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        return places.select(
+        return self.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+
+    def locations_staging(self) -> DataFrame:
+        """Place of every customer; the same city and state may lie in two countries."""
+        return self._customer_places().select(
             city().alias("city"), F.col("r_name").alias("state"),
-            F.explode(F.array(F.lit("US"), F.lit("CA"))).alias("country"))
+            F.when(F.col("c_acctbal") < 5000, "CA").otherwise("US").alias("country"))
 
     def locations(self) -> DataFrame:
         key = F.concat_ws("|", F.coalesce("city", F.lit("")), "state", "country")
@@ -138,14 +142,12 @@ class Views:
 
     def locations_known(self) -> DataFrame:
         """Two regions, with a blank city in the other spelling than in staging."""
-        known = self.table("nation").join(
-            self.table("region").filter("r_name IN ('AFRICA', 'ASIA')"),
-            F.col("n_regionkey") == F.col("r_regionkey"))
+        known = self._customer_places().filter("r_name IN ('AFRICA', 'ASIA') AND c_acctbal >= 5000")
         return known.select(
             F.when(F.col("n_nationkey") % 5 == 0, "").when(F.col("n_nationkey") % 5 == 1, None)
             .otherwise(F.col("n_name")).alias("city"),
             F.col("r_name").alias("state"), F.lit("US").alias("country"),
-            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("location_id"))
+            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("location_id")).distinct()
 
     def jobs_known(self) -> DataFrame:
         """Jobs table as it was at the cut-off date."""
