@@ -14,16 +14,18 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_BREAK = "\u0001"
-# Any white space but one plain space separates words that are not neighbours.
-_WIDE_SPACE = r"[\s\x0B\p{Z}]{2,}|[\t\n\x0B\f\r]|[^\P{Z} ]"
-_TOKEN = r"c\+\+|[\p{L}\p{M}\p{N}_]+(?:\.[\p{L}\p{M}\p{N}_]+)*|[^\s\p{Z}\p{L}\p{M}\p{N}_]"
+_TAKEN = "\u0001"
+_WORD = r"[\p{L}\p{M}\p{N}_]"
+_TOKEN = rf"c\+\+|{_WORD}+(?:\.{_WORD}+)*|[\s\x0B\p{{Z}}]{{2,}}|[^ \p{{L}}\p{{M}}\p{{N}}_]"
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case tokens: words (dots inside a word stay), ``c++``, and single punctuation marks."""
-    spaced = F.regexp_replace(F.lower(text), _WIDE_SPACE, _BREAK)
-    return F.regexp_extract_all(spaced, F.lit(_TOKEN), F.lit(0))
+    """Lower-case tokens: words (dots inside a word stay), ``c++``, and single punctuation marks.
+
+    White space other than one plain space is a token too: words on two sides
+    of a line break or of a wide gap are not neighbours.
+    """
+    return F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
 
 
 def read_dictionary(
@@ -83,16 +85,18 @@ def tag_phrases(
     """
     spelling = _spellings(df.sparkSession, phrases, tokenize_dictionary)
     rest, found = "_rest", []
-    tagged = df.withColumn(rest, F.array_join(tokens(F.col(text)), " "))
+    joined = F.concat(F.lit(" "), F.array_join(tokens(F.col(text)), " "), F.lit(" "))
+    tagged = df.withColumn(rest, joined)
     for length, forms in _by_length(spelling).items():
         if length == 1:
             singles = F.array(*[F.lit(f) for f in forms])
             found.append(F.array_intersect(F.split(F.col(rest), " "), singles))
             continue
-        pattern = f"(?<![^ ])(?:{'|'.join(re.escape(f) for f in forms)})(?![^ ])"
+        pattern = f" ({'|'.join(re.escape(f) for f in forms)})(?= )"
         hits = f"_hits{length}"
-        tagged = tagged.withColumn(hits, F.regexp_extract_all(F.col(rest), F.lit(pattern), F.lit(0)))
-        tagged = tagged.withColumn(rest, F.regexp_replace(F.col(rest), pattern, _BREAK))
+        tagged = tagged.withColumn(hits, F.regexp_extract_all(F.col(rest), F.lit(pattern), F.lit(1)))
+        without = F.regexp_replace(F.col(rest), pattern, f" {_TAKEN}")
+        tagged = tagged.withColumn(rest, F.when(F.size(hits) > 0, without).otherwise(F.col(rest)))
         found.append(F.col(hits))
     items = F.array_distinct(F.concat(*found)) if found else F.array().cast("array<string>")
     respelt = {form: phrase for form, phrase in spelling.items() if form != phrase}
@@ -114,19 +118,27 @@ def phrase_hits(
     are turned into rows.
     """
     spelling = _spellings(df.sparkSession, phrases, tokenize_dictionary)
+    openers = sorted({form.split(" ")[0] for form in spelling})
     words = df.select(key, tokens(F.col(text)).alias("_words"))
+    # Only positions whose word opens some phrase are looked at further.
+    placed = F.transform("_words", lambda w, i: F.struct(w.alias("word"), i.alias("start")))
+    starts = F.filter(placed, lambda s: s["word"].isin(openers))
+    words = words.withColumn("_starts", F.transform(starts, lambda s: s["start"]))
     parts = []
     for length, forms in _by_length(spelling).items():
-        parts.append(F.filter(_ngrams(F.col("_words"), length), lambda g: g["phrase"].isin(forms)))
+        grams = F.transform("_starts", _gram(F.col("_words"), length))
+        parts.append(F.filter(grams, lambda g: g["phrase"].isin(forms)))
     return words.select(key, F.inline(F.concat(*parts)))
 
 
-def _ngrams(words: Column, length: int) -> Column:
+def _gram(words: Column, length: int):
     def gram(start: Column) -> Column:
-        joined = F.array_join(F.slice(words, start + 1, F.lit(length)), " ")
+        if length == 1:
+            phrase = F.get(words, start)
+        else:
+            phrase = F.array_join(F.slice(words, start + 1, F.lit(length)), " ")
         return F.struct(
-            start.alias("start"), F.lit(length).alias("n_words"), joined.alias("phrase")
+            start.alias("start"), F.lit(length).alias("n_words"), phrase.alias("phrase")
         )
 
-    starts = F.when(F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - length))
-    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), gram)
+    return gram

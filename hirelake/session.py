@@ -51,3 +51,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share the rows of a scan out to all cores if it has fewer splits than there are cores.
+
+    For work that is heavy per row on small files. A scan of a large table has
+    more splits than cores and is left as it is. ``df`` must be a plain scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

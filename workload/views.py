@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hirelake.session import spread
+
 CUTOFF = "1998-05-01"
 
 
@@ -21,6 +23,10 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def texts(self) -> DataFrame:
+        """Documents; the work on them is heavy per row."""
+        return spread(self.table("documents"))
+
     # --- postings -----------------------------------------------------------
 
     def _lines(self) -> DataFrame:
@@ -256,7 +262,7 @@ class Views:
             F.when(F.col("lang") == "en", " 5+ years ").when(F.col("lang") == "de", " 3-4 yrs")
             .otherwise("")
         )
-        return self.table("documents").select(
+        return self.texts().select(
             F.col("doc_id").cast("string").alias("job_id"),
             F.when(F.col("lang") != "de", F.col("source")).alias("title"),
             F.concat("text", years).alias("description"),
@@ -265,7 +271,7 @@ class Views:
             F.col("n_chars").alias("n_chars"))
 
     def documents(self) -> DataFrame:
-        return self.table("documents").withColumn("job_id", F.col("doc_id").cast("string"))
+        return self.texts().withColumn("job_id", F.col("doc_id").cast("string"))
 
     def experience_texts(self) -> DataFrame:
         kind = F.col("event_type")
@@ -303,7 +309,7 @@ class Views:
 
     def members(self) -> DataFrame:
         """Documents as clustered jobs: cluster by length, id 9 empty; salaries partly unknown."""
-        docs = self.table("documents").join(self.table("labels"), "doc_id", "left")
+        docs = self.texts().join(self.table("labels"), "doc_id", "left")
         return docs.select(
             F.col("doc_id").cast("string").alias("job_id"), "text",
             F.least(F.floor(F.col("n_chars") / 1000), F.lit(8)).cast("int").alias("cluster_id"),
