@@ -148,7 +148,7 @@ def sponsorship_merge(v: Views) -> DataFrame:
     status = before.select(
         "employer_name", F.nullif("is_sponsor", F.lit(False)).alias("ever_sponsored_h1b"),
         F.col("fiscal_year").alias("last_updated_fiscal_year"))
-    batch = petitions.sponsorship_batch(raw.filter("fiscal_year > 1998"))
+    batch = stage(petitions.sponsorship_batch(raw.filter("fiscal_year > 1998")), "batch")
     return petitions.merge_sponsorship(status, batch)
 
 

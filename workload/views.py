@@ -23,9 +23,12 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table whose rows carry heavy work; its small test files hold a single row group."""
+        return spread(self.table(name))
+
     def texts(self) -> DataFrame:
-        """Documents; the work on them is heavy per row."""
-        return spread(self.table("documents"))
+        return self.spread("documents")
 
     # --- postings -----------------------------------------------------------
 
@@ -35,7 +38,7 @@ class Views:
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         suppliers = self.table("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
         return (
-            self.table("lineitem")
+            self.spread("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
             .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -111,7 +114,7 @@ class Views:
             .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit('{"results": [{"id": "x"'))
             .otherwise(page)
         )
-        return self.table("orders").select(F.col("o_orderkey").alias("page_id"), text.alias("page"))
+        return self.spread("orders").select(F.col("o_orderkey").alias("page_id"), text.alias("page"))
 
     # --- dimensions and targets --------------------------------------------
 
@@ -173,7 +176,7 @@ class Views:
         )
 
     def jobstats_staging(self) -> DataFrame:
-        return self.table("lineitem").select(
+        return self.spread("lineitem").select(
             F.col("l_orderkey").cast("string").alias("job_id"),
             F.col("l_returnflag").alias("contract_type"), F.col("l_linestatus").alias("contract_time"),
             F.weekofyear("l_shipdate").cast("string").alias("posting_week"))
@@ -217,7 +220,7 @@ class Views:
             for i, kind in enumerate(kinds) for outcome in ("approval", "denial")
         ]
         return (
-            self.table("lineitem")
+            self.spread("lineitem")
             .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .select(
                 year.alias("fiscal_year"), F.upper("s_name").alias("employer_petitioner_name"),
@@ -283,7 +286,7 @@ class Views:
             .when(kind == "purchase", F.concat(number, F.lit(" - 7 year")))
             .otherwise(F.concat(number, F.lit("years")))
         )
-        return self.table("events").select("event_id", text.alias("text"))
+        return self.spread("events").select("event_id", text.alias("text"))
 
     def responses(self) -> DataFrame:
         """Events as enrichment responses: complete, partial, with nulls, of a wrong type, broken."""
@@ -299,7 +302,7 @@ class Views:
             .when(kind == "purchase", F.concat(F.lit('[{"years_min": '), k, F.lit("}]")))
             .otherwise(F.concat(F.lit('{"years_min": '), k))
         )
-        return self.table("events").select(
+        return self.spread("events").select(
             F.col("event_id").cast("string").alias("job_id"), text.alias("response"))
 
     def vectors(self) -> DataFrame:
