@@ -50,10 +50,11 @@ def title_and_description(title: Column, description: Column) -> Column:
 
 def word_list(cleaned: Column, stop_words: list[str] = ()) -> Column:
     """Words of at least two characters of a cleaned text, without stop words."""
-    words = F.filter(F.split(cleaned, " "), lambda w: F.length(w) >= 2)
-    if stop_words:
-        words = F.filter(words, lambda w: ~w.isin(list(stop_words)))
-    return words
+    def keep(word: Column) -> Column:
+        long_enough = F.length(word) >= 2
+        return long_enough & ~word.isin(list(stop_words)) if stop_words else long_enough
+
+    return F.filter(F.split(cleaned, " "), keep)
 
 
 def is_blank(text: Column) -> Column:

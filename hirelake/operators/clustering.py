@@ -343,9 +343,9 @@ def job_clusters(members: DataFrame, model_version: Column, processed_at: Column
     )
 
 
-def samples_text(members: DataFrame, cluster: str, title: str, rank: str = "rank") -> DataFrame:
-    """JSON list of the representative titles per cluster, in rank order."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), F.col(title).alias("t"))))
-    return members.groupBy(cluster).agg(
-        F.to_json(F.transform(ordered, lambda p: p["t"])).alias("samples")
+def samples_text(nearest: DataFrame, cluster: str, title: str, n: int = 5) -> DataFrame:
+    """JSON list of the titles of the ``n`` best-ranked members per cluster, in rank order."""
+    ordered = F.array_sort(F.collect_list(F.struct("rank", F.col(title).alias("title"))))
+    return nearest.filter(F.col("rank") <= n).groupBy(cluster).agg(
+        F.to_json(F.transform(ordered, lambda p: p["title"])).alias("samples")
     )

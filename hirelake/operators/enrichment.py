@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hirelake import schemas
+from hirelake.functions.text import is_blank
 from hirelake.functions.vectors import zero_vector
+from hirelake.session import stage
 
 _BAD = "_bad_record"
 
@@ -16,6 +18,20 @@ def unprocessed(jobs: DataFrame, done: DataFrame, key: str = "job_id", done_key:
     return jobs.join(keys, key, "left_anti")
 
 
+def pending(jobs: DataFrame, done: DataFrame, key: str = "job_id", done_key: str | None = None) -> DataFrame:
+    """:func:`unprocessed` for wide jobs: the keys are compared first, the texts are fetched after.
+
+    The open keys are staged, so their real size is known. When they are few, as
+    in a daily run, Spark broadcasts them and the job texts are only filtered.
+    """
+    if done.isEmpty():
+        return jobs
+    ids = jobs.select(key).filter(F.col(key).isNotNull()).distinct()
+    open_ids = stage(unprocessed(ids, done, key, done_key), "open-keys")
+    keyless = jobs.filter(F.col(key).isNull())
+    return jobs.join(open_ids, key, "left_semi").unionByName(keyless)
+
+
 def parse_responses(responses: DataFrame, processed_at: Column) -> DataFrame:
     """Enrichment records of the valid responses; text that is no JSON object of the
     expected types gives no row, so its job is tried again in the next run.
@@ -55,6 +71,4 @@ def embedding_rows(vectors: DataFrame, model_name: str, created_at: Column) -> D
 
 def guard_blank(text: Column, vector: Column, size: int = 3072) -> Column:
     """The vector, or zeros where the text is blank."""
-    from hirelake.functions.text import is_blank
-
     return F.when(is_blank(text), zero_vector(size)).otherwise(vector)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hirelake import schemas
 from hirelake.functions.text import prompt_text
-from hirelake.operators.enrichment import embedding_rows, parse_responses, unprocessed
-from hirelake.session import stage
+from hirelake.operators.enrichment import embedding_rows, parse_responses, pending
+from hirelake.session import staged
 from hirelake.sources.landing import append
 from hirelake.sources.tables import read_or_empty, read_table
 
@@ -19,7 +19,7 @@ Responder = Callable[[DataFrame], DataFrame]
 def jobs_to_enrich(jobs: DataFrame, done: DataFrame) -> DataFrame:
     """Described jobs without a record in ``done``, with the text to enrich."""
     described = jobs.select("job_id", "title", "description").filter("description IS NOT NULL")
-    return unprocessed(described, done).select(
+    return pending(described, done).select(
         "job_id", prompt_text(F.col("title"), F.col("description")).alias("job_text")
     )
 
@@ -52,10 +52,12 @@ def enrich_jobs(
     written = {}
     for name, (schema, build) in outputs.items():
         path = f"{base}/{name}"
-        rows = stage(build(jobs_to_enrich(jobs, read_or_empty(spark, path, schema))), name)
-        written[name] = rows.count()
-        if written[name]:
-            append(rows, path, chunk)
+        todo = jobs_to_enrich(jobs, read_or_empty(spark, path, schema))
+        # Staged, so that a costly response function runs once.
+        with staged(build(todo), name) as rows:
+            written[name] = rows.count()
+            if written[name]:
+                append(rows, path, chunk)
     if not any(written.values()):
         return "No new jobs."
     return "Wrote " + ", ".join(f"{n} rows to {name}" for name, n in written.items()) + "."

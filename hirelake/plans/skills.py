@@ -8,7 +8,7 @@ from hirelake import schemas
 from hirelake.functions.tagging import tag_phrases
 from hirelake.functions.text import experience
 from hirelake.operators import marts
-from hirelake.operators.enrichment import unprocessed
+from hirelake.operators.enrichment import pending
 from hirelake.operators.upsert import insert_new
 from hirelake.sources.landing import append, replace
 from hirelake.sources.tables import merge_into, read_or_empty, read_table
@@ -65,7 +65,9 @@ def extract_skills(
     base = tables.rstrip("/")
     jobs = read_table(spark, f"{base}/jobs", schemas.JOBS)
     job_skills = read_or_empty(spark, f"{base}/job_skills", schemas.JOB_SKILLS)
-    new = unprocessed(jobs.select("job_id", "description"), job_skills, "job_id", "source_job_id")
+    new = pending(
+        jobs.select("job_id", "description").filter("description IS NOT NULL"),
+        job_skills, "job_id", "source_job_id")
     append(
         skill_rows(new, phrases, F.lit(extraction_date), model_version, tokenize_dictionary),
         f"{base}/job_skills",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of it.
 
@@ -48,9 +55,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     join strategy, and random keys are drawn once. A lost executor costs only a
     re-read, because the files outlive it.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, scratch_path(df.sparkSession, label))
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """:func:`stage` for the length of a ``with`` block; the files go at its end."""
+    spark = df.sparkSession
+    location = scratch_path(spark, label)
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    try:
+        yield _write(df, location)
+    finally:
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:

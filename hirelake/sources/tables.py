@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hirelake.functions.keys import blank
-from hirelake.session import stage
+from hirelake.session import staged
 
 BUCKET = "_bucket"
 NO_KEY = -1
@@ -61,12 +61,21 @@ def merge_into(
     bucket is about a gigabyte. Source rows with a null key match nothing, so
     they are appended to a folder of their own instead of meeting in a bucket.
     """
-    source = stage(source, "merge")
-    no_key = F.lit(False)
+    with staged(source, "merge") as increment:
+        _apply(spark, path, schema, increment, keys, merge, buckets, blank_is_null,
+               max_records_per_file)
+
+
+def _apply(
+    spark: SparkSession, path: str, schema: str, source: DataFrame, keys: list[str],
+    merge: Callable[[DataFrame, DataFrame], DataFrame], buckets: int, blank_is_null: bool,
+    max_records_per_file: int,
+) -> None:
+    bucket = _bucket(keys, buckets, blank_is_null)
     if not blank_is_null:
         for k in keys:
-            no_key = no_key | F.col(k).isNull()
-    keyed, keyless = source.filter(~no_key), source.filter(no_key)
+            bucket = F.when(F.col(k).isNull(), NO_KEY).otherwise(bucket)
+    touched = {r[0] for r in source.select(bucket.alias(BUCKET)).distinct().collect()}
 
     def write(df: DataFrame, mode: str) -> None:
         (
@@ -76,12 +85,11 @@ def merge_into(
             .partitionBy(BUCKET).parquet(path)
         )
 
-    bucket = _bucket(keys, buckets, blank_is_null)
-    touched = [r[0] for r in keyed.select(bucket.alias(BUCKET)).distinct().collect()]
-    if touched:
-        target = _read(spark, path, schema).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        merged = merge(target, keyed).withColumn(BUCKET, bucket)
+    hashed = touched - {NO_KEY}
+    if hashed:
+        target = _read(spark, path, schema).filter(F.col(BUCKET).isin(hashed)).drop(BUCKET)
+        merged = merge(target, source.filter(bucket != NO_KEY)).withColumn(BUCKET, bucket)
         write(merged.hint("rebalance", BUCKET), "overwrite")
-    if not keyless.isEmpty():
-        empty = spark.createDataFrame([], schema)
-        write(merge(empty, keyless).withColumn(BUCKET, F.lit(NO_KEY)), "append")
+    if NO_KEY in touched:
+        inserted = merge(spark.createDataFrame([], schema), source.filter(bucket == NO_KEY))
+        write(inserted.withColumn(BUCKET, F.lit(NO_KEY)), "append")
