@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hirelake import schemas
 from hirelake.functions.tagging import tag_phrases
 from hirelake.operators import enrichment, marts, matching, petitions
-from hirelake.operators.dedup import latest_per_key
+from hirelake.operators.dedup import latest_per_key, top_per_group
 from hirelake.operators.upsert import upsert
 from hirelake.session import scratch_path, stage
 
@@ -35,6 +35,12 @@ def big(spark):
 def test_newest_row_is_picked_before_the_shuffle(big):
     text = plan(latest_per_key(big, ["job_id"], "ts"))
     exchange = text.index("Exchange hashpartitioning")
+    assert "partial_min" in text[exchange:] and text.count("Exchange") == 1
+
+
+def test_best_rows_are_picked_before_the_shuffle(big):
+    text = plan(top_per_group(big, ["category_label"], [F.desc("ts")], 5))
+    exchange = text.index("Exchange hashpartitioning")
     assert "WindowGroupLimit" in text[exchange:] and text.count("Exchange") == 1
 
 

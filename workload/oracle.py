@@ -92,8 +92,8 @@ def latest(source: str) -> str:
     return f"""
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ingest_ts DESC NULLS LAST,
-      title, description, salary_min, salary_max, created NULLS LAST, redirected_url, ingest_data,
-      company_name NULLS LAST, category_label, city NULLS LAST, state) AS rn
+      title, description, salary_min, salary_max, created NULLS FIRST, redirected_url, ingest_data,
+      company_name NULLS FIRST, category_label, city NULLS FIRST, state) AS rn
     FROM {source}) WHERE rn = 1"""
 
 
