@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 
@@ -45,7 +46,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_only_seeded_models_lack_sql():
-    assert set(QUERIES) - set(SQL) == {"kmeans_vectors", "kmeans_categories"}
+    assert set(QUERIES) - set(SQL) == {"kmeans_vectors", "kmeans_categories", "hybrid_clusters"}
     assert set(SQL) <= set(QUERIES)
 
 
@@ -58,6 +59,14 @@ def test_kmeans_assigns_every_row(spark):
     assert total == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
 
 
+def test_hybrid_clusters_cover_every_document(spark):
+    found = QUERIES["hybrid_clusters"](spark, FOLDER)
+    sizes = {r.cluster_id: (r.n, r.job_count) for r in found.groupBy("cluster_id", "job_count").agg(
+        F.count("*").alias("n")).collect()}
+    assert all(n == stated for n, stated in sizes.values())
+    assert found.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+
+
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns[0] == "job_id" and frame.count() > 0

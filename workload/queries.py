@@ -371,6 +371,17 @@ def cluster_registry(v: Views) -> DataFrame:
     return registry.withColumns({c: F.round(c, 6) for c in ("avg_salary_min", "avg_salary_max")})
 
 
+def hybrid_clusters(v: Views) -> DataFrame:
+    """The whole clustering: both models, the winner's assignment with its cluster's name."""
+    jobs = v.descriptions().withColumns({
+        "title": F.coalesce("title", F.lit("untitled")), "salary_min": F.lit(None).cast("double"),
+        "salary_max": F.col("n_chars").cast("double")})
+    day = F.lit(INGEST_TIME).cast("timestamp")
+    result = cluster_plan.cluster_jobs(jobs, stop_words=STOP_WORDS, day=day, now=day)
+    names = result.registry.select("cluster_id", "cluster_name", "job_count")
+    return plain(result.job_clusters.join(names, "cluster_id"))
+
+
 def blank_vector(v: Views) -> DataFrame:
     body = F.when(F.col("lang") == "fr", F.lit(" \n ")).when(F.col("lang") != "es", F.col("text"))
     docs = v.documents().select("job_id", body.alias("text"))
@@ -456,6 +467,7 @@ QUERIES = {
     "nearest_members": nearest_members,
     "cluster_samples": cluster_samples,
     "cluster_registry": cluster_registry,
+    "hybrid_clusters": hybrid_clusters,
     "blank_vector": blank_vector,
     "stream_upsert": stream_upsert,
 }
