@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import bpe, counts, packing, token_files
+from hirelake.llm import bpe, counts, language, packing, quality, rules, token_files
 from hirelake.llm.arrow import importable
-from hirelake.session import scratch_path
+from hirelake.session import scratch_path, stage
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,29 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def _fold(folds: int) -> Column:
+    """The fold of a document, by its id alone."""
+    return F.crc32(F.col("doc_id").cast("string")) % folds
+
+
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = quality.fit(docs, _table(spark, folder, "labels").where(_fold(5) != 0))
+    scored = quality.score(docs, model, doc_id=F.col("doc_id"), held_out=_fold(5) == 0)
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op3_rules(spark: SparkSession, folder: str) -> DataFrame:
+    measured = stage(rules.measure(_table(spark, folder, "documents"), host="source"), "measures")
+    return rules.judge(measured).select("doc_id", *rules.MEASURES, "base_failed", "kept")
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    profiles = language.fit(docs.where(_fold(4) != 2))
+    return language.predict(docs, profiles, doc_id=F.col("doc_id"), held_out=_fold(4) == 2)
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = counts.prefix_counts(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
@@ -41,9 +64,55 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
+    "op3_rules": op3_rules,
     "op4_token_counts": op4_token_counts,
+    "op6_language": op6_language,
     "op9_token_files": op9_token_files,
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+#: The measures of whole texts, failed documents and shrunken host shares, with the limits of the operator.
+RULES_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+spots AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+windows AS (
+  SELECT doc_id, place, word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w || ' '
+         || lead(word, 3) OVER w || ' ' || lead(word, 4) OVER w AS phrase
+  FROM spots WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+repeats AS (
+  SELECT doc_id, place, CASE WHEN phrase IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, phrase) >= 2 THEN 1 ELSE 0 END AS twice
+  FROM windows),
+covered AS (
+  SELECT doc_id, max(twice) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS inside FROM repeats),
+repeated AS (SELECT doc_id, sum(inside) AS n_repeat_words FROM covered GROUP BY doc_id),
+measures AS (
+  SELECT doc_id, source, len(words)::BIGINT AS n_words,
+         coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM texts LEFT JOIN repeated USING (doc_id)),
+failures AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 100 * n_symbols > 50 * n_words OR 100 * n_dup_lines > 30 * n_words AS failed
+  FROM measures),
+hosts AS (SELECT source, count(*) AS n, sum(failed::INT) AS k FROM failures WHERE source IS NOT NULL GROUP BY source),
+moments AS (
+  SELECT sum(k) / sum(n) AS mean, sum(n * (k / n) * (k / n)) / sum(n) AS squares, count(*) / sum(n) AS per_document FROM hosts),
+spreads AS (SELECT mean, squares - mean * mean - mean * (1 - mean) * per_document AS spread FROM moments),
+prior AS (
+  SELECT mean, CASE WHEN spread <= 0 THEN 1e6 ELSE least(1e6, greatest(1.0, mean * (1 - mean) / spread - 1)) END AS strength FROM spreads),
+rejected AS (
+  SELECT source FROM hosts, prior
+  WHERE (k + greatest(mean, 1e-9) * strength) / (n + (greatest(mean, 1e-9) + greatest(1 - mean, 1e-9)) * strength) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM rejected)) AS kept
+FROM failures
+"""
+
+ORACLE: dict[str, str] = {"op3_rules": RULES_SQL}
