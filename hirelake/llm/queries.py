@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import bpe, counts, language, packing, quality, rules, token_files
+from hirelake.llm import bpe, counts, language, minhash, packing, quality, rules, token_files
 from hirelake.llm.arrow import importable
 from hirelake.session import scratch_path, stage
 
@@ -50,6 +50,10 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = token_files.write_token_files(
         _table(spark, folder, "documents"), scratch_path(spark, "token-files"),
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_rules": op3_rules,
     "op4_token_counts": op4_token_counts,
     "op6_language": op6_language,
+    "op7_minhash": op7_minhash,
     "op9_token_files": op9_token_files,
     "op10_packing": op10_packing,
 }
