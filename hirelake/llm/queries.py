@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import bpe, counts, language, minhash, packing, quality, rules, token_files
+from hirelake.llm import bpe, counts, embeddings, language, minhash, packing, quality, rules, token_files
 from hirelake.llm.arrow import importable
 from hirelake.session import scratch_path, stage
 
@@ -39,6 +39,10 @@ def op3_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(measured).select("doc_id", *rules.MEASURES, "base_failed", "kept")
 
 
+def op5_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     profiles = language.fit(docs.where(_fold(4) != 2))
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_rules": op3_rules,
     "op4_token_counts": op4_token_counts,
+    "op5_embeddings": op5_embeddings,
     "op6_language": op6_language,
     "op7_minhash": op7_minhash,
     "op9_token_files": op9_token_files,
