@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import bpe, counts, embeddings, language, minhash, packing, quality, rules, token_files
+from hirelake.llm import bpe, counts, embeddings, language, minhash, packing, quality, rules, token_files, urls
 from hirelake.llm.arrow import importable
 from hirelake.session import scratch_path, stage
 
@@ -58,6 +58,20 @@ def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+#: The rules of the query, as they are to be.
+URL_RULES = [
+    urls.Rule(urls.ALLOW, "org/"),
+    urls.Rule(urls.BLOCK, "example.org/es/"),
+    urls.Rule(urls.BLOCK, "example.org/en/1"),
+    urls.Rule(urls.ALLOW, "com/fr/"),
+    urls.Rule(urls.BLOCK, "com/de/"),
+]
+
+
+def op8_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, folder, "pages"), URL_RULES)
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = token_files.write_token_files(
         _table(spark, folder, "documents"), scratch_path(spark, "token-files"),
@@ -78,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_embeddings": op5_embeddings,
     "op6_language": op6_language,
     "op7_minhash": op7_minhash,
+    "op8_urls": op8_urls,
     "op9_token_files": op9_token_files,
     "op10_packing": op10_packing,
 }
