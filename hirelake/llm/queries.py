@@ -35,7 +35,7 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_rules(spark: SparkSession, folder: str) -> DataFrame:
-    measured = stage(rules.measure(_table(spark, folder, "documents"), host="source"), "measures")
+    measured = stage(rules.measure(_table(spark, folder, "documents"), host="source", doc_id=F.col("doc_id")), "measures")
     return rules.judge(measured).select("doc_id", *rules.MEASURES, "base_failed", "kept")
 
 

@@ -126,8 +126,8 @@ def measure_texts(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: str | None = None) -> DataFrame:
-    """``doc_id``, ``host`` (an SQL expression over ``df``) and the :data:`MEASURES` of every whole text.
+def measure(df: DataFrame, text_col: str = "text", host: str | None = None, **kept: Column) -> DataFrame:
+    """The ``kept`` expressions, ``host`` (an SQL expression over ``df``) and the :data:`MEASURES` of every whole text.
 
     Words are runs of anything but the six ASCII white space characters. ``word_chars`` are the characters in words,
     ``n_symbols`` characters among ``#*$%&|<>``, ``n_dup_lines`` lines with a word that equal an earlier line,
@@ -137,13 +137,15 @@ def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = measure_texts(batch.column(2))
-            yield pa.record_batch([batch.column(0), batch.column(1), *(pa.array(column) for column in found.T)],
-                                  ["doc_id", "host", *MEASURES])
-
-    columns = {"doc_id": df[id_col].cast("long"),
-               "host": (F.expr(host) if host else F.lit(None)).cast("string"), "text": text_of(df, text_col)}
-    return map_texts(df, columns, "doc_id long, host string, " + ", ".join(f"{x} long" for x in MEASURES), run)
+            found = measure_texts(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(column) for column in found.T)],
+                                             names=[*batch.schema.names[:-1], *MEASURES])
+
+    columns = kept | {"host": (F.expr(host) if host else F.lit(None)).cast("string")}
+    fields = df.select(*[expression.alias(name) for name, expression in columns.items()]).schema
+    for name in MEASURES:
+        fields = fields.add(name, "long")
+    return map_texts(df, columns | {"text": text_of(df, text_col)}, fields, run)
 
 
 def base_failed(limits: Limits) -> Column:
