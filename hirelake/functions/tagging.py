@@ -1,11 +1,12 @@
 """Dictionary phrase tagging inside a row, with the longest-match rule.
 
-A text becomes a string of tokens joined by single spaces. Phrases are then
-taken out by descending word count. For one word count, a left-to-right regular
-expression pass picks the earliest non-overlapping spans, and what it picked is
-replaced by a marker, so that shorter phrases cannot use those words again.
-That is the rule "longest first, ties to the earliest start, no overlaps", in
-time linear in the text, and without a shuffle: the text never leaves its row.
+A text becomes an array of tokens. For each phrase length, longest first, the n-grams at
+words that open a phrase are looked up in a hash set, so the time does not depend on the
+size of the dictionary. What is found is noted in a string of marks, one per token, and a
+left-to-right pass of a short regular expression over the marks picks the earliest
+non-overlapping spans; their tokens are marked as taken for the shorter phrases. That is
+the rule "longest first, ties to the earliest start, no overlaps", in time linear in
+the text, and without a shuffle: the text never leaves its row.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_TAKEN = "\u0001"
 _WORD = r"[\p{L}\p{M}\p{N}_]"
 _TOKEN = rf"c\+\+|{_WORD}+(?:\.{_WORD}+)*|[\s\x0B\p{{Z}}]{{2,}}|[^ \p{{L}}\p{{M}}\p{{N}}_]"
+# Marks: a token is free, opens a found phrase, opens a picked one, or is taken.
+_FREE, _FOUND, _PICKED, _TAKEN = "0", "1", "2", "3"
 
 
 def tokens(text: Column) -> Column:
@@ -28,39 +30,35 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
 
 
-def read_dictionary(
-    spark: SparkSession, path: str, label: str = "SKILL", max_phrases: int = 10_000
-) -> list[str]:
+def read_dictionary(spark: SparkSession, path: str, label: str = "SKILL") -> list[str]:
     """Phrases of one label from a two-column CSV (phrase, label).
 
-    The dictionary is a parameter that rides along in the plan, so its size is
-    checked here.
+    They ride along in the plan of :func:`tag_phrases`, so the driver holds them all.
     """
     rows = (
         spark.read.schema("phrase string, label string").csv(path, header=True)
         .filter((F.col("label") == label) & (F.trim("phrase") != ""))
-        .select("phrase").distinct().orderBy("phrase").limit(max_phrases + 1).collect()
+        .select("phrase").distinct().orderBy("phrase").collect()
     )
-    return _checked([r.phrase for r in rows], max_phrases)
+    return [r.phrase for r in rows]
 
 
-def _checked(phrases: list[str], max_phrases: int = 10_000) -> list[str]:
-    if len(phrases) > max_phrases:
-        raise ValueError(f"dictionary has more than {max_phrases} phrases")
-    return phrases
-
-
-def _spellings(spark: SparkSession, phrases: list[str], tokenize: bool) -> dict[str, str]:
-    """Token form of each phrase -> its lower-case spelling."""
-    plain = sorted({" ".join(p.lower().split()) for p in _checked(list(phrases)) if p.strip()})
+def _spellings(spark: SparkSession, phrases: list[str], tokenize: bool) -> dict[str, list[str]]:
+    """Token form of each phrase -> its lower-case spellings."""
+    plain = sorted({" ".join(p.lower().split()) for p in phrases if p.strip()})
     if not tokenize:
-        return {p: p for p in plain}
+        return {p: [p] for p in plain}
     # The dictionary goes through the same expression as the texts.
     rows = (
         spark.createDataFrame([(p,) for p in plain], "phrase string")
-        .select("phrase", F.array_join(tokens(F.col("phrase")), " ").alias("form")).collect()
+        .select("phrase", F.array_join(tokens(F.col("phrase")), " ").alias("form"))
+        .orderBy("phrase").collect()
     )
-    return {r.form: r.phrase for r in rows if r.form}
+    spelling: dict[str, list[str]] = {}
+    for r in rows:
+        if r.form:
+            spelling.setdefault(r.form, []).append(r.phrase)
+    return spelling
 
 
 def _by_length(forms) -> dict[int, list[str]]:
@@ -70,6 +68,39 @@ def _by_length(forms) -> dict[int, list[str]]:
     return dict(sorted(lengths.items(), reverse=True))
 
 
+def _quoted(text: str) -> str:
+    return "'" + re.sub(r"([\\'])", r"\\\1", text) + "'"
+
+
+def _among(item: str, forms) -> str:
+    """SQL text of a lookup in a constant set, which Spark evaluates with a hash set."""
+    return f"{item} IN ({', '.join(map(_quoted, sorted(forms)))})"
+
+
+def _ngram(words: str, start: str, length: int) -> str:
+    """SQL text of the words from ``start`` on; fewer at the end of the text, where no phrase of this length fits."""
+    return f"concat_ws(' ', {', '.join(f'get({words}, {start} + {k})' for k in range(length))})"
+
+
+def _respelt(found: str, spelling: dict[str, list[str]]) -> str:
+    """SQL text that replaces token forms by the phrases they stand for.
+
+    The constant maps are cut into buckets by hash, because a map is searched from end to end.
+    """
+    respelt = {form: names for form, names in spelling.items() if names != [form]}
+    if not respelt:
+        return found
+    buckets = max(1, len(respelt) // 4)
+    # Sorted by the first four characters' code, which Python and SQL compute alike.
+    code = lambda form: sum(ord(c) * 31 ** k for k, c in enumerate(form[:4])) % buckets
+    maps: list[list[str]] = [[] for _ in range(buckets)]
+    for form, names in respelt.items():
+        maps[code(form)].append(f"{_quoted(form)}, array({', '.join(map(_quoted, names))})")
+    table = ", ".join(f"map({', '.join(entries)})" if entries else "map('', array(''))" for entries in maps)
+    spot = " + ".join(f"coalesce(ascii(nullif(substr(p, {k + 1}, 1), '')), 0) * {31 ** k}" for k in range(4))
+    return f"flatten(transform({found}, p -> coalesce(try_element_at(array({table})[({spot}) % {buckets}], p), array(p))))"
+
+
 def tag_phrases(
     df: DataFrame,
     text: str,
@@ -81,32 +112,34 @@ def tag_phrases(
 
     With ``tokenize_dictionary=False`` entries are split at spaces only, so an
     entry such as ``ci/cd`` cannot be found, because texts are split at ``/``.
-    ``True`` makes these entries reachable.
+    ``True`` makes these entries reachable; entries of one token form are all reported.
     """
     spelling = _spellings(df.sparkSession, phrases, tokenize_dictionary)
-    rest, found = "_rest", []
-    joined = F.concat(F.lit(" "), F.array_join(tokens(F.col(text)), " "), F.lit(" "))
-    tagged = df.withColumn(rest, joined)
-    for length, forms in _by_length(spelling).items():
+    if not spelling:
+        return df.withColumn(output, F.array().cast("array<string>"))
+    words, marks, opens = "_tagging_words", "_tagging_marks", "_tagging_opens"
+    found = [f"_tagging_found{length}" for length in _by_length(spelling)]
+    free = F.expr(f"repeat('{_FREE}', size({words}))")
+    tagged = df.withColumn(words, F.coalesce(tokens(F.col(text)), F.array().cast("array<string>"))).withColumn(marks, free)
+    for name, (length, forms) in zip(found, _by_length(spelling).items()):
         if length == 1:
-            singles = F.array(*[F.lit(f) for f in forms])
-            found.append(F.array_intersect(F.split(F.col(rest), " "), singles))
+            hit = f"m = '{_FREE}' AND {_among('w', forms)}"
+            pairs = f"zip_with({words}, split({marks}, ''), (w, m) -> if({hit}, w, NULL))"
+            picked = f"array_compact({pairs})"
+            tagged = tagged.withColumn(name, F.expr(picked))
             continue
-        pattern = f" ({'|'.join(re.escape(f) for f in forms)})(?= )"
-        hits = f"_hits{length}"
-        tagged = tagged.withColumn(hits, F.regexp_extract_all(F.col(rest), F.lit(pattern), F.lit(1)))
-        without = F.regexp_replace(F.col(rest), pattern, f" {_TAKEN}")
-        tagged = tagged.withColumn(rest, F.when(F.size(hits) > 0, without).otherwise(F.col(rest)))
-        found.append(F.col(hits))
-    items = F.array_distinct(F.concat(*found)) if found else F.array().cast("array<string>")
-    respelt = {form: phrase for form, phrase in spelling.items() if form != phrase}
-    if respelt:
-        table = F.create_map(*[F.lit(x) for pair in respelt.items() for x in pair])
-        items = F.array_distinct(
-            F.transform(items, lambda p: F.coalesce(F.try_element_at(table, p), p))
-        )
-    helpers = [rest] + [c for c in tagged.columns if c.startswith("_hits")]
-    return tagged.withColumn(output, F.coalesce(items, F.array().cast("array<string>"))).drop(*helpers)
+        openers = {form.split(" ")[0] for form in forms}
+        gram = _among(_ngram(words, "i", length), forms)
+        tagged = tagged.withColumn(opens, F.expr(f"transform({words}, (w, i) -> {_among('w', openers)} AND {gram})"))
+        marked = f"array_join(zip_with(split({marks}, ''), {opens}, (m, o) -> if(o AND m = '{_FREE}', '{_FOUND}', m)), '')"
+        pattern, picked_as = f"{_FOUND}[{_FREE}{_FOUND}]{{{length - 1}}}", _PICKED + _TAKEN * (length - 1)
+        noted = f"if(array_contains({opens}, true), regexp_replace({marked}, '{pattern}', '{picked_as}'), {marks})"
+        tagged = tagged.withColumn(marks, F.expr(noted))
+        starts = f"filter(transform(split({marks}, ''), (m, i) -> if(m = '{_PICKED}', i, -1)), i -> i >= 0)"
+        tagged = tagged.withColumn(name, F.expr(f"transform({starts}, i -> {_ngram(words, 'i', length)})"))
+        tagged = tagged.withColumn(marks, F.translate(marks, _FOUND + _PICKED, _FREE + _TAKEN))
+    every = f"concat({', '.join(found)})"
+    return tagged.withColumn(output, F.expr(f"array_distinct({_respelt(every, spelling)})")).drop(words, marks, opens, *found)
 
 
 def phrase_hits(
