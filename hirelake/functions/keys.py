@@ -15,10 +15,12 @@ def surrogate_key(columns: list[str], mode: str = "uuid") -> Column:
 
     ``uuid`` draws a random key, so the result has to be written before it is
     used twice. ``hash`` gives the same key for the same natural key on every
-    run; null and '' count as the same value.
+    run; null and '' count as the same value. Each part is hashed with its
+    length, so that no two keys run together.
     """
     if mode == "uuid":
         return F.uuid()
     if mode == "hash":
-        return F.md5(F.concat_ws("|", *[blank(c) for c in columns]))
+        parts = [F.concat(F.length(blank(c)).cast("string"), F.lit(":"), blank(c)) for c in columns]
+        return F.md5(F.concat(*parts))
     raise ValueError(f"unknown key mode {mode!r}")

@@ -14,6 +14,7 @@ _CORPORATE = rf"(?U)\b(?:{'|'.join(CORPORATE_WORDS)})\b"
 _NOT_WORD = r"[^\p{L}\p{N}_]+"
 _PUNCTUATION = r"[^\p{L}\p{N}_\s\p{Z}]"
 _SPACES = r"[\s\p{Z}]+"
+# Fixed value: how years of experience are written.
 _EXPERIENCE = r"(?U)(\d+\+?-?\d*)\s+(?:years?|yrs?)"
 
 

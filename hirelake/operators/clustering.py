@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import HashingTF, Normalizer, OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelake.functions.vectors import distance, squared_distance
+from hirelake.functions.vectors import distance
 from hirelake.operators.dedup import top_per_group
 from hirelake.session import stage
 
@@ -70,71 +68,107 @@ def categorical_pairs(jobs: DataFrame) -> DataFrame:
     return filled.groupBy("category_label", "company_name").agg(F.count(F.lit(1)).alias("jobs"))
 
 
-def one_hot(pairs: DataFrame, output: str = "features") -> DataFrame:
-    """Add the one-hot vector of (category, company) to distinct pairs.
+def one_hot(pairs: DataFrame) -> DataFrame:
+    """Add the places of the two ones in the one-hot vector of distinct (category, company) pairs.
 
-    Both value lists are numbered in a distributed way; only their sizes, not
-    the values, reach the driver.
+    Categories come first in the vector, then companies, both in ascending order. Only the places are
+    kept, so a row does not grow with the number of companies; both value lists are numbered in a
+    distributed way, and only their sizes reach the driver.
     """
-    categories = dense_index(pairs, "category_label", "_category")
+    categories = stage(dense_index(pairs, "category_label", "category_place"), "categories")
     companies = dense_index(pairs, "company_name", "_company")
-    indexed = pairs.join(categories, "category_label").join(
-        companies.withColumnRenamed("company_name", "_name"),
-        F.col("company_name").eqNullSafe(F.col("_name")),
-    ).drop("_name")
-    codes = ["_category", "_company"]
-    encoder = OneHotEncoder(
-        inputCols=codes, outputCols=[f"{c}_hot" for c in codes], dropLast=False
-    ).fit(indexed)
-    joined = VectorAssembler(inputCols=[f"{c}_hot" for c in codes], outputCol=output)
-    wide = joined.transform(encoder.transform(indexed))
-    return wide.drop(*codes, *[f"{c}_hot" for c in codes])
-
-
-def one_hot_long(jobs: DataFrame, key: str) -> DataFrame:
-    """Long form of the one-hot matrix: (key, feature) for every 1."""
-    filled = jobs.fillna({"category_label": UNKNOWN})
-    names = F.array(
-        F.concat(F.lit("category="), "category_label"),
-        F.concat(F.lit("company="), F.coalesce("company_name", F.lit("<null>"))),
-    )
-    return filled.select(key, F.explode(names).alias("feature"))
+    placed = companies.select(
+        F.col("company_name").alias("_name"), (F.col("_company") + categories.count()).alias("company_place"))
+    return pairs.join(categories, "category_label").join(
+        placed, F.col("company_name").eqNullSafe(F.col("_name"))).drop("_name")
 
 
 # --- models -----------------------------------------------------------------
 
-def fit_kmeans(
-    df: DataFrame, features: str = "features", k: int = N_CLUSTERS, seed: int = SEED,
-    weight: str | None = None,
-) -> KMeansModel:
-    estimator = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster_id")
-    if weight:
-        estimator = estimator.setWeightCol(weight)
-    return estimator.fit(df)
+def fit_kmeans(df: DataFrame, features: str = "features", k: int = N_CLUSTERS, seed: int = SEED) -> KMeansModel:
+    return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster_id").fit(df)
 
 
-def silhouette(
-    df: DataFrame, features: str = "features", cluster: str = "cluster_id", weight: str | None = None
-) -> float:
+def silhouette(df: DataFrame, features: str = "features", cluster: str = "cluster_id") -> float:
     """Mean silhouette for squared Euclidean distance, from per-cluster sums in linear time."""
     labelled = df.withColumn("_label", F.col(cluster).cast("double"))
     evaluator = ClusteringEvaluator(
         featuresCol=features, predictionCol="_label", metricName="silhouette",
         distanceMeasure="squaredEuclidean",
     )
-    if weight:
-        evaluator = evaluator.setWeightCol(weight)
     return evaluator.evaluate(labelled)
 
 
+def _value_shares(clustered: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The mean one-hot vector of every cluster in long form: (cluster, value, share) per column, and its squared length."""
+    k = "cluster_id"
+    sizes = clustered.groupBy(k).agg(F.sum("jobs").alias("size"))
+    shares = {
+        column: clustered.groupBy(k, column).agg(F.sum("jobs").alias("n")).join(sizes, k)
+        .select(k, F.col(column).alias("_value"), (F.col("n") / F.col("size")).alias("share"))
+        for column in ("category_label", "company_name")
+    }
+    squares = [df.select(k, (F.col("share") ** 2).alias("square")) for df in shares.values()]
+    return shares, squares[0].unionByName(squares[1]).groupBy(k).agg(F.sum("square").alias("norm"))
+
+
+def assign_categories(pairs: DataFrame, clustered: DataFrame) -> DataFrame:
+    """The nearest centre of ``clustered`` for each (category, company) pair: ``cluster_id`` and the squared ``off``.
+
+    From |x - c|^2 = 2 - 2 (c[category] + c[company]) + |c|^2, only clusters that share a value with the pair
+    can be nearer than the one with the shortest centre, so the pairs are joined with the shares of
+    their two values: at most twice as many rows as clusters for each, and no vector is ever built. A
+    tie goes to the smaller id.
+    """
+    a, b, k = "category_label", "company_name", "cluster_id"
+    shares, norms = _value_shares(clustered)
+    lengths = {row[k]: row["norm"] for row in norms.collect()}  # a number per cluster
+    shortest = min(lengths, key=lambda c: (round(lengths[c], 9), c))
+    met = [
+        pairs.join(df, F.col(column).eqNullSafe(F.col("_value"))).select(a, b, "jobs", k, "share")
+        for column, df in shares.items()
+    ]
+    near = met[0].unionByName(met[1]).groupBy(a, b, "jobs", k).agg(F.sum("share").alias("near")).join(norms, k)
+    off = F.round(2.0 - 2.0 * F.col("near") + F.col("norm"), 9)
+    fallback = F.struct(F.lit(round(2.0 + lengths[shortest], 9)).alias("off"), F.lit(shortest).cast("int").alias(k))
+    candidates = near.select(a, b, "jobs", F.struct(off.alias("off"), F.col(k).cast("int").alias(k)).alias("best"))
+    every = candidates.unionByName(pairs.select(a, b, "jobs", fallback.alias("best")))
+    return every.groupBy(a, b, "jobs").agg(F.min("best").alias("best")).select(a, b, "jobs", f"best.{k}", "best.off")
+
+
+def categorical_kmeans(pairs: DataFrame, k: int = N_CLUSTERS, seed: int = SEED, rounds: int = 100) -> DataFrame:
+    """K-means of jobs by the one-hot vector of category and company, from distinct pairs and their ``jobs``.
+
+    The first centres are ``k`` pairs drawn by their number of jobs. Rounds end when no pair changes its cluster;
+    each is written to the shared folder. The result has a ``cluster_id`` (0 to k - 1) per pair and ``off``, its squared
+    distance to the centre it was assigned by.
+    """
+    a, b = "category_label", "company_name"
+    chance = (F.pmod(F.xxhash64(F.lit(seed), a, b), F.lit(1 << 30)) + 1) / F.lit(float((1 << 30) + 1))
+    # The smallest of exponential draws with the jobs as rate: a weighted draw without replacement.
+    first = pairs.withColumn("_draw", -F.log(chance) / F.col("jobs")).orderBy("_draw", a, b).limit(k)
+    rows = [(row[a], row[b], i, 1) for i, row in enumerate(first.collect())]
+    if not rows:
+        return pairs.select(a, b, "jobs", F.lit(0).alias("cluster_id"), F.lit(0.0).alias("off"))
+    start = pairs.sparkSession.createDataFrame(rows, f"{a} string, {b} string, cluster_id int, jobs bigint")
+    current = stage(assign_categories(pairs, start), "assigned")
+    for _ in range(rounds):
+        moved = stage(assign_categories(pairs, current), "assigned")
+        same = F.col(f"x.{a}").eqNullSafe(F.col(f"y.{a}")) & F.col(f"x.{b}").eqNullSafe(F.col(f"y.{b}"))
+        changed = not moved.alias("x").join(current.alias("y"), same).where("x.cluster_id != y.cluster_id").isEmpty()
+        current = moved
+        if not changed:
+            break
+    return current
+
+
 def categorical_silhouette(clustered: DataFrame, cluster: str = "cluster_id") -> DataFrame:
-    """Exact Euclidean mean silhouette of one-hot (category, company) rows, as one row.
+    """Mean silhouette of jobs by one-hot (category, company) for squared Euclidean distance, as one row.
 
-    ``clustered`` holds (category_label, company_name, cluster, jobs). Two rows
-    are sqrt(2) apart when one of the two values differs and 2 apart when both
-    do, so the distance sum from a pair of values to a cluster follows from four
-    counts, and no two jobs are ever paired. A cluster that shares neither value
-    is exactly 2 away and needs no row.
+    This is the metric of :func:`silhouette`, so the two can be compared. ``clustered`` holds (category_label,
+    company_name, cluster, jobs). Two jobs are 2 apart when one of the two values differs and 4 when both
+    do, so the distance sum from a pair of values to a cluster follows from four counts, and no
+    two jobs are ever paired. A cluster that shares neither value is exactly 4 away and needs no row.
     """
     a, b = "category_label", "company_name"
     units = clustered.groupBy(a, b, cluster).agg(F.sum("jobs").alias("jobs"))
@@ -159,7 +193,7 @@ def categorical_silhouette(clustered: DataFrame, cluster: str = "cluster_id") ->
     )
     one_off = F.col("in_a") + F.col("in_b") - 2 * F.col("in_ab")
     both_off = F.col("size") - F.col("in_a") - F.col("in_b") + F.col("in_ab")
-    far = F.sqrt(F.lit(2.0)) * one_off + 2.0 * both_off
+    far = 2.0 * one_off + 4.0 * both_off
     shares = shares.select(
         F.col(a).alias("_a"), F.col(b).alias("_b"), F.col(cluster).alias("_other"), "size",
         far.alias("far"),
@@ -174,7 +208,7 @@ def categorical_silhouette(clustered: DataFrame, cluster: str = "cluster_id") ->
         F.count(F.lit(1)).alias("met"),
     )
     outer = F.when(
-        F.col("met") < n_clusters, F.least(F.coalesce("outer", F.lit(2.0)), F.lit(2.0))
+        F.col("met") < n_clusters, F.least(F.coalesce("outer", F.lit(4.0)), F.lit(4.0))
     ).otherwise(F.col("outer"))
     score = F.coalesce(
         F.try_divide(outer - F.col("inner"), F.greatest(outer, F.col("inner"))), F.lit(0.0)
@@ -202,44 +236,9 @@ def model_centers(model: KMeansModel, spark) -> DataFrame:
     return spark.createDataFrame(rows, "cluster_id int, center array<double>")
 
 
-def _few(centers: DataFrame, max_centers: int) -> list:
-    """The centres as driver rows, after a check that they are few."""
-    rows = centers.select("cluster_id", "center").orderBy("cluster_id").limit(max_centers + 1).collect()
-    if len(rows) > max_centers:
-        raise ValueError(f"more than {max_centers} centres")
-    return rows
-
-
-def assign_nearest(df: DataFrame, vector: str, centers: DataFrame, max_centers: int = 1000) -> DataFrame:
-    """Add the ``cluster_id`` of the nearest of a few centres (ties to the smaller id).
-
-    The centres travel as one constant in the plan, so no rows are paired or moved.
-    """
-    rows = _few(centers, max_centers)
-    text = json.dumps([{"id": r.cluster_id, "v": list(r.center)} for r in rows])
-    table = F.from_json(F.lit(text), "array<struct<id:int,v:array<double>>>")
-    point = F.col("_point")
-    scored = F.transform(
-        table, lambda c: F.struct(squared_distance(point, c["v"]).alias("d"), c["id"].alias("id"))
-    )
-    return (
-        df.withColumn("_point", F.col(vector).cast("array<double>"))
-        .withColumn("cluster_id", F.array_min(scored)["id"]).drop("_point")
-    )
-
-
-def with_center_distance(
-    df: DataFrame, vector: str, centers: DataFrame, max_centers: int = 1000
-) -> DataFrame:
-    """Add the Euclidean distance of each row to the centre of its own cluster.
-
-    The centres are counted before they are broadcast.
-    """
-    few = df.sparkSession.createDataFrame(
-        [(r.cluster_id, list(r.center)) for r in _few(centers, max_centers)],
-        "cluster_id int, center array<double>",
-    )
-    measured = df.join(F.broadcast(few), "cluster_id")
+def with_center_distance(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
+    """Add the Euclidean distance of each row to the centre of its own cluster."""
+    measured = df.join(centers.select("cluster_id", "center"), "cluster_id")
     point = F.col(vector).cast("array<double>")
     return measured.withColumn("distance", distance(point, F.col("center"))).drop("center")
 
@@ -251,24 +250,12 @@ def categorical_distance(clustered: DataFrame) -> DataFrame:
     follows from counts: |x - c|^2 = 2 - 2 (c[category] + c[company]) + |c|^2.
     """
     a, b, k = "category_label", "company_name", "cluster_id"
-    pairs = clustered.select(a, b, k, "jobs")
-    sizes = pairs.groupBy(k).agg(F.sum("jobs").alias("size"))
-    share = F.col("n") / F.col("size")
-    shares = {
-        column: pairs.groupBy(k, column).agg(F.sum("jobs").alias("n")).join(sizes, k)
-        .select(k, F.col(column).alias(f"_{column}"), share.alias(f"{column}_share"))
-        for column in (a, b)
-    }
-    squares = [
-        df.select(k, (F.col(f"{column}_share") ** 2).alias("square"))
-        for column, df in shares.items()
-    ]
-    norms = squares[0].unionByName(squares[1]).groupBy(k).agg(F.sum("square").alias("norm"))
-    wide = pairs
+    shares, norms = _value_shares(clustered)
+    wide = clustered.select(a, b, k, "jobs")
     for column, df in shares.items():
-        other = df.withColumnRenamed(k, "_k")
-        same = (F.col(k) == F.col("_k")) & F.col(column).eqNullSafe(F.col(f"_{column}"))
-        wide = wide.join(other, same).drop("_k", f"_{column}")
+        other = df.select(F.col(k).alias("_k"), "_value", F.col("share").alias(f"{column}_share"))
+        same = (F.col(k) == F.col("_k")) & F.col(column).eqNullSafe(F.col("_value"))
+        wide = wide.join(other, same).drop("_k", "_value")
     squared = 2.0 - 2.0 * (F.col(f"{a}_share") + F.col(f"{b}_share")) + F.col("norm")
     return wide.join(norms, k).select(
         a, b, k, F.sqrt(F.greatest(squared, F.lit(0.0))).alias("distance")
@@ -291,14 +278,14 @@ def nearest_members(measured: DataFrame, key: str, n: int = 5) -> DataFrame:
 def cluster_names(keywords: DataFrame, cluster: str = "cluster_id", named: DataFrame | None = None) -> DataFrame:
     """Name and keyword list per cluster, from ranked keywords.
 
-    The name is made of the two heaviest terms; a caller's table
+    The name is made of the two heaviest terms (one, if there is no second); a caller's table
     (cluster, cluster_name) wins where it has a name. Quotes are dropped.
     """
     terms = keywords.groupBy(cluster).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda p: p["term"])
         .alias("terms")
     )
-    template = F.concat(F.lit("Cluster_"), F.get("terms", F.lit(0)), F.lit("_"), F.get("terms", F.lit(1)))
+    template = F.concat(F.lit("Cluster_"), F.array_join(F.slice("terms", 1, 2), "_"))
     result = terms.select(cluster, template.alias("_template"), F.array_join("terms", ", ").alias("top_terms"))
     name = F.col("_template")
     if named is not None:

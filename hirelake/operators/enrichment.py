@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelake import schemas
 from hirelake.functions.text import is_blank
 from hirelake.functions.vectors import zero_vector
 from hirelake.session import stage
 
-_BAD = "_bad_record"
-
 
 def unprocessed(jobs: DataFrame, done: DataFrame, key: str = "job_id", done_key: str | None = None) -> DataFrame:
     """Jobs with a key not in ``done``; a null key is never found there, so it stays."""
@@ -24,38 +21,42 @@ def pending(jobs: DataFrame, done: DataFrame, key: str = "job_id", done_key: str
     The open keys are staged, so their real size is known. When they are few, as
     in a daily run, Spark broadcasts them and the job texts are only filtered.
     """
-    if done.isEmpty():
-        return jobs
     ids = jobs.select(key).filter(F.col(key).isNotNull()).distinct()
     open_ids = stage(unprocessed(ids, done, key, done_key), "open-keys")
     keyless = jobs.filter(F.col(key).isNull())
     return jobs.join(open_ids, key, "left_semi").unionByName(keyless)
 
 
+def _texts(parsed: str, key: str) -> Column:
+    """A list of texts; a plain value counts as a list of one, an object or nothing as an empty one."""
+    listed = F.try_variant_get(parsed, f"$.{key}", "array<string>")
+    plain = F.when(~F.schema_of_variant(F.coalesce(F.try_variant_get(parsed, f"$.{key}", "variant"), F.parse_json(F.lit("{}")))).rlike("^(OBJECT|ARRAY|VOID)"),
+                   F.try_variant_get(parsed, f"$.{key}", "string"))
+    return F.coalesce(listed, F.array_compact(F.array(plain)))
+
+
+def _whole_number(parsed: str, key: str) -> Column:
+    """A number or a number written as text, cut to a whole one; null for anything else."""
+    return F.try_variant_get(parsed, f"$.{key}", "string").try_cast("double").try_cast("int")
+
+
 def parse_responses(responses: DataFrame, processed_at: Column) -> DataFrame:
-    """Enrichment records of the valid responses; text that is no JSON object of the
-    expected types gives no row, so its job is tried again in the next run.
+    """Enrichment records of the responses that are JSON objects; any other text gives no
+    row, so its job is tried again in the next run.
 
-    A missing or null array becomes empty, a missing scalar null.
+    Fields are read one by one: a missing, null or unusable array becomes empty, such a
+    scalar null, and the rest of the record stays.
     """
-    parsed = F.from_json(
-        "response", f"{schemas.ENRICHMENT_RESPONSE}, {_BAD} string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD},
-    )
-    none = F.array().cast("array<string>")
-    return (
-        responses.select("job_id", parsed.alias("r"))
-        .filter(F.col("r").isNotNull() & F.col(f"r.{_BAD}").isNull())
-        .select(
-            "job_id",
-            F.coalesce("r.skills", none).alias("extracted_skills"),
-            F.col("r.years_min").alias("years_experience_min"),
-            F.col("r.years_max").alias("years_experience_max"),
-            F.col("r.education").alias("education_level"),
-            F.coalesce("r.benefits", none).alias("benefits"),
-            F.coalesce("r.tech_stack", none).alias("tech_stack"),
-            processed_at.alias("processed_at"),
-        )
+    parsed = responses.select("job_id", F.try_parse_json("response").alias("r")).filter(F.schema_of_variant("r").startswith("OBJECT"))
+    return parsed.select(
+        "job_id",
+        _texts("r", "skills").alias("extracted_skills"),
+        _whole_number("r", "years_min").alias("years_experience_min"),
+        _whole_number("r", "years_max").alias("years_experience_max"),
+        F.try_variant_get("r", "$.education", "string").alias("education_level"),
+        _texts("r", "benefits").alias("benefits"),
+        _texts("r", "tech_stack").alias("tech_stack"),
+        processed_at.alias("processed_at"),
     )
 
 

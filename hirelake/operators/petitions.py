@@ -50,8 +50,11 @@ def sponsorship_batch(raw: DataFrame) -> DataFrame:
     )
 
 
-def merge_sponsorship(status: DataFrame, batch: DataFrame) -> DataFrame:
-    """Upsert a batch: a sponsor stays a sponsor, the year only grows (null if either is null)."""
+def merge_sponsorship(status: DataFrame, batch: DataFrame, unique_source: bool = False) -> DataFrame:
+    """Upsert a batch: a sponsor stays a sponsor, the year only grows (null if either is null).
+
+    ``unique_source`` says that the batch has one row per employer, as :func:`sponsorship_batch` gives it.
+    """
     source = batch.select(
         "employer_name",
         F.col("is_sponsor").alias("ever_sponsored_h1b"),
@@ -61,4 +64,4 @@ def merge_sponsorship(status: DataFrame, batch: DataFrame) -> DataFrame:
         "ever_sponsored_h1b": lambda old, new: F.when(old | new, True).otherwise(old),
         "last_updated_fiscal_year": null_aware_greatest,
     }
-    return upsert(status, source, ["employer_name"], rules=rules, unique_source=True)
+    return upsert(status, source, ["employer_name"], rules=rules, unique_source=unique_source)

@@ -17,19 +17,12 @@ from hirelake.sources.landing import replace
 
 class Clustering(NamedTuple):
     winner: str
-    score: float
+    scores: dict[str, float]
     job_clusters: DataFrame
     registry: DataFrame
     representatives: DataFrame
 
 
-def capped(jobs: DataFrame, limit: int | None) -> DataFrame:
-    """All jobs, or ``limit`` of them in hash order of their id when a cap is wanted."""
-    if limit is None:
-        return jobs
-    return jobs.orderBy(F.md5("job_id"), "job_id").limit(limit)
-
-
 def cluster_jobs(
     jobs: DataFrame,
     vectors: DataFrame | None = None,
@@ -37,13 +30,13 @@ def cluster_jobs(
     seed: int = c.SEED,
     stop_words: list[str] | None = None,
     max_terms: int = 500,
-    limit: int | None = None,
     names: DataFrame | None = None,
     day: Column | None = None,
     now: Column | None = None,
 ) -> Clustering:
     """Cluster described jobs by text vector and by category and company; keep the better model.
 
+    Better is the higher mean silhouette of single jobs for squared Euclidean distance, for both models.
     ``vectors`` (job_id, vector array) replaces the built-in hashed text vectors;
     jobs without one are then left out. ``names`` (cluster_id, cluster_name) can
     override the generated cluster names.
@@ -53,7 +46,7 @@ def cluster_jobs(
     day = day if day is not None else now
     wanted = ["job_id", "title", "description", "category_label", "company_name",
               "salary_min", "salary_max"]
-    base = capped(jobs.select(*wanted).filter("description IS NOT NULL"), limit)
+    base = jobs.select(*wanted).filter("description IS NOT NULL")
     base = base.withColumn("clean_text", title_and_description(F.col("title"), F.col("description")))
     base = base.fillna({"category_label": c.UNKNOWN}).drop("description")
     if vectors is None:
@@ -69,12 +62,12 @@ def cluster_jobs(
     by_text = text_model.transform(base)
     text_score = c.silhouette(by_text, "vector")
 
-    pairs = stage(c.one_hot(c.categorical_pairs(base)), "pairs")
-    pair_model = c.fit_kmeans(pairs, "features", k, seed, weight="jobs")
-    pair_clusters = pair_model.transform(pairs)
-    pair_score = c.silhouette(pair_clusters, "features", weight="jobs")
+    pairs = stage(c.categorical_pairs(base), "pairs")
+    pair_clusters = c.categorical_kmeans(pairs, k, seed)
+    pair_score = c.categorical_silhouette(pair_clusters).first()["silhouette"]
 
-    winner, score = c.choose_model(text_score, pair_score)
+    winner, _ = c.choose_model(text_score, pair_score)
+    scores = {"Embeddings": text_score, "Categorical": pair_score}
     if winner == "Embeddings":
         points = by_text.withColumn("_point", vector_to_array("vector"))
         centers = c.model_centers(text_model, spark)
@@ -84,6 +77,7 @@ def cluster_jobs(
     members = stage(members.drop("vector"), "members")
 
     vocab_base = tfidf.prepare_words(members, "clean_text", stop_words or tfidf.default_stop_words())
+    vocab_base = stage(vocab_base.select("cluster_id", "words"), "words")
     vocab = tfidf.vocabulary(vocab_base, "words", max_terms)
     weighted = tfidf.add_weights(vocab_base, "words", vocab)
     keywords = tfidf.cluster_keywords(weighted, "cluster_id", vocab)
@@ -92,7 +86,7 @@ def cluster_jobs(
         members, c.cluster_names(keywords, named=names), version, iso_text(now), k
     )
     return Clustering(
-        winner, score, c.job_clusters(members, version, now), registry,
+        winner, scores, c.job_clusters(members, version, now), registry,
         c.nearest_members(members.select("cluster_id", "job_id", "title", "distance"), "job_id"),
     )
 

@@ -8,8 +8,9 @@ from hirelake import schemas
 from hirelake.functions.tagging import tag_phrases
 from hirelake.functions.text import experience
 from hirelake.operators import marts
-from hirelake.operators.enrichment import pending
+from hirelake.operators.enrichment import pending, unprocessed
 from hirelake.operators.upsert import insert_new
+from hirelake.session import staged
 from hirelake.sources.landing import append, replace
 from hirelake.sources.tables import merge_into, read_or_empty, read_table
 
@@ -58,31 +59,36 @@ def extract_skills(
     extraction_date: str,
     model_version: str,
     key_mode: str = "uuid",
-    buckets: int = 64,
+    buckets: int | None = None,
     tokenize_dictionary: bool = False,
 ) -> None:
-    """Tag the jobs not tagged yet, then refresh the dimension, the bridge and the marts."""
+    """Tag the jobs not tagged yet, then refresh the dimension, the bridge and the marts.
+
+    Only the new rows are merged. If an earlier run broke off after it had stored its rows, their jobs
+    are missing in the bridge; they are found by key and merged with the new ones.
+    """
     base = tables.rstrip("/")
     jobs = read_table(spark, f"{base}/jobs", schemas.JOBS)
     job_skills = read_or_empty(spark, f"{base}/job_skills", schemas.JOB_SKILLS)
     new = pending(
         jobs.select("job_id", "description").filter("description IS NOT NULL"),
         job_skills, "job_id", "source_job_id")
-    append(
-        skill_rows(new, phrases, F.lit(extraction_date), model_version, tokenize_dictionary),
-        f"{base}/job_skills",
-    )
-    job_skills = read_or_empty(spark, f"{base}/job_skills", schemas.JOB_SKILLS)
-    merge_into(
-        spark, f"{base}/skills", schemas.SKILLS,
-        job_skills.select("skill_name").filter("skill_name IS NOT NULL").distinct(),
-        ["skill_name"], lambda t, s: merge_skills(t, s, key_mode), buckets,
-    )
-    skills = read_table(spark, f"{base}/skills", schemas.SKILLS)
-    merge_into(
-        spark, f"{base}/job_skills_bridge", schemas.JOB_SKILLS_BRIDGE,
-        bridge_source(job_skills, skills), ["job_id", "skill_id"], merge_bridge, buckets,
-    )
+    linked = read_table(spark, f"{base}/job_skills_bridge", schemas.JOB_SKILLS_BRIDGE)
+    unlinked = unprocessed(job_skills.filter("source_job_id IS NOT NULL"), linked, "source_job_id", "job_id")
+    with staged(unlinked.select("source_job_id", "skill_name"), "unlinked") as left, \
+            staged(skill_rows(new, phrases, F.lit(extraction_date), model_version, tokenize_dictionary), "skills") as rows:
+        append(rows, f"{base}/job_skills")
+        fresh = rows.select("source_job_id", "skill_name").unionByName(left)
+        merge_into(
+            spark, f"{base}/skills", schemas.SKILLS,
+            fresh.select("skill_name").filter("skill_name IS NOT NULL").distinct(),
+            ["skill_name"], lambda t, s: merge_skills(t, s, key_mode), buckets,
+        )
+        skills = read_table(spark, f"{base}/skills", schemas.SKILLS)
+        merge_into(
+            spark, f"{base}/job_skills_bridge", schemas.JOB_SKILLS_BRIDGE,
+            bridge_source(fresh, skills), ["job_id", "skill_id"], merge_bridge, buckets,
+        )
     refresh_marts(spark, tables)
 
 
@@ -93,4 +99,3 @@ def refresh_marts(spark: SparkSession, tables: str) -> None:
     companies = read_table(spark, f"{base}/companies", schemas.COMPANIES)
     replace(marts.company_presence(jobs), f"{base}/company_presence")
     replace(marts.category_overlap(jobs, companies), f"{base}/category_industry_overlap")
-

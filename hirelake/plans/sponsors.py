@@ -11,16 +11,15 @@ from hirelake.sources.landing import replace, replace_if_any
 from hirelake.sources.tables import merge_into, read_or_empty, read_table
 
 
-
 def load_petitions(
-    spark: SparkSession, raw: DataFrame, tables: str, pad_zip: bool = False, buckets: int = 64
+    spark: SparkSession, raw: DataFrame, tables: str, pad_zip: bool = False, buckets: int | None = None
 ) -> None:
     """Reload the cleaned petitions, then merge the batch into the sponsorship status."""
     base = tables.rstrip("/")
     replace(clean_petitions(raw, pad_zip), f"{base}/h1b_petitions")
     merge_into(
         spark, f"{base}/company_sponsorship_status", schemas.SPONSORSHIP_STATUS,
-        sponsorship_batch(raw), ["employer_name"], merge_sponsorship, buckets,
+        sponsorship_batch(raw), ["employer_name"], lambda t, s: merge_sponsorship(t, s, unique_source=True), buckets,
     )
 
 

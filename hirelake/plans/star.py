@@ -13,6 +13,7 @@ from hirelake.functions.times import (
 from hirelake.operators.dedup import latest_per_key
 from hirelake.operators.lookup import lookup
 from hirelake.operators.upsert import insert_new, upsert
+from hirelake.session import stage
 from hirelake.sources.tables import merge_into, read_table
 
 # Columns of a known job that a later posting does not change.
@@ -38,8 +39,12 @@ def _filled(column: str):
 
 
 def build_star(postings: DataFrame, ingest_time: datetime) -> dict[str, DataFrame]:
-    """The five frames of the star schema: two facts and three distinct dimensions."""
-    flat = flatten(postings)
+    """The five frames of the star schema, from one pass over the postings, which are staged flat."""
+    return star_frames(stage(flatten(postings), "postings"), ingest_time)
+
+
+def star_frames(flat: DataFrame, ingest_time: datetime) -> dict[str, DataFrame]:
+    """The five frames of flat postings: two facts and three distinct dimensions."""
     moment = F.lit(ingest_time).cast("timestamp")
     jobs = flat.select(
         "job_id", "title", "description", "salary_min", "salary_max",
@@ -107,9 +112,12 @@ def jobs_source(
     return with_dimension_keys(latest, companies, categories, locations)
 
 
-def merge_jobs(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Upsert of :func:`jobs_source` rows; link and first ingest text of a known job stay."""
-    return upsert(target, source, ["job_id"], frozen=FROZEN, unique_source=True)
+def merge_jobs(target: DataFrame, source: DataFrame, unique_source: bool = False) -> DataFrame:
+    """Upsert of :func:`jobs_source` rows; link and first ingest text of a known job stay.
+
+    ``unique_source`` says that the source has one row per job, as :func:`jobs_source` gives it.
+    """
+    return upsert(target, source, ["job_id"], frozen=FROZEN, unique_source=unique_source)
 
 
 def merge_jobstats(target: DataFrame, staging: DataFrame, deduplicate: bool = True) -> DataFrame:
@@ -125,13 +133,19 @@ def merge_skill_catalogue(target: DataFrame, staging: DataFrame) -> DataFrame:
 
 def load_star(
     spark: SparkSession, staging: dict[str, DataFrame], tables: str, key_mode: str = "uuid",
-    buckets: int = 64,
+    buckets: int | dict[str, int] | None = None, batch: str | None = None,
 ) -> dict[str, DataFrame]:
     """Merge staged frames into the five tables under ``tables``, dimensions before facts.
 
-    A frame that was not landed (because it was empty) is left out.
+    A frame that was not landed (because it was empty) is left out. ``buckets`` is a number for all
+    tables or one per table name; ``batch`` names the frames, so that a retry adds nothing twice.
     """
     base = tables.rstrip("/")
+
+    def merge_table(name: str, schema: str, source: DataFrame, keys: list[str], merge, blank_is_null: bool = False) -> None:
+        number = buckets.get(name) if isinstance(buckets, dict) else buckets
+        merge_into(spark, f"{base}/{name}", schema, source, keys, merge, number, blank_is_null, batch=batch)
+
     dimensions = {
         "companies": (schemas.COMPANIES, ["company_name"], merge_companies),
         "categories": (schemas.CATEGORIES, ["category_label"], merge_categories),
@@ -139,21 +153,17 @@ def load_star(
     }
     for name, (schema, keys, merge) in dimensions.items():
         if name in staging:
-            merge_into(
-                spark, f"{base}/{name}", schema, staging[name], keys,
-                lambda t, s, merge=merge: merge(t, s, key_mode), buckets, name == "locations",
-            )
+            merge_table(name, schema, staging[name], keys,
+                        lambda t, s, merge=merge: merge(t, s, key_mode), name == "locations")
     current = {n: read_table(spark, f"{base}/{n}", d[0]) for n, d in dimensions.items()}
     if "jobs" in staging:
         source = jobs_source(
             staging["jobs"], current["companies"], current["categories"], current["locations"]
         )
-        merge_into(spark, f"{base}/jobs", schemas.JOBS, source, ["job_id"], merge_jobs, buckets)
+        merge_table("jobs", schemas.JOBS, source, ["job_id"], lambda t, s: merge_jobs(t, s, unique_source=True))
     if "jobstats" in staging:
         stats = latest_per_key(staging["jobstats"], ["job_id"])
-        merge_into(
-            spark, f"{base}/jobstats", schemas.JOBSTATS, stats, ["job_id"], merge_jobstats, buckets
-        )
+        merge_table("jobstats", schemas.JOBSTATS, stats, ["job_id"], merge_jobstats)
     return {
         **current,
         "jobs": read_table(spark, f"{base}/jobs", schemas.JOBS),

@@ -64,10 +64,6 @@ SPONSOR_COMPANIES = (
     "is_sponsor boolean, last_updated_fiscal_year int"
 )
 
-ENRICHMENT_RESPONSE = (
-    "skills array<string>, years_min int, years_max int, education string, "
-    "benefits array<string>, tech_stack array<string>"
-)
 JOB_ENRICHMENT = (
     "job_id string, extracted_skills array<string>, years_experience_min int, "
     "years_experience_max int, education_level string, benefits array<string>, "

@@ -11,8 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Settings the library's time functions rely on; all of them can be changed at run time."""
+    """Settings the library relies on; all of them can be changed at run time.
+
+    Nanosecond timestamps of files that other tools wrote are read as bigint, also in streams.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
@@ -37,9 +41,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder of all staged copies of this application."""
+    return f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path under :func:`scratch_folder`."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, location: str) -> None:
+    """Delete a folder, in whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete all staged copies of this application; frames that were not written yet are lost."""
+    remove(spark, scratch_folder(spark))
 
 
 def _write(df: DataFrame, path: str) -> DataFrame:
@@ -63,18 +83,7 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """:func:`stage` for the length of a ``with`` block; the files go at its end."""
     spark = df.sparkSession
     location = scratch_path(spark, label)
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
     try:
         yield _write(df, location)
     finally:
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Share the rows of a scan out to all cores if it has fewer splits than there are cores.
-
-    For work that is heavy per row on small files. A scan of a large table has
-    more splits than cores and is left as it is. ``df`` must be a plain scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+        remove(spark, location)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import logging
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+from hirelake.session import remove, staged
 
 log = logging.getLogger(__name__)
 
@@ -13,16 +15,19 @@ log = logging.getLogger(__name__)
 def land_frames(frames: dict[str, DataFrame], base: str, ingest_time: datetime) -> dict[str, str]:
     """Write each frame under ``base/processed/<name>/<name>_<stamp>.parquet``.
 
-    Empty frames are skipped with a warning and are not in the result.
+    Rows are counted as they are written; empty frames leave a warning and no file, and are
+    not in the result.
     """
     stamp = ingest_time.strftime("%Y%m%d%H%M%S")
     paths = {}
     for name, df in frames.items():
-        if df.isEmpty():
+        path = f"{base.rstrip('/')}/processed/{name}/{name}_{stamp}.parquet"
+        counted = Observation(f"landed-{name}")
+        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        if not counted.get["rows"]:
             log.warning("nothing to land for %s", name)
+            remove(df.sparkSession, path)
             continue
-        path = f"{base.rstrip('/')}/processed/{name}/{name}_{stamp}.parquet"
-        df.write.mode("overwrite").parquet(path)
         paths[name] = path
     if not paths:
         raise ValueError("no frame had rows to land")
@@ -32,10 +37,9 @@ def land_frames(frames: dict[str, DataFrame], base: str, ingest_time: datetime)
 def read_landed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Landed Parquet with a declared schema.
 
-    Files written by other tools may carry nanosecond timestamps; the reader
-    takes them as bigint, which is what the staging schema declares.
+    Files written by other tools may carry nanosecond timestamps; a session set up by
+    :func:`hirelake.session.configure` takes them as bigint, which is what the staging schema declares.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     return spark.read.schema(schema).parquet(path)
 
 
@@ -62,7 +66,8 @@ def append(df: DataFrame, path: str, max_records_per_file: int = 0) -> None:
 
 def replace_if_any(df: DataFrame, path: str) -> bool:
     """Overwrite ``path`` unless ``df`` is empty; tells whether it wrote."""
-    if df.isEmpty():
-        return False
-    replace(df, path)
+    with staged(df, "replacement") as rows:
+        if rows.isEmpty():
+            return False
+        replace(rows, path)
     return True

@@ -1,23 +1,38 @@
 """Keyed Parquet tables that can be merged into.
 
-A table is partitioned by a hash bucket of its key. A merge reads and rewrites
-only the buckets the source touches (dynamic partition overwrite), so a small
-increment never rewrites a large table. Running the same merge again after a
-failure gives the same table.
+A table is cut into hash buckets of its key. A merge writes the buckets the source touches into
+a new folder, and then, as its last step, a manifest: one small file that names the folder of
+every bucket. Readers take the newest manifest, so they see a merge whole or not at all. A merge
+that breaks off before the manifest leaves a folder nobody reads, and running it again gives the same
+table. Where a catalog has tables with row-level updates, ``DataFrame.mergeInto`` does the same.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hirelake.functions.keys import blank
-from hirelake.session import staged
+from hirelake.session import remove, staged
 
 BUCKET = "_bucket"
 NO_KEY = -1
+DEFAULT_BUCKETS = 64
+_MANIFEST = "bucket int, folder string, buckets int, batch string"
+
+Merge = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+class Version(NamedTuple):
+    """A state of a table: (bucket, folder, batch) of all its parts, and the bucket count it was made with."""
+
+    number: int
+    parts: tuple[tuple[int, str, str | None], ...] = ()
+    buckets: int | None = None
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -30,18 +45,42 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return read_or_empty(spark, path, f"{schema}, {BUCKET} int")
+def _versions(spark: SparkSession, path: str) -> list[Version]:
+    """All published versions, oldest first; one row per part of a table reaches the driver."""
+    rows = read_or_empty(spark, f"{path}/manifest", f"{_MANIFEST}, version int").collect()
+    found: dict[int, list] = {}
+    for row in rows:
+        found.setdefault(row.version, []).append(row)
+    return [
+        Version(number, tuple((r.bucket, r.folder, r.batch) for r in found[number]), found[number][0].buckets)
+        for number in sorted(found)
+    ]
+
+
+def current(spark: SparkSession, path: str) -> Version:
+    """The newest published version."""
+    return (_versions(spark, path) or [Version(0)])[-1]
+
+
+def _rows(spark: SparkSession, path: str, schema: str, parts) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/data/{folder}/{BUCKET}={bucket}" for bucket, folder, _ in parts])
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table, empty if nothing was written yet."""
-    return _read(spark, path, schema).drop(BUCKET)
+    """The table as last published, empty if nothing was."""
+    return _rows(spark, path, schema, current(spark, path).parts)
 
 
 def _bucket(keys: list[str], buckets: int, blank_is_null: bool) -> Column:
     form = blank if blank_is_null else F.col
-    return F.pmod(F.xxhash64(*[form(k) for k in keys]), F.lit(buckets)).cast("int")
+    hashed = F.pmod(F.xxhash64(*[form(k) for k in keys]), F.lit(buckets)).cast("int")
+    if blank_is_null:
+        return hashed
+    for k in keys:
+        hashed = F.when(F.col(k).isNull(), NO_KEY).otherwise(hashed)
+    return hashed
 
 
 def merge_into(
@@ -50,46 +89,81 @@ def merge_into(
     schema: str,
     source: DataFrame,
     keys: list[str],
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
-    buckets: int = 64,
+    merge: Merge,
+    buckets: int | None = None,
     blank_is_null: bool = False,
     max_records_per_file: int = 5_000_000,
+    batch: str | None = None,
 ) -> None:
     """Apply ``merge(target rows, source rows)`` to the table at ``path``.
 
-    ``buckets`` is fixed at the first write of a table; choose it so that one
-    bucket is about a gigabyte. Source rows with a null key match nothing, so
-    they are appended to a folder of their own instead of meeting in a bucket.
+    ``buckets`` is fixed at the first write of a table (:data:`DEFAULT_BUCKETS` if not given) and
+    another number later is an error; choose it so that one bucket is about a gigabyte. Source rows with a
+    null key match nothing, so they are added to a part of their own instead of meeting in a bucket.
+    ``batch`` names what is merged: a retried batch does not add its rows without key again.
     """
     with staged(source, "merge") as increment:
-        _apply(spark, path, schema, increment, keys, merge, buckets, blank_is_null,
-               max_records_per_file)
+        version = write_version(
+            spark, path, schema, increment, keys, merge, buckets, blank_is_null, max_records_per_file, batch)
+    if version is not None:
+        publish(spark, path, version)
 
 
-def _apply(
-    spark: SparkSession, path: str, schema: str, source: DataFrame, keys: list[str],
-    merge: Callable[[DataFrame, DataFrame], DataFrame], buckets: int, blank_is_null: bool,
-    max_records_per_file: int,
-) -> None:
+def write_version(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    source: DataFrame,
+    keys: list[str],
+    merge: Merge,
+    buckets: int | None = None,
+    blank_is_null: bool = False,
+    max_records_per_file: int = 5_000_000,
+    batch: str | None = None,
+) -> Version | None:
+    """Write the touched buckets of a merge and return the version to :func:`publish`; None without source rows."""
+    before = current(spark, path)
+    if None not in (buckets, before.buckets) and buckets != before.buckets:
+        raise ValueError(f"{path} has {before.buckets} buckets, not {buckets}")
+    buckets = before.buckets or buckets or DEFAULT_BUCKETS
     bucket = _bucket(keys, buckets, blank_is_null)
-    if not blank_is_null:
-        for k in keys:
-            bucket = F.when(F.col(k).isNull(), NO_KEY).otherwise(bucket)
-    touched = {r[0] for r in source.select(bucket.alias(BUCKET)).distinct().collect()}
-
-    def write(df: DataFrame, mode: str) -> None:
-        (
-            df.write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", max_records_per_file)
-            .partitionBy(BUCKET).parquet(path)
-        )
-
+    touched = {r[0] for r in source.select(bucket.alias(BUCKET)).distinct().collect()}  # at most one per bucket
+    if batch is not None and any(b == NO_KEY and name == batch for b, _, name in before.parts):
+        touched -= {NO_KEY}
     hashed = touched - {NO_KEY}
+    results = []
     if hashed:
-        target = _read(spark, path, schema).filter(F.col(BUCKET).isin(hashed)).drop(BUCKET)
+        target = _rows(spark, path, schema, [part for part in before.parts if part[0] in hashed])
         merged = merge(target, source.filter(bucket != NO_KEY)).withColumn(BUCKET, bucket)
-        write(merged.hint("rebalance", BUCKET), "overwrite")
+        results.append(merged.hint("rebalance", BUCKET))
     if NO_KEY in touched:
-        inserted = merge(spark.createDataFrame([], schema), source.filter(bucket == NO_KEY))
-        write(inserted.withColumn(BUCKET, F.lit(NO_KEY)), "append")
+        added = merge(spark.createDataFrame([], schema), source.filter(bucket == NO_KEY))
+        results.append(added.withColumn(BUCKET, F.lit(NO_KEY)))
+    if not results:
+        return None
+    folder = uuid.uuid4().hex
+    for result in results:
+        result.write.mode("append").option("maxRecordsPerFile", max_records_per_file).partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+    written = {r[0] for r in spark.read.schema(f"{schema}, {BUCKET} int").parquet(f"{path}/data/{folder}").select(BUCKET).distinct().collect()}
+    kept = [part for part in before.parts if part[0] not in hashed]
+    return Version(before.number + 1, (*kept, *((b, folder, batch) for b in sorted(written))), buckets)
+
+
+def publish(spark: SparkSession, path: str, version: Version) -> None:
+    """Make a written version the current one, by one file that appears at once.
+
+    Of two merges that ran at the same time the second fails here and can be run again.
+    """
+    rows = [(bucket, folder, version.buckets, batch) for bucket, folder, batch in version.parts]
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("errorifexists").parquet(f"{path}/manifest/version={version.number}")
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete the folders that only versions before the newest ``keep`` use, and those versions."""
+    versions = _versions(spark, path)
+    old, new = versions[:-keep], versions[-keep:]
+    used = {folder for version in new for _, folder, _ in version.parts}
+    for folder in {folder for version in old for _, folder, _ in version.parts} - used:
+        remove(spark, f"{path}/data/{folder}")
+    for version in old:
+        remove(spark, f"{path}/manifest/version={version.number}")

@@ -24,22 +24,22 @@ def apply_new_files(
     spark: SparkSession,
     landing: str,
     schema: str,
-    apply: Callable[[DataFrame], None],
+    apply: Callable[[DataFrame, str], None],
     checkpoint: str,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Apply the files that are new under ``landing``, then stop.
 
     ``checkpoint`` remembers which files are done. A micro-batch that fails is
-    repeated as a whole, so ``apply`` must give the same table when run twice;
-    merges do.
+    repeated as a whole under the same name, the second argument of ``apply``, which must give
+    the same table when run twice; ``merge_into`` does with that name as its ``batch``.
     """
     reader = spark.readStream.schema(schema).format("parquet").option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
-    def on_batch(batch: DataFrame, _id: int) -> None:
-        apply(batch)
+    def on_batch(batch: DataFrame, number: int) -> None:
+        apply(batch, f"{checkpoint}#{number}")
 
     query = (
         reader.load(landing).writeStream.foreachBatch(on_batch)
@@ -51,13 +51,13 @@ def apply_new_files(
 
 def update_star(
     spark: SparkSession, landing: str, tables: str, checkpoint: str, key_mode: str = "uuid",
-    buckets: int = 64,
+    buckets: int | dict[str, int] | None = None,
 ) -> None:
     """Apply newly landed frames (``landing/processed/<name>``) to the star schema, dimensions first."""
     order = ["companies", "categories", "locations", "jobs", "jobstats"]
     for name in order:
-        def apply(batch: DataFrame, name=name) -> None:
-            load_star(batch.sparkSession, {name: batch}, tables, key_mode, buckets)
+        def apply(rows: DataFrame, batch: str, name=name) -> None:
+            load_star(rows.sparkSession, {name: rows}, tables, key_mode, buckets, batch)
 
         folder = f"{landing.rstrip('/')}/processed/{name}"
         try:

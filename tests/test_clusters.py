@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hirelake import schemas
 from hirelake.operators import clustering, tfidf
-from hirelake.plans.clusters import capped, cluster_jobs, save_clustering
+from hirelake.plans.clusters import cluster_jobs, save_clustering
 from hirelake.sources.tables import read_or_empty
 
 DOCS = ["red apple red", "green apple pear", "blue sky", "the sky the sea", "", "pear pear apple sky"]
@@ -69,12 +69,52 @@ def test_dense_index(spark):
 def test_one_hot(spark):
     jobs = spark.createDataFrame([("x", "p"), ("x", None), (None, "p"), ("x", "p")],
                                  "category_label string, company_name string")
-    pairs = clustering.one_hot(clustering.categorical_pairs(jobs)).withColumn("v", vector_to_array("features"))
-    got = {(r.category_label, r.company_name): (r.jobs, r.v) for r in pairs.collect()}
-    assert set(got) == {("x", "p"), ("x", None), ("Unknown", "p")}
-    assert got["x", "p"][0] == 2
-    assert all(len(v) == 4 and sum(v) == 2.0 for _, v in got.values())
-    assert len({tuple(v) for _, v in got.values()}) == 3
+    pairs = clustering.one_hot(clustering.categorical_pairs(jobs))
+    got = {(r.category_label, r.company_name): (r.jobs, r.category_place, r.company_place) for r in pairs.collect()}
+    assert got == {("x", "p"): (2, 1, 2), ("x", None): (1, 1, 3), ("Unknown", "p"): (1, 0, 2)}
+
+
+def test_score_counts_jobs_and_not_pairs(spark):
+    """Five pairs, 125 jobs: the same score as the evaluator gives the single jobs."""
+    units = [("a", "p", 0, 40), ("a", "q", 0, 35), ("b", "p", 1, 25), ("b", "r", 1, 15), ("c", "s", 2, 10)]
+    schema = "category_label string, company_name string, cluster_id int, jobs bigint"
+    got = clustering.categorical_silhouette(spark.createDataFrame(units, schema)).first()[0]
+    places = {name: i for i, name in enumerate(["a", "b", "c", "p", "q", "r", "s"])}
+    jobs = [([float(i in (places[a], places[b])) for i in range(7)], c) for a, b, c, n in units for _ in range(n)]
+    rows = spark.createDataFrame(jobs, "v array<double>, cluster_id int").withColumn("features", array_to_vector("v"))
+    assert got == pytest.approx(clustering.silhouette(rows))
+
+
+def objective(pairs):
+    """Sum of the squared distances of jobs to the mean of their cluster."""
+    total = 0.0
+    for cluster in {c for _, _, _, c in pairs}:
+        own = [(a, b, n) for a, b, n, c in pairs if c == cluster]
+        size = sum(n for _, _, n in own)
+        share = Counter()
+        for a, b, n in own:
+            share["a", a] += n / size
+            share["b", b] += n / size
+        norm = sum(x * x for x in share.values())
+        total += sum(n * (2 - 2 * (share["a", a] + share["b", b]) + norm) for a, b, n in own)
+    return total
+
+
+def test_categorical_kmeans_never_gets_worse(spark):
+    draw = random.Random(8)
+    counts = Counter((draw.choice("abcdef"), draw.choice(["p", "q", None, "r", "s", "t"])) for _ in range(400))
+    pairs = spark.createDataFrame([(a, b, n) for (a, b), n in counts.items()],
+                                  "category_label string, company_name string, jobs bigint").cache()
+    found, before = None, math.inf
+    for rounds in (0, 1, 2, 3, 100):
+        found = [tuple(r) for r in clustering.categorical_kmeans(pairs, 5, 3, rounds).select(
+            "category_label", "company_name", "jobs", "cluster_id").collect()]
+        assert objective(found) <= before + 1e-9
+        before = objective(found)
+    assert len(found) == len(counts) and {c for _, _, _, c in found} <= set(range(5))
+    # At the end no pair is nearer to another centre.
+    again = clustering.assign_categories(pairs, spark.createDataFrame(found, "category_label string, company_name string, jobs bigint, cluster_id int"))
+    assert {(r.category_label, r.company_name): r.cluster_id for r in again.collect()} == {(a, b): c for a, b, _, c in found}
 
 
 def exact_silhouette(points, labels, far):
@@ -96,7 +136,7 @@ def test_categorical_silhouette_equals_all_pairs(spark, seed):
     draw = random.Random(seed)
     points = [(draw.choice("ab" if seed < 3 else "abcdefg"), draw.choice(["p", "q", None, "r", "s"])) for _ in range(40)]
     labels = [draw.randrange(4) if seed < 3 else min("abcdefg".index(p[0]), 5) for p in points]
-    far = lambda p, q: math.sqrt(2.0 * ((p[0] != q[0]) + (p[1] != q[1])))
+    far = lambda p, q: 2.0 * ((p[0] != q[0]) + (p[1] != q[1]))
     df = spark.createDataFrame([(a, b, c) for (a, b), c in zip(points, labels)],
                                "category_label string, company_name string, cluster_id int")
     grouped = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("jobs"))
@@ -130,17 +170,27 @@ def test_categorical_distance(spark):
     assert got["b", "p"] == pytest.approx(0.0)
 
 
-def test_assign_nearest_and_members(spark, rows):
+def test_nearest_members(spark, rows):
     points = spark.createDataFrame(
-        [(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [9.0, 0.0]), (4, [5.0, 0.0])], "k int, v array<double>")
+        [(1, [0.0, 0.0], 0), (2, [1.0, 0.0], 0), (3, [9.0, 0.0], 1), (4, [5.0, 0.0], 0)], "k int, v array<double>, cluster_id int")
     centers = spark.createDataFrame([(0, [0.0, 0.0]), (1, [10.0, 0.0])], "cluster_id int, center array<double>")
-    near = clustering.assign_nearest(points, "v", centers)
-    assert rows(near, "k", "cluster_id") == [(1, 0), (2, 0), (3, 1), (4, 0)]
-    measured = clustering.with_center_distance(near, "v", centers)
+    measured = clustering.with_center_distance(points, "v", centers)
     assert rows(clustering.nearest_members(measured, "k", 2), "cluster_id", "rank", "k") == [
         (0, 1, 1), (0, 2, 2), (1, 1, 3)]
-    with pytest.raises(ValueError):
-        clustering.assign_nearest(points, "v", centers, max_centers=1)
+
+
+def test_one_term_names_a_cluster(spark):
+    keywords = spark.createDataFrame([(0, 1, "sql")], "cluster_id int, rank int, term string")
+    assert clustering.cluster_names(keywords).first().cluster_name == "Cluster_sql"
+
+
+def test_many_clusters(spark):
+    """More than a thousand centres, on as many jobs as have vectors of their own."""
+    draw = random.Random(2)
+    jobs = postings(spark, 1300)
+    vectors = spark.createDataFrame([(str(i), [draw.random() for _ in range(3)]) for i in range(1300)], "job_id string, vector array<double>")
+    result = cluster_jobs(jobs, vectors, k=1200, day=F.lit("2025-01-02").cast("timestamp"))
+    assert result.registry.count() == 1200 and result.registry.agg(F.sum("job_count")).first()[0] == 1300
 
 
 def test_names_and_registry(spark):
@@ -210,10 +260,3 @@ def test_cluster_jobs_end_to_end(spark, tmp_path, with_vectors):
 def test_no_jobs_is_an_error(spark):
     with pytest.raises(ValueError):
         cluster_jobs(postings(spark).filter("description IS NULL"))
-
-
-def test_cap_is_repeatable(spark, rows):
-    jobs = postings(spark)
-    assert capped(jobs, None).count() == 61
-    assert capped(jobs, 10).count() == 10
-    assert rows(capped(jobs, 10), "job_id") == rows(capped(jobs.repartition(7), 10), "job_id")

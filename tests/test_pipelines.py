@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from hirelake import schemas
 from hirelake.operators.upsert import insert_new, upsert
 from hirelake.plans import enrichment, skills, sponsors, star
-from hirelake.session import scratch_path, shared_folder, spread, stage
+from hirelake.session import scratch_folder, scratch_path, shared_folder, stage
 from hirelake.sources import landing
-from hirelake.sources.tables import merge_into, read_or_empty, read_table
+from hirelake.sources.tables import current, merge_into, publish, read_or_empty, read_table, vacuum, write_version
 from hirelake.streaming.incremental import update_star
 from tests.test_marts import petition_frame, raw_petition
 from tests.test_star import posting, read
@@ -115,6 +115,19 @@ def test_skill_pipeline(spark, tmp_path, rows):
     assert spark.read.parquet(f"{base}/company_presence").count() == 3
 
 
+def test_skills_of_a_run_that_broke_off(spark, tmp_path, rows):
+    """Rows stored without their links are linked by the next run, and nothing else is merged again."""
+    base = str(tmp_path)
+    star.load_star(spark, drops(spark)[0][1], base, buckets=2)
+    jobs = read_table(spark, f"{base}/jobs", schemas.JOBS)
+    landing.append(skills.skill_rows(jobs, ["SQL"], F.lit("2025-01-01"), "v1"), f"{base}/job_skills")
+    skills.extract_skills(spark, base, ["SQL", "Apache Spark"], "2025-01-02", "v1", buckets=2)
+    linked = read_table(spark, f"{base}/job_skills_bridge", schemas.JOB_SKILLS_BRIDGE)
+    assert rows(linked, "job_id") == [("1",), ("1",), ("2",)]
+    raw = read_or_empty(spark, f"{base}/job_skills", schemas.JOB_SKILLS)
+    assert rows(raw, "source_job_id", "skill_name") == [("1", "5+ years experience"), ("1", "sql"), ("2", "apache spark")]
+
+
 def test_sponsor_pipeline(spark, tmp_path, rows):
     base = str(tmp_path)
     star.load_star(spark, drops(spark)[0][1], base, buckets=2)
@@ -158,23 +171,59 @@ def test_enrichment_pipeline(spark, tmp_path, rows):
 SCHEMA = "k string, v int"
 
 
-def put(spark, path, *records, buckets=4):
+def put(spark, path, *records, buckets=4, batch=None):
     merge_into(spark, path, SCHEMA, spark.createDataFrame(list(records), SCHEMA), ["k"],
-               lambda t, s: upsert(t, s, ["k"]), buckets)
+               lambda t, s: upsert(t, s, ["k"]), buckets, batch=batch)
 
 
-def test_merge_rewrites_only_touched_buckets(spark, tmp_path, rows):
+def test_merge_writes_only_touched_buckets(spark, tmp_path, rows):
     path = f"{tmp_path}/t"
     put(spark, path, *[(str(i), i) for i in range(40)], buckets=8)
-    files = lambda: {p for p in (tmp_path / "t").rglob("*.parquet")}
-    before = files()
+    first = current(spark, path)
     put(spark, path, ("5", 500), buckets=8)
-    kept = before & files()
-    assert before - kept and {p.parent for p in before - kept}.isdisjoint({p.parent for p in kept})
+    second = current(spark, path)
+    assert len(set(first.parts) - set(second.parts)) == len(set(second.parts) - set(first.parts)) == 1
     table = read_table(spark, path, SCHEMA)
     assert table.count() == 40 and table.filter("k = '5'").first().v == 500
 
 
+def test_merge_that_breaks_off_is_not_seen(spark, tmp_path, rows):
+    path = f"{tmp_path}/t"
+    put(spark, path, ("1", 1), ("2", 2))
+    source = spark.createDataFrame([("2", 20), ("3", 30)], SCHEMA)
+    version = write_version(spark, path, SCHEMA, source, ["k"], lambda t, s: upsert(t, s, ["k"]))
+    assert rows(read_table(spark, path, SCHEMA)) == [("1", 1), ("2", 2)]
+    put(spark, path, ("2", 20), ("3", 30))
+    assert rows(read_table(spark, path, SCHEMA)) == [("1", 1), ("2", 20), ("3", 30)]
+    with pytest.raises(Exception):  # a second writer of the same version
+        publish(spark, path, version)
+
+
+def test_bucket_count_is_stored(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    put(spark, path, *[(str(i), i) for i in range(40)], buckets=8)
+    with pytest.raises(ValueError):
+        put(spark, path, ("1", 2), buckets=64)
+    put(spark, path, *[(str(i), -i) for i in range(40)], buckets=None)
+    assert read_table(spark, path, SCHEMA).count() == 40
+
+
+def test_retried_batch_adds_nothing_twice(spark, tmp_path, rows):
+    path = f"{tmp_path}/t"
+    for batch in ("a", "a", "b"):
+        put(spark, path, ("1", 1), (None, 7), batch=batch)
+    assert rows(read_table(spark, path, SCHEMA)) == sorted([("1", 1), (None, 7), (None, 7)], key=repr)
+
+
+def test_old_versions_go(spark, tmp_path, rows):
+    path = f"{tmp_path}/t"
+    for i in range(4):
+        put(spark, path, ("1", i), ("2", i), buckets=2)
+    vacuum(spark, path, keep=1)
+    assert rows(read_table(spark, path, SCHEMA)) == [("1", 3), ("2", 3)]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == len({folder for _, folder, _ in current(spark, path).parts})
+
+
 def test_rows_without_key_are_appended(spark, tmp_path, rows):
     path = f"{tmp_path}/t"
     for _ in range(2):
@@ -219,6 +268,4 @@ def test_shared_folder_and_staging(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     keyed = stage(spark.range(5).withColumn("u", F.uuid()), "keys")
     assert keyed.join(keyed, "u").count() == 5
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 100)
-    assert spread(many) is many
+    assert scratch_path(spark, "x").startswith(scratch_folder(spark))

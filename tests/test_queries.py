@@ -4,14 +4,15 @@ import os
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from workload.oracle import ORACLE
+from workload.queries import all_queries
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = all_queries(), ORACLE
 
 PAIRING = ["CartesianProduct", "BroadcastNestedLoopJoin"]
 PYTHON = ["BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"]
@@ -45,26 +46,9 @@ def test_query_equals_sql(spark, duck, name):
     assert ordered(frame.columns, [tuple(r) for r in frame.collect()]) == expected
 
 
-def test_only_seeded_models_lack_sql():
-    assert set(QUERIES) - set(SQL) == {"kmeans_vectors", "kmeans_categories", "hybrid_clusters"}
-    assert set(SQL) <= set(QUERIES)
-
-
-def test_kmeans_assigns_every_row(spark):
-    found = QUERIES["kmeans_vectors"](spark, FOLDER)
-    assert found.count() == spark.read.parquet(f"{FOLDER}/embeddings.parquet").count()
-    assert {r[0] for r in found.select("cluster_id").distinct().collect()} <= set(range(10))
-    pairs = QUERIES["kmeans_categories"](spark, FOLDER)
-    total = pairs.agg({"jobs": "sum"}).first()[0]
-    assert total == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
-
-
-def test_hybrid_clusters_cover_every_document(spark):
-    found = QUERIES["hybrid_clusters"](spark, FOLDER)
-    sizes = {r.cluster_id: (r.n, r.job_count) for r in found.groupBy("cluster_id", "job_count").agg(
-        F.count("*").alias("n")).collect()}
-    assert all(n == stated for n, stated in sizes.values())
-    assert found.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hirelake.functions.text import CORPORATE_WORDS
+
 CUTOFF = "1998-05-01"
 
 CTE = {}
@@ -185,7 +187,7 @@ def batch(where: str) -> str:
     max({total(KINDS, 'approval')} > 0) AS is_sponsor FROM petitions WHERE {where} GROUP BY 1"""
 
 
-cte("status_before", "petitions", batch("fiscal_year <= 1998 AND s_acctbal >= 0"))
+cte("status_before", "petitions", batch("fiscal_year <= 1998"))
 cte("later_batch", "petitions", batch("fiscal_year > 1998"))
 
 cte("company_names", "", """
@@ -204,11 +206,7 @@ cte("sponsor_status", "", """
       WHEN c_acctbal > 0 THEN ['THE ' || upper(c_name) || ' CO']
       ELSE ['GROUP, INC. ' || c_mktsegment] END) AS employer_name FROM customer) GROUP BY 1""")
 
-SUFFIXES = (
-    r"\binc\.?\b|\bllc\.?\b|\bltd\.?\b|\bcorp\.?\b|\bcorporation\b|\bco\.?\b|\bcompany\b|\bpllc\b|"
-    r"\bpbc\b|\bgroup\b|\bholdings\b|\btechnologies\b|\bsolutions\b|\bservices\b|\bpartners\b|"
-    r"\binternational\b"
-)
+SUFFIXES = "|".join(rf"\b{word}\b" for word in CORPORATE_WORDS)
 
 
 def normal(name: str) -> str:
@@ -305,7 +303,7 @@ cte("skills_known", "", """
   UNION ALL SELECT 'the', 'S-the' FROM region WHERE r_name = 'ASIA'""")
 cte("skills", "skill_rows skills_known", """
   SELECT * FROM skills_known UNION ALL
-  SELECT skill_name, md5(skill_name) FROM (SELECT DISTINCT skill_name FROM skill_rows)
+  SELECT skill_name, md5(length(skill_name) || ':' || skill_name) FROM (SELECT DISTINCT skill_name FROM skill_rows)
   WHERE skill_name NOT IN (SELECT skill_name FROM skills_known)""")
 
 # --- enrichment
@@ -314,7 +312,8 @@ cte("responses", "", """
   SELECT CAST(event_id AS VARCHAR) AS job_id, CASE event_type
     WHEN 'click' THEN '{"skills": ["sql", "k' || (props ->> '$.k') || '"], "years_min": ' || (props ->> '$.k')
       || ', "years_max": 99, "education": "BSc", "benefits": ["bonus"], "tech_stack": []}'
-    WHEN 'view' THEN '{"years_min": ' || (props ->> '$.k') || '}'
+    WHEN 'view' THEN '{"years_min": "' || (props ->> '$.k') || '", "years_max": ' || (props ->> '$.k')
+      || '.75, "skills": "sql", "benefits": {"a": 1}}'
     WHEN 'signup' THEN '{"skills": null, "years_max": null, "benefits": ["a", "b"]}'
     WHEN 'purchase' THEN '[{"years_min": ' || (props ->> '$.k') || '}]'
     ELSE '{"years_min": ' || (props ->> '$.k') END AS response
@@ -325,14 +324,18 @@ cte("valid_responses", "responses", """
 
 
 def joined(key: str) -> str:
-    return f"coalesce(array_to_string(CAST(r -> '$.{key}' AS VARCHAR[]), ','), '')"
+    return f"""CASE json_type(r -> '$.{key}') WHEN 'ARRAY' THEN array_to_string(CAST(r -> '$.{key}' AS VARCHAR[]), ',')
+    WHEN 'OBJECT' THEN '' ELSE coalesce(r ->> '$.{key}', '') END"""
+
+
+def whole(key: str) -> str:
+    return f"CAST(trunc(TRY_CAST(r ->> '$.{key}' AS DOUBLE)) AS INTEGER)"
 
 
-PARSED = f"""SELECT job_id, {joined('skills')} AS extracted_skills,
-  CAST(r ->> '$.years_min' AS INTEGER) AS years_experience_min,
-  CAST(r ->> '$.years_max' AS INTEGER) AS years_experience_max,
-  r ->> '$.education' AS education_level, {joined('benefits')} AS benefits,
-  {joined('tech_stack')} AS tech_stack, '2025-01-01T12:00:00' AS processed_at FROM valid_responses"""
+PARSED = f"""SELECT job_id, coalesce({joined('skills')}, '') AS extracted_skills,
+  {whole('years_min')} AS years_experience_min, {whole('years_max')} AS years_experience_max,
+  r ->> '$.education' AS education_level, coalesce({joined('benefits')}, '') AS benefits,
+  coalesce({joined('tech_stack')}, '') AS tech_stack, '2025-01-01T12:00:00' AS processed_at FROM valid_responses"""
 
 # --- words and clusters
 
@@ -379,7 +382,7 @@ cte("length_keywords", "weights members vocab", keywords("cluster_id"))
 def named(source: str, cluster: str) -> str:
     return f"""
   SELECT {cluster}, string_agg(term, ', ' ORDER BY rank) AS top_terms, 'Cluster_'
-    || max(CASE WHEN rank = 1 THEN term END) || '_' || max(CASE WHEN rank = 2 THEN term END) AS cluster_name
+    || string_agg(CASE WHEN rank <= 2 THEN term END, '_' ORDER BY rank) AS cluster_name
   FROM {source} GROUP BY 1"""
 
 
@@ -390,10 +393,6 @@ cte("centers", "dims", "SELECT label, position, avg(x) AS c FROM dims GROUP BY A
 cte("center_distances", "dims centers", """
   SELECT d.vec_id, d.label AS own, c.label AS center, sqrt(sum((d.x - c.c) * (d.x - c.c))) AS distance
   FROM dims d JOIN centers c USING (position) GROUP BY ALL""")
-cte("assigned", "center_distances", """
-  SELECT vec_id, center AS cluster_id FROM (
-    SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, center) AS rn FROM center_distances)
-  WHERE rn = 1""")
 cte("nearest", "center_distances", """
   SELECT own AS cluster_id, rank, vec_id, distance FROM (
     SELECT *, row_number() OVER (PARTITION BY own ORDER BY distance, vec_id) AS rank
@@ -405,14 +404,14 @@ cte("vector_means", "", """
       list_zip(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])),
       lambda p: (p[1] - p[2]) * (p[1] - p[2])), 'sum')) AS far, count(*) AS size
   FROM embeddings a CROSS JOIN embeddings b GROUP BY ALL""")
-# Every pair of values against every unit of the other clusters, weighted by the jobs behind it.
-cte("units", "descriptions", """
-  SELECT coalesce(category_label, 'Unknown') AS a, coalesce(company_name, '<null>') AS b,
-    least(n_chars // 1000, 8) AS own, count(*) AS jobs FROM descriptions GROUP BY ALL""")
-cte("unit_means", "units", """
-  SELECT x.a, x.b, x.own, x.jobs, y.own AS other, sum(y.jobs) AS size,
-    sum(y.jobs * sqrt(2.0 * ((x.a <> y.a)::INT + (x.b <> y.b)::INT))) AS far
-  FROM units x CROSS JOIN units y GROUP BY ALL""")
+# Every job against every job.
+cte("category_jobs", "descriptions", """
+  SELECT job_id, coalesce(category_label, 'Unknown') AS a, coalesce(company_name, '<null>') AS b,
+    least(n_chars // 1000, 8) AS own FROM descriptions""")
+cte("job_means", "category_jobs", """
+  SELECT x.job_id, x.own, y.own AS other, count(*) AS size,
+    sum(2.0 * ((x.a <> y.a)::INT + (x.b <> y.b)::INT)) AS far
+  FROM category_jobs x CROSS JOIN category_jobs y GROUP BY ALL""")
 
 
 def silhouette(means: str, unit: str, weight: str) -> str:
@@ -426,7 +425,7 @@ def silhouette(means: str, unit: str, weight: str) -> str:
 
 
 cte("vector_score", "vector_means", silhouette("vector_means", "vec_id", "1"))
-cte("category_score", "unit_means", silhouette("unit_means", "a, b, own, jobs", "jobs"))
+cte("category_score", "job_means", silhouette("job_means", "job_id", "1"))
 
 ORACLE = {
     "star_jobs": query("flat", """
@@ -461,22 +460,24 @@ ORACLE = {
       SELECT job_id, redirected_url, company_id, category_id, location_id FROM ({keyed('staging_jobs')})"""),
     "merge_companies": query("companies_known staging_jobs", """
       SELECT * FROM companies_known UNION ALL
-      SELECT company_name, md5(company_name) FROM (
+      SELECT company_name, md5(length(company_name) || ':' || company_name) FROM (
         SELECT DISTINCT company_name FROM staging_jobs WHERE company_name IS NOT NULL)
       WHERE company_name NOT IN (SELECT company_name FROM companies_known)"""),
     "merge_categories": query("categories staging_jobs", """
       SELECT * FROM categories WHERE category_label IN ('ECONOMY', 'PROMO') UNION ALL
-      SELECT category_label, md5(category_label) FROM (
+      SELECT category_label, md5(length(category_label) || ':' || category_label) FROM (
         SELECT DISTINCT category_label FROM staging_jobs WHERE category_label IS NOT NULL)
       WHERE category_label NOT IN ('ECONOMY', 'PROMO')"""),
     "merge_locations": query("places locations_known", """
       SELECT * FROM locations_known UNION ALL
-      SELECT city, state, country, md5(concat_ws('|', coalesce(city, ''), state, country))
+      SELECT city, state, country, md5(length(coalesce(city, '')) || ':' || coalesce(city, '')
+        || length(state) || ':' || state || length(country) || ':' || country)
       FROM (SELECT max(city) AS city, state, country FROM places GROUP BY coalesce(city, ''), state, country) p
       WHERE NOT EXISTS (SELECT 1 FROM locations_known k WHERE coalesce(k.city, '') = coalesce(p.city, '')
         AND coalesce(k.state, '') = coalesce(p.state, '') AND coalesce(k.country, '') = coalesce(p.country, ''))"""),
     "merge_jobs": query("merged_jobs", SHOW_JOBS + "merged_jobs"),
     "merge_idempotent": query("merged_jobs", SHOW_JOBS + "merged_jobs"),
+    "merge_interrupted": query("merged_jobs", SHOW_JOBS + "merged_jobs"),
     "merge_jobstats": f"""
       WITH s AS (SELECT * FROM (SELECT CAST(l_orderkey AS VARCHAR) AS job_id, l_returnflag, l_linestatus,
           CAST(weekofyear(l_shipdate) AS VARCHAR) AS week, row_number() OVER (PARTITION BY l_orderkey
@@ -493,8 +494,7 @@ ORACLE = {
         edition AS skill_type, p_type AS category, p_brand AS subcategory, CAST(NULL AS VARCHAR) AS description,
         p_type || ',' || p_brand AS tags, p_size > 25 AS is_soft_skill,
         'https://skills.example' AS info_url, '2025-01-01 00:00:00.000000' AS ingest_ts
-      FROM (SELECT *, CASE WHEN p_size >= 10 THEN 'second' ELSE 'first' END AS edition FROM part)
-      WHERE p_size >= 10 OR p_retailprice < 1500""",
+      FROM (SELECT *, CASE WHEN p_size >= 10 THEN 'second' ELSE 'first' END AS edition FROM part)""",
     "company_presence": query("jobs_source", """
       SELECT DISTINCT company_id, location_id FROM jobs_source
       WHERE company_id IS NOT NULL AND location_id IS NOT NULL"""),
@@ -562,9 +562,6 @@ ORACLE = {
       SELECT job_id, 'Title: ' || coalesce(title, 'None') || chr(10) || 'Description: '
         || coalesce(description, 'None') AS prompt,
         {cleaned("title || ' ' || description")} AS cluster_text FROM descriptions"""),
-    "capped_sample": """
-      SELECT CAST(doc_id AS VARCHAR) AS job_id, lang, n_chars FROM documents
-      ORDER BY md5(CAST(doc_id AS VARCHAR)), 1 LIMIT 300""",
     "clean_text": f"""
       SELECT CAST(doc_id AS VARCHAR) AS job_id, {cleaned('text')} AS clean_text FROM documents""",
     "tfidf_terms": query("weights", "SELECT job_id, term, round(weight, 6) AS weight FROM weights"),
@@ -573,13 +570,20 @@ ORACLE = {
     "cluster_names": query("lang_keywords", f"""
       SELECT lang, CASE lang WHEN 'de' THEN 'German roles' ELSE cluster_name END AS cluster_name, top_terms
       FROM ({named('lang_keywords', 'lang')})"""),
-    "one_hot": query("descriptions", """
-      SELECT job_id, 'category=' || coalesce(category_label, 'Unknown') AS feature FROM descriptions UNION ALL
-      SELECT job_id, 'company=' || coalesce(company_name, '<null>') FROM descriptions"""),
-    "kmeans_assign_step": query("assigned", "SELECT * FROM assigned"),
-    "kmeans_center_step": query("assigned dims", """
-      SELECT a.cluster_id, CAST(d.position AS INTEGER) AS position, round(avg(d.x), 6) AS value
-      FROM dims d JOIN assigned a USING (vec_id) GROUP BY ALL"""),
+    "one_hot": query("category_jobs", """
+      SELECT p.a AS category_label, nullif(p.b, '<null>') AS company_name, count(*) AS jobs,
+        CAST(any_value(c.place) AS BIGINT) AS category_place,
+        CAST((SELECT count(DISTINCT a) FROM category_jobs) + any_value(d.place) AS BIGINT) AS company_place
+      FROM category_jobs p
+      JOIN (SELECT a, row_number() OVER (ORDER BY a) - 1 AS place FROM (SELECT DISTINCT a FROM category_jobs)) c USING (a)
+      JOIN (SELECT b, row_number() OVER (ORDER BY b = '<null>', b) - 1 AS place FROM (SELECT DISTINCT b FROM category_jobs)) d USING (b)
+      GROUP BY 1, 2"""),
+    "kmeans_vectors": "SELECT vec_id, TRUE AS nearest FROM embeddings",
+    "kmeans_categories": query("category_jobs", """
+      SELECT a AS category_label, nullif(b, '<null>') AS company_name, count(*) AS jobs, TRUE AS nearest
+      FROM category_jobs GROUP BY 1, 2"""),
+    "hybrid_clusters": query("descriptions", """
+      SELECT job_id, TRUE AS counted, TRUE AS best, TRUE AS named FROM descriptions WHERE description IS NOT NULL"""),
     "silhouette_vectors": query("vector_score", "SELECT round(silhouette, 6) AS silhouette FROM vector_score"),
     "silhouette_categories": query(
         "category_score", "SELECT round(silhouette, 6) AS silhouette FROM category_score"),

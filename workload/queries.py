@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 
 from hirelake import schemas
 from hirelake.functions import tagging, text, times
+from hirelake.functions.vectors import squared_distance
 from hirelake.operators import (
     clustering, enrichment, marts, matching, petitions, tfidf,
 )
@@ -51,12 +52,13 @@ def listed(column: str):
 
 def star_frame(name: str):
     def run(v: Views) -> DataFrame:
-        return star.build_star(v.raw_postings(), INGEST_TIME)[name]
+        return star.star_frames(star.flatten(v.raw_postings()), INGEST_TIME)[name]
     return run
 
 
 def row_counts(v: Views) -> DataFrame:
-    return marts.row_counts(star.build_star(v.raw_postings(), INGEST_TIME))
+    flat = stage(star.flatten(v.raw_postings()), "postings")
+    return marts.row_counts(star.star_frames(flat, INGEST_TIME))
 
 
 def page_explode(v: Views) -> DataFrame:
@@ -102,13 +104,27 @@ def merge_locations(v: Views) -> DataFrame:
 
 
 def merge_jobs(v: Views) -> DataFrame:
-    return plain(star.merge_jobs(v.jobs_known(), stage(_jobs_source(v), "jobs-source")))
+    return plain(star.merge_jobs(v.jobs_known(), stage(_jobs_source(v), "jobs-source"), unique_source=True))
 
 
 def merge_idempotent(v: Views) -> DataFrame:
     source = stage(_jobs_source(v), "jobs-source")
-    once = stage(star.merge_jobs(v.jobs_known(), source), "jobs-once")
-    return plain(star.merge_jobs(once, source))
+    once = stage(star.merge_jobs(v.jobs_known(), source, unique_source=True), "jobs-once")
+    return plain(star.merge_jobs(once, source, unique_source=True))
+
+
+def merge_interrupted(v: Views) -> DataFrame:
+    """A stored merge that breaks off before it is published, and is run again."""
+    spark, path = v.spark, scratch_path(v.spark, "interrupted")
+    source = stage(_jobs_source(v), "jobs-source")
+
+    def merge(target: DataFrame, rows: DataFrame) -> DataFrame:
+        return star.merge_jobs(target, rows, unique_source=True)
+
+    tables.merge_into(spark, path, schemas.JOBS, v.jobs_known(), ["job_id"], merge, buckets=4)
+    tables.write_version(spark, path, schemas.JOBS, source, ["job_id"], merge)  # never published
+    tables.merge_into(spark, path, schemas.JOBS, source, ["job_id"], merge)
+    return plain(tables.read_table(spark, path, schemas.JOBS))
 
 
 def merge_jobstats(v: Views) -> DataFrame:
@@ -144,12 +160,12 @@ def sponsorship_batch(v: Views) -> DataFrame:
 
 def sponsorship_merge(v: Views) -> DataFrame:
     raw = v.petitions()
-    before = petitions.sponsorship_batch(raw.filter("fiscal_year <= 1998 AND s_acctbal >= 0"))
+    before = petitions.sponsorship_batch(raw.filter("fiscal_year <= 1998"))
     status = before.select(
         "employer_name", F.nullif("is_sponsor", F.lit(False)).alias("ever_sponsored_h1b"),
         F.col("fiscal_year").alias("last_updated_fiscal_year"))
     batch = stage(petitions.sponsorship_batch(raw.filter("fiscal_year > 1998")), "batch")
-    return petitions.merge_sponsorship(status, batch)
+    return petitions.merge_sponsorship(status, batch, unique_source=True)
 
 
 def normalize_names(v: Views) -> DataFrame:
@@ -246,10 +262,6 @@ def prompt_text(v: Views) -> DataFrame:
                        text.title_and_description(title, body).alias("cluster_text"))
 
 
-def capped_sample(v: Views) -> DataFrame:
-    return cluster_plan.capped(v.documents().select("job_id", "lang", "n_chars"), 300)
-
-
 # --- clustering -------------------------------------------------------------
 
 def clean_text(v: Views) -> DataFrame:
@@ -259,6 +271,7 @@ def clean_text(v: Views) -> DataFrame:
 def _weighted(df: DataFrame):
     worded = tfidf.prepare_words(
         df.withColumn("clean_text", text.clean_text(F.col("text"))), "clean_text", STOP_WORDS)
+    worded = stage(worded.drop("text", "clean_text"), "words")
     vocab = tfidf.vocabulary(worded, "words")
     return tfidf.add_weights(worded, "words", vocab), vocab
 
@@ -282,37 +295,42 @@ def cluster_names(v: Views) -> DataFrame:
 
 
 def one_hot(v: Views) -> DataFrame:
-    return clustering.one_hot_long(v.descriptions(), "job_id")
-
-
-def _kmeans_members(v: Views) -> DataFrame:
-    df = v.vectors().select("vec_id", array_to_vector("vector").alias("features"))
-    return clustering.fit_kmeans(df).transform(df)
+    return clustering.one_hot(clustering.categorical_pairs(v.descriptions()))
 
 
 def kmeans_vectors(v: Views) -> DataFrame:
-    return _kmeans_members(v).select("vec_id", "cluster_id")
+    """Every vector with whether the centre it was assigned is the nearest of all."""
+    df = v.vectors().select("vec_id", "vector", array_to_vector("vector").alias("features"))
+    model = clustering.fit_kmeans(df)
+    centers = F.array(*[F.lit([float(x) for x in center]) for center in model.clusterCenters()])
+    off = F.transform(centers, lambda c: squared_distance(F.col("vector"), c))
+    return model.transform(df).select(
+        "vec_id", (F.get(off, F.col("cluster_id")) <= F.array_min(off) + 1e-9).alias("nearest"))
 
 
-def kmeans_categories(v: Views) -> DataFrame:
-    pairs = stage(clustering.one_hot(clustering.categorical_pairs(v.descriptions())), "pairs")
-    found = clustering.fit_kmeans(pairs, weight="jobs").transform(pairs)
-    return found.select("category_label", "company_name", "jobs", "cluster_id")
-
-
-def kmeans_assign_step(v: Views) -> DataFrame:
-    points = v.vectors()
-    centers = clustering.centers_of(points, "vector")
-    return clustering.assign_nearest(points.drop("cluster_id"), "vector", centers).select(
-        "vec_id", "cluster_id")
+def _categorical_clusters(v: Views) -> DataFrame:
+    return clustering.categorical_kmeans(stage(clustering.categorical_pairs(v.descriptions()), "pairs"))
 
 
-def kmeans_center_step(v: Views) -> DataFrame:
-    points = v.vectors()
-    centers = clustering.centers_of(points, "vector")
-    moved = clustering.centers_of(clustering.assign_nearest(points, "vector", centers), "vector")
-    return moved.select("cluster_id", F.posexplode("center").alias("position", "value")).select(
-        "cluster_id", "position", six("value"))
+def kmeans_categories(v: Views) -> DataFrame:
+    """Every pair with its jobs and whether its cluster's centre is the nearest, measured against every centre."""
+    a, b, k = "category_label", "company_name", "cluster_id"
+    found = _categorical_clusters(v)
+    sizes = found.groupBy(k).agg(F.sum("jobs").alias("size"))
+
+    def shares(column: str) -> DataFrame:
+        counts = found.groupBy(k, column).agg(F.sum("jobs").alias("n")).join(sizes, k)
+        return counts.select(F.col(k).alias("other"), F.col(column).alias(f"_{column}"), (F.col("n") / F.col("size")).alias(f"{column}_share"))
+
+    norms = shares(a).union(shares(b)).groupBy("other").agg(F.sum(F.col(f"{a}_share") ** 2).alias("norm"))
+    every = found.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(clustering.N_CLUSTERS - 1)))).join(norms, "other")
+    for column in (a, b):
+        same = [F.col("other") == F.col("_other"), F.col(column).eqNullSafe(F.col(f"_{column}"))]
+        every = every.join(shares(column).withColumnRenamed("other", "_other"), same, "left").drop("_other", f"_{column}")
+    off = F.col("norm") + 2 - 2 * (F.coalesce(f"{a}_share", F.lit(0.0)) + F.coalesce(f"{b}_share", F.lit(0.0)))
+    measured = every.withColumn("far", off).groupBy(a, b, "jobs").agg(
+        F.max(F.when(F.col("other") == F.col(k), F.col("far"))).alias("own"), F.min("far").alias("least"))
+    return measured.select(a, b, "jobs", (F.col("own") <= F.col("least") + 1e-6).alias("nearest"))
 
 
 def _one_row(v: Views, schema: str, *values) -> DataFrame:
@@ -329,6 +347,7 @@ def silhouette_vectors(v: Views) -> DataFrame:
 
 
 def _categorical_silhouette(v: Views) -> DataFrame:
+    """Of documents clustered by their length, by category and company."""
     lengths = F.least(F.floor(F.col("n_chars") / 1000), F.lit(8)).cast("int")
     clustered = v.descriptions().withColumn("cluster_id", lengths).fillna(
         {"category_label": clustering.UNKNOWN}
@@ -372,14 +391,19 @@ def cluster_registry(v: Views) -> DataFrame:
 
 
 def hybrid_clusters(v: Views) -> DataFrame:
-    """The whole clustering: both models, the winner's assignment with its cluster's name."""
+    """The whole clustering: for each job, whether its cluster counts as many jobs as are in it, and whether the better model won."""
     jobs = v.descriptions().withColumns({
         "title": F.coalesce("title", F.lit("untitled")), "salary_min": F.lit(None).cast("double"),
         "salary_max": F.col("n_chars").cast("double")})
     day = F.lit(INGEST_TIME).cast("timestamp")
     result = cluster_plan.cluster_jobs(jobs, stop_words=STOP_WORDS, day=day, now=day)
-    names = result.registry.select("cluster_id", "cluster_name", "job_count")
-    return plain(result.job_clusters.join(names, "cluster_id"))
+    sizes = result.job_clusters.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+    counted = result.registry.join(sizes, "cluster_id", "left").select(
+        "cluster_id", (F.col("job_count") == F.coalesce("size", F.lit(0))).alias("counted"))
+    best = result.scores[result.winner] >= max(result.scores.values())
+    version = F.lit(f"{result.winner}_20250101")
+    return result.job_clusters.join(counted, "cluster_id").select(
+        "job_id", "counted", F.lit(best).alias("best"), (F.col("model_version") == version).alias("named"))
 
 
 def blank_vector(v: Views) -> DataFrame:
@@ -402,10 +426,10 @@ def stream_upsert(v: Views) -> DataFrame:
     late = F.col("ingest_data") >= CUTOFF
     dims = (v.companies(), v.categories(), v.locations())
 
-    def apply(batch: DataFrame) -> None:
+    def apply(rows: DataFrame, batch: str) -> None:
         tables.merge_into(
-            batch.sparkSession, f"{base}/jobs", schemas.JOBS, star.jobs_source(batch, *dims),
-            ["job_id"], star.merge_jobs, buckets=8)
+            rows.sparkSession, f"{base}/jobs", schemas.JOBS, star.jobs_source(rows, *dims),
+            ["job_id"], lambda t, s: star.merge_jobs(t, s, unique_source=True), buckets=8, batch=batch)
 
     for day, drop in enumerate((staged.filter(~late), staged.filter(late)), start=1):
         landing.land_frames({"jobs": drop}, base, datetime(2025, 1, day))
@@ -430,6 +454,7 @@ QUERIES = {
     "merge_locations": merge_locations,
     "merge_jobs": merge_jobs,
     "merge_idempotent": merge_idempotent,
+    "merge_interrupted": merge_interrupted,
     "merge_jobstats": merge_jobstats,
     "merge_skills_catalogue": merge_skills_catalogue,
     "company_presence": company_presence,
@@ -451,7 +476,6 @@ QUERIES = {
     "enrichment_parse": enrichment_parse,
     "enrich_incremental": enrich_incremental,
     "prompt_text": prompt_text,
-    "capped_sample": capped_sample,
     "clean_text": clean_text,
     "tfidf_terms": tfidf_terms,
     "cluster_keywords": cluster_keywords,
@@ -459,8 +483,6 @@ QUERIES = {
     "one_hot": one_hot,
     "kmeans_vectors": kmeans_vectors,
     "kmeans_categories": kmeans_categories,
-    "kmeans_assign_step": kmeans_assign_step,
-    "kmeans_center_step": kmeans_center_step,
     "silhouette_vectors": silhouette_vectors,
     "silhouette_categories": silhouette_categories,
     "model_select": model_select,

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from hirelake.session import spread
-
 CUTOFF = "1998-05-01"
 
 
@@ -23,12 +21,8 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table whose rows carry heavy work; its small test files hold a single row group."""
-        return spread(self.table(name))
-
     def texts(self) -> DataFrame:
-        return self.spread("documents")
+        return self.table("documents")
 
     # --- postings -----------------------------------------------------------
 
@@ -38,7 +32,7 @@ class Views:
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         suppliers = self.table("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
         return (
-            self.spread("lineitem")
+            self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
             .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -114,7 +108,7 @@ class Views:
             .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit('{"results": [{"id": "x"'))
             .otherwise(page)
         )
-        return self.spread("orders").select(F.col("o_orderkey").alias("page_id"), text.alias("page"))
+        return self.table("orders").select(F.col("o_orderkey").alias("page_id"), text.alias("page"))
 
     # --- dimensions and targets --------------------------------------------
 
@@ -176,7 +170,7 @@ class Views:
         )
 
     def jobstats_staging(self) -> DataFrame:
-        return self.spread("lineitem").select(
+        return self.table("lineitem").select(
             F.col("l_orderkey").cast("string").alias("job_id"),
             F.col("l_returnflag").alias("contract_type"), F.col("l_linestatus").alias("contract_time"),
             F.weekofyear("l_shipdate").cast("string").alias("posting_week"))
@@ -188,8 +182,8 @@ class Views:
             F.weekofyear("o_orderdate").cast("string").alias("posting_week"))
 
     def skill_catalogue(self, known: bool) -> DataFrame:
-        """Parts as skills: the catalogue as known (cheap parts), or the new edition (large ones)."""
-        part = self.table("part").filter("p_retailprice < 1500" if known else "p_size >= 10")
+        """Parts as skills: the catalogue as known (cheap or small parts), or the new edition (large ones)."""
+        part = self.table("part").filter("p_retailprice < 1500 OR p_size < 10" if known else "p_size >= 10")
         edition = F.lit("first" if known else "second")
         return part.select(
             F.col("p_partkey").cast("string").alias("skill_id"),
@@ -220,7 +214,7 @@ class Views:
             for i, kind in enumerate(kinds) for outcome in ("approval", "denial")
         ]
         return (
-            self.spread("lineitem")
+            self.table("lineitem")
             .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .select(
                 year.alias("fiscal_year"), F.upper("s_name").alias("employer_petitioner_name"),
@@ -286,10 +280,10 @@ class Views:
             .when(kind == "purchase", F.concat(number, F.lit(" - 7 year")))
             .otherwise(F.concat(number, F.lit("years")))
         )
-        return self.spread("events").select("event_id", text.alias("text"))
+        return self.table("events").select("event_id", text.alias("text"))
 
     def responses(self) -> DataFrame:
-        """Events as enrichment responses: complete, partial, with nulls, of a wrong type, broken."""
+        """Events as enrichment responses: complete, with other types than asked for, with nulls, no object, broken."""
         k = F.get_json_object("props", "$.k")
         kind = F.col("event_type")
         full = F.concat(
@@ -297,12 +291,13 @@ class Views:
             F.lit(', "years_max": 99, "education": "BSc", "benefits": ["bonus"], "tech_stack": []}'))
         text = (
             F.when(kind == "click", full)
-            .when(kind == "view", F.concat(F.lit('{"years_min": '), k, F.lit("}")))
+            .when(kind == "view", F.concat(
+                F.lit('{"years_min": "'), k, F.lit('", "years_max": '), k, F.lit('.75, "skills": "sql", "benefits": {"a": 1}}')))
             .when(kind == "signup", F.lit('{"skills": null, "years_max": null, "benefits": ["a", "b"]}'))
             .when(kind == "purchase", F.concat(F.lit('[{"years_min": '), k, F.lit("}]")))
             .otherwise(F.concat(F.lit('{"years_min": '), k))
         )
-        return self.spread("events").select(
+        return self.table("events").select(
             F.col("event_id").cast("string").alias("job_id"), text.alias("response"))
 
     def vectors(self) -> DataFrame:
