@@ -52,13 +52,10 @@ def _local_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    """Every node's larger neighbours point to the least of its neighbourhood."""
+    """Every node's larger neighbours point to the least of its neighbourhood; links may repeat."""
     both = links.union(links.select(F.col("low").alias("node"), F.col("node").alias("low")))
     least = both.groupBy("node").agg(F.min("low").alias("least"))
-    return (
-        both.join(least, "node").where("low > node")
-        .select(F.col("low").alias("node"), F.least("node", "least").alias("low")).distinct()
-    )
+    return both.join(least, "node").where("low > node").select(F.col("low").alias("node"), F.least("node", "least").alias("low"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -71,6 +68,15 @@ def _small_star(links: DataFrame) -> DataFrame:
     )
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node has one link and no node is the low end of another: then nothing is left to do."""
+    ends = links.select(F.explode(F.array(
+        F.struct(F.col("node").alias("end"), F.lit(1).alias("as_node"), F.lit(0).alias("as_low")),
+        F.struct(F.col("low").alias("end"), F.lit(0).alias("as_node"), F.lit(1).alias("as_low")))).alias("x")).select("x.*")
+    uses = ends.groupBy("end").agg(F.sum("as_node").alias("nodes"), F.max("as_low").alias("lows"))
+    return uses.where("nodes > 1 or nodes = 1 and lows = 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``low`` (the least node of its group) for links given as two columns of numbers.
 
@@ -82,10 +88,6 @@ def components(links: DataFrame) -> DataFrame:
     a, b = links.columns
     plain = links.select(F.col(a).cast("long").alias("node"), F.col(b).cast("long").alias("low")).where("node != low")
     current = stage(plain.mapInArrow(_local_groups, LINK).distinct(), "links")
-    before = None
-    while True:
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("node", "low").cast("decimal(38,0)"))).first()
-        if state[0] == 0 or state == before:
-            return current
-        before = state
+    while not _are_stars(current):
         current = stage(_small_star(_large_star(current)), "links")
+    return current

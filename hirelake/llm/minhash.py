@@ -13,14 +13,13 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.llm.arrow import map_texts, text_of
-from hirelake.llm.components import UnionFind, components
+from hirelake.llm.components import components
 from hirelake.llm.scan import ASCII_WHITE, fingerprints, mix, runs, slices, text_bytes
 from hirelake.session import stage
 
@@ -32,6 +31,8 @@ _UNSET = np.uint64(2**64 - 1)
 BLOCK = 1 << 16
 #: Texts compared all with all at once, where a bucket is not settled by its leader.
 COMPARED = 200
+#: Shingles whose occurrences are held as a matrix at once.
+COLUMNS = 4096
 #: So many ids are broadcast to the scan of the texts (8 bytes each, about 60 MB in a hash table); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -171,31 +172,73 @@ def _sized(small, large, percent: int):
     return 100 * F.least(small, large) >= percent * F.greatest(small, large)
 
 
-def _settle(plan: Plan):
-    """Links between different groups within one block of a bucket, at most one less than its texts."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates(["text_id", "block"]).sort_values("text_id")
-        groups = UnionFind()
-        ids = frame["text_id"].tolist()
-        for text, group in zip(ids, frame["group"].tolist()):
-            groups.join(2 * text + 1, 2 * group)  # texts are odd, groups even
-        sets = [np.asarray(x) for x in frame["shingles"]]
-        blocks = frame["block"].tolist()
-        first, second = frame["low_block"].iloc[0], frame["high_block"].iloc[0]
-        links = []
-        for a in range(len(ids)):
-            for b in range(a + 1, len(ids)):
-                if first != second and blocks[a] == blocks[b]:
-                    continue
-                short, long = sorted((len(sets[a]), len(sets[b])))
-                if 100 * short < plan.percent * long or groups.root(2 * ids[a] + 1) == groups.root(2 * ids[b] + 1):
-                    continue
-                shared = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if _similar(shared, short, long, plan.percent):
-                    groups.join(2 * ids[a] + 1, 2 * ids[b] + 1)
-                    links.append((ids[a], ids[b]))
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+class _Member(NamedTuple):
+    text: int
+    group: int
+    block: int
+    shingles: np.ndarray
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many numbers each two sets share, as a matrix: products of 0/1 rows over the numbers that occur more than once."""
+    count = len(sets)
+    owner = np.repeat(np.arange(count), [len(x) for x in sets])
+    _, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    renumbered = np.cumsum(uses > 1) - 1
+    shared = uses[column] > 1
+    owner, column = owner[shared], renumbered[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((count, count), np.int64)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        low, high = np.searchsorted(column, [first, first + COLUMNS])
+        rows = np.zeros((count, COLUMNS), np.float32)  # products of up to COLUMNS ones are exact
+        rows[owner[low:high], column[low:high] - first] = 1
+        common += (rows @ rows.T).astype(np.int64)
+    return common
+
+
+def _settle(members: list[_Member], across: bool, percent: int) -> list[tuple[int, int]]:
+    """Links between different groups among the members, at most one less than there are; ``across`` two blocks or within one."""
+    members = sorted(members, key=lambda member: member.text)
+    groups = np.array([member.group for member in members])
+    if (groups == groups[0]).all():
+        return []
+    sizes = np.array([len(member.shingles) for member in members])
+    linked = _similar(_common([member.shingles for member in members]), sizes[:, None], sizes[None, :], percent)
+    if across:
+        blocks = np.array([member.block for member in members])
+        linked &= blocks[:, None] != blocks[None, :]
+    links = []
+    for a, member in enumerate(members):
+        while len(others := np.flatnonzero(linked[a, a + 1:] & (groups[a + 1:] != groups[a]))):
+            b = a + 1 + int(others[0])
+            links.append((member.text, members[b].text))
+            groups[groups == groups[b]] = groups[a]
+    return links
+
+
+def _settle_sorted(plan: Plan):
+    """:func:`_settle` of each run of rows with one bucket and block pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, members = None, []
+
+        def links() -> pa.RecordBatch:
+            found = _settle(members, now[1] != now[2], plan.percent) if len(members) > 1 else []
+            return pa.record_batch([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            lists = batch.column(6)
+            ends, values = np.asarray(lists.offsets), np.asarray(lists.values)
+            for k, (band, low, high, text, group, block) in enumerate(zip(*(column.to_pylist() for column in batch.columns[:6]))):
+                if (band, low, high) != now:
+                    if members:
+                        yield links()
+                    now, members = (band, low, high), []
+                members.append(_Member(text, group, block, values[ends[k]:ends[k + 1]].copy()))
+        if members:
+            yield links()
 
     return run
 
@@ -239,8 +282,10 @@ def near_duplicates(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id",
         pairs.join(two, "text_id").join(one, "leader")
         .where(_similar(common, F.size("leader_set"), F.size("text_id_set"), plan.percent))
         .select(F.col("leader").alias("a"), F.col("text_id").alias("b")), "links")
-    more = _within_buckets(shared, components(links), sets, plan)
-    found = components(links.union(more))
+    found = components(links)
+    more = _within_buckets(shared, found, sets, plan)
+    if not more.isEmpty():
+        found = components(found.union(more))
     grouped = (
         texts.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").where("copies > 1 or low is not null")
         .select("content", F.coalesce("low", "doc_id").alias("low"))
@@ -271,5 +316,6 @@ def _within_buckets(shared: DataFrame, found: DataFrame, sets: DataFrame, plan:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("band", "text_id", "group", "block", F.least("block", "other").alias("low_block"), F.greatest("block", "other").alias("high_block"))
     )
-    with_sets = dealt.join(sets.withColumnRenamed("doc_id", "text_id"), "text_id")
-    return stage(with_sets.groupBy("band", "low_block", "high_block").applyInPandas(_settle(plan), "a long, b long"), "more-links")
+    key = ["band", "low_block", "high_block"]  # at most two blocks of texts
+    with_sets = dealt.join(sets.withColumnRenamed("doc_id", "text_id"), "text_id").select(*key, "text_id", "group", "block", "shingles")
+    return stage(with_sets.repartition(*key).sortWithinPartitions(*key).mapInArrow(_settle_sorted(plan), "a long, b long"), "more-links")
