@@ -122,7 +122,18 @@ def test_parse_responses(spark, rows):
         [("1", good), ("2", "{}"), ("3", "[1]"), ("4", '{"skills"'), ("5", '{"years_min": "three"}'),
          ("6", None), ("7", ""), ("8", '[{"skills": []}]'), ("9", "7")], "job_id string, response string")
     parsed = enrichment.parse_responses(df, F.lit("now"))
-    assert rows(parsed) == [("1", ["a"], 1, 2, "MS", [], [], "now"), ("2", [], None, None, None, [], [], "now")]
+    assert rows(parsed) == [("1", ["a"], 1, 2, "MS", [], [], "now"), ("2", [], None, None, None, [], [], "now"),
+                            ("5", [], None, None, None, [], [], "now")]
+
+
+def test_fields_of_other_types(spark, rows):
+    """A field that can't be read does not take the rest of its record with it."""
+    texts = ['{"skills": ["a", 1], "years_min": "5", "years_max": 5.7, "education": 3}',
+             '{"skills": "sql", "years_min": 5.0, "benefits": {"x": 1}}', '{"skills": null, "years_max": [1], "tech_stack": []}']
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "job_id string, response string")
+    assert rows(enrichment.parse_responses(df, F.lit("now"))) == [
+        ("0", ["a", "1"], 5, 5, "3", [], [], "now"), ("1", ["sql"], 5, None, None, [], [], "now"),
+        ("2", [], None, None, None, [], [], "now")]
     assert [f.name for f in parsed.schema] == [f.split(" ")[0] for f in schemas.JOB_ENRICHMENT.split(", ")]
 
 

@@ -608,4 +608,38 @@ ORACLE = {
         CAST(CASE WHEN lang IN ('fr', 'es') OR regexp_matches(text, '^\\s*$') THEN 0 ELSE 1 END AS DOUBLE) AS norm
       FROM documents""",
     "stream_upsert": query("early_jobs late_jobs", SHOW_JOBS + f"({merged('early_jobs', 'late_jobs')})"),
+    "star_stored": query("flat star_companies star_categories star_locations", """
+      SELECT j.job_id, j.title, j.redirected_url, c.company_name AS company, j.category_label,
+        k.category_label IS NOT NULL AS categorized, j.city, j.state, l.country, s.contract_type,
+        '2025-01-01T12:00:00' AS ingest_data
+      FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY title, description, salary_min, salary_max,
+          created NULLS FIRST, redirected_url, company_name NULLS FIRST, category_label, city NULLS FIRST, state NULLS FIRST) AS rn
+        FROM flat) j
+      LEFT JOIN star_companies c ON j.company_name = c.company_name
+      LEFT JOIN star_categories k ON j.category_label = k.category_label
+      LEFT JOIN (SELECT coalesce(city, '') AS city, coalesce(state, '') AS state, min(coalesce(country, '')) AS country
+        FROM star_locations GROUP BY 1, 2) l ON coalesce(j.city, '') = l.city AND coalesce(j.state, '') = l.state
+      JOIN (SELECT job_id, arg_min(contract_type, (contract_type, contract_time)) AS contract_type FROM flat GROUP BY 1) s
+        ON j.job_id = s.job_id
+      WHERE rn = 1"""),
+    "skills_stored": query("skill_rows", "SELECT source_job_id AS job_id, skill_name FROM skill_rows"),
+    "sponsors_stored": query("petitions", f"""
+      SELECT md5(s_name) AS company_id, s_name || ', Inc.' AS company_name, employer_name AS h1b_official_name,
+        is_sponsor, fiscal_year AS last_updated_fiscal_year
+      FROM supplier JOIN (SELECT *, {normal('employer_name')} AS k FROM ({batch('TRUE')})) b
+        ON {normal("s_name || ', Inc.'")} = b.k WHERE is_sponsor"""),
+    "enrichment_stored": query("valid_responses", f"""
+      SELECT coalesce(e.job_id, x.job_id) AS job_id, e.years_experience_min, e.extracted_skills AS skills, x.n_dims, x.model_name
+      FROM (SELECT * FROM ({PARSED}) WHERE job_id IN (SELECT CAST(doc_id AS VARCHAR) FROM documents WHERE text IS NOT NULL)) e
+      FULL JOIN (SELECT CAST(vec_id AS VARCHAR) AS job_id, CAST(len(embedding) AS INTEGER) AS n_dims, 'm' AS model_name
+        FROM embeddings WHERE vec_id IN (SELECT doc_id FROM documents WHERE text IS NOT NULL)) x ON e.job_id = x.job_id"""),
+    "files_stored": "SELECT s_name AS company_name, 2 * count(*) AS copies FROM supplier GROUP BY 1",
+    "dictionary_file": """
+      SELECT n_nationkey, CASE WHEN n_regionkey < 3 THEN lower(n_name) ELSE '' END AS skills FROM nation""",
+    "pages_stored": """
+      SELECT o_orderkey || suffix AS id, o_orderpriority AS title, o_totalprice AS salary_max
+      FROM orders, (VALUES ('a'), ('b')) AS s(suffix) WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""",
+    "version_tag": """
+      SELECT o_orderkey, 'Embeddings_' || strftime(o_orderdate, '%Y%m%d') AS model_version,
+        strftime(o_orderdate, '%Y%m%d%H%M%S') AS stamp, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS updated_at FROM orders""",
 }

@@ -20,10 +20,11 @@ from hirelake.operators.upsert import upsert
 from hirelake.plans import clusters as cluster_plan
 from hirelake.plans import enrichment as enrichment_plan
 from hirelake.plans import skills as skill_plan
+from hirelake.plans import sponsors as sponsor_plan
 from hirelake.plans import star
 from hirelake.session import configure, scratch_path, stage
 from hirelake.sources import landing, postings, tables
-from hirelake.streaming.incremental import apply_new_files
+from hirelake.streaming.incremental import FRAMES, apply_new_files
 from workload.views import CUTOFF, Views, nanos
 
 INGEST_TIME = datetime(2025, 1, 1, 12, 0, 0)
@@ -438,6 +439,109 @@ def stream_upsert(v: Views) -> DataFrame:
     return plain(tables.read_table(spark, f"{base}/jobs", schemas.JOBS))
 
 
+# --- stored results of the pipelines ----------------------------------------
+
+def _stored(v: Views, label: str) -> str:
+    return scratch_path(v.spark, label)
+
+
+def _store(v: Views, base: str, name: str, schema: str, rows: DataFrame, key: str) -> None:
+    """A table as an earlier run left it."""
+    tables.merge_into(v.spark, f"{base}/{name}", schema, rows, [key], lambda t, s: upsert(t, s, [key], unique_source=True), buckets=4)
+
+
+def star_stored(v: Views) -> DataFrame:
+    """Postings landed as files, loaded into staging and merged into the five tables; the jobs with their dimensions."""
+    spark, base = v.spark, _stored(v, "star")
+    frames = star.star_frames(stage(star.flatten(v.raw_postings()), "postings"), INGEST_TIME)
+    paths = landing.land_frames(frames, f"{base}/land", INGEST_TIME)
+    staging = {name: landing.load_staging(spark, paths[name], FRAMES[name], f"{base}/staging/{name}") for name in paths}
+    loaded = star.load_star(spark, staging, f"{base}/tables", "hash", buckets=4)
+    jobs = loaded["jobs"].join(loaded["companies"].withColumnRenamed("company_name", "company"), "company_id", "left")
+    places = loaded["locations"].select("location_id", F.col("country"))
+    stats = loaded["jobstats"].select("job_id", "contract_type")
+    return jobs.join(places, "location_id", "left").join(stats, "job_id").select(
+        "job_id", "title", "redirected_url", "company", "category_label", F.col("category_id").isNotNull().alias("categorized"),
+        "city", "state", "country", "contract_type", "ingest_data")
+
+
+def skills_stored(v: Views) -> DataFrame:
+    """Stored jobs tagged, and the bridge with the names of its skills."""
+    spark, base = v.spark, _stored(v, "skills")
+    jobs = v.descriptions()
+    missing = [f.split(" ") for f in schemas.JOBS.split(", ")]
+    rows = jobs.select(*[(F.col(c) if c in jobs.columns else F.lit(None)).cast(kind).alias(c) for c, kind in missing])
+    _store(v, base, "jobs", schemas.JOBS, rows, "job_id")
+    skill_plan.extract_skills(spark, base, PHRASES, EXTRACTED, MODEL, "hash", buckets=4)
+    bridge = tables.read_table(spark, f"{base}/job_skills_bridge", schemas.JOB_SKILLS_BRIDGE)
+    skills = tables.read_table(spark, f"{base}/skills", schemas.SKILLS)
+    return bridge.join(skills, "skill_id").select("job_id", "skill_name")
+
+
+def sponsors_stored(v: Views) -> DataFrame:
+    """Petitions loaded and merged into the status, suppliers as companies matched with the employers."""
+    spark, base = v.spark, _stored(v, "sponsors")
+    companies = v.table("supplier").select(
+        F.concat("s_name", F.lit(", Inc.")).alias("company_name"), F.md5("s_name").alias("company_id"))
+    _store(v, base, "companies", schemas.COMPANIES, companies, "company_name")
+    sponsor_plan.load_petitions(spark, v.petitions(), base, buckets=4)
+    sponsor_plan.match_sponsors(spark, base)
+    return tables.read_or_empty(spark, f"{base}/sponsor_companies", schemas.SPONSOR_COMPANIES)
+
+
+def enrichment_stored(v: Views) -> DataFrame:
+    """Stored jobs enriched and embedded by stored answers, twice; both outputs side by side."""
+    spark, base = v.spark, _stored(v, "enrichment")
+    jobs = v.documents().select(*[
+        (F.col({"job_id": "job_id", "title": "source", "description": "text"}[c]) if c in ("job_id", "title", "description")
+         else F.lit(None)).cast(kind).alias(c) for c, kind in [f.split(" ") for f in schemas.JOBS.split(", ")]])
+    _store(v, base, "jobs", schemas.JOBS, jobs, "job_id")
+    vectors = v.vectors().select(F.col("vec_id").cast("string").alias("job_id"), "vector")
+    for _ in range(2):
+        enrichment_plan.enrich_jobs(
+            spark, base, lambda todo: todo.join(v.responses(), "job_id").select("job_id", "response"),
+            lambda todo: todo.join(vectors, "job_id").select("job_id", "vector"), "m", EXTRACTED)
+    records = tables.read_or_empty(spark, f"{base}/job_enrichment", schemas.JOB_ENRICHMENT)
+    embedded = tables.read_or_empty(spark, f"{base}/job_embeddings", schemas.JOB_EMBEDDINGS)
+    return records.select("job_id", "years_experience_min", F.array_join("extracted_skills", ",").alias("skills")).join(
+        embedded.select("job_id", F.size("embedding_vector").alias("n_dims"), "model_name"), "job_id", "full")
+
+
+def files_stored(v: Views) -> DataFrame:
+    """Dimension rows landed, loaded, and appended to once more."""
+    base = _stored(v, "files")
+    paths = landing.land_frames({"companies": v.companies().select("company_name")}, base, INGEST_TIME)
+    rows = landing.load_staging(v.spark, paths["companies"], schemas.STAGING_COMPANIES, f"{base}/staging")
+    landing.append(rows, f"{base}/appended", max_records_per_file=7)
+    landing.append(rows, f"{base}/appended")
+    return v.spark.read.parquet(f"{base}/appended").groupBy("company_name").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def dictionary_file(v: Views) -> DataFrame:
+    """Phrases of one label from a file, and whether the names of the nations hold them."""
+    path = f"{_stored(v, 'dictionary')}/phrases.csv"
+    label = F.when(F.col("n_regionkey") < 3, "SKILL").otherwise("PLACE")
+    v.table("nation").select(F.col("n_name").alias("phrase"), label.alias("label")).write.option("header", True).csv(path)
+    phrases = tagging.read_dictionary(v.spark, path)
+    tagged = tagging.tag_phrases(v.table("nation").select("n_nationkey", "n_name"), "n_name", phrases)
+    return tagged.select("n_nationkey", F.array_join("skills", ",").alias("skills"))
+
+
+def pages_stored(v: Views) -> DataFrame:
+    """Pages written as JSON lines and read as postings."""
+    path = _stored(v, "pages")
+    v.pages().select(F.col("page").alias("value")).write.text(path)
+    return postings.read_pages(v.spark, path).select("id", "title", "salary_max")
+
+
+def version_tag(v: Views) -> DataFrame:
+    """Compact and ISO stamps of every order's date."""
+    at = F.col("o_orderdate").cast("timestamp")
+    return v.table("orders").select(
+        "o_orderkey", F.concat(F.lit("Embeddings_"), times.compact_stamp(at, with_time=False)).alias("model_version"),
+        times.compact_stamp(at).alias("stamp"), times.iso_text(at).alias("updated_at"))
+
+
 QUERIES = {
     "star_jobs": star_frame("jobs"),
     "star_jobstats": star_frame("jobstats"),
@@ -492,6 +596,14 @@ QUERIES = {
     "hybrid_clusters": hybrid_clusters,
     "blank_vector": blank_vector,
     "stream_upsert": stream_upsert,
+    "star_stored": star_stored,
+    "skills_stored": skills_stored,
+    "sponsors_stored": sponsors_stored,
+    "enrichment_stored": enrichment_stored,
+    "files_stored": files_stored,
+    "dictionary_file": dictionary_file,
+    "pages_stored": pages_stored,
+    "version_tag": version_tag,
 }
 
 
