@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from hirelake.llm.arrow import map_texts, text_of
-from hirelake.llm.scan import KeyTable, UnitTable, mix, spread_ranges
+from hirelake.llm.scan import KeyTable, UnitTable, mix, spread_ranges, tool
 
 #: Pieces of more bytes than this are merged one by one with a heap; a matrix would need a round per byte.
 MATRIX_BYTES = 256
@@ -175,10 +175,9 @@ class Bpe:
         return np.array([k for k in ids if k >= 0], np.int32)
 
 
-@functools.lru_cache(2)
 def load(path: str, pattern: str) -> Bpe:
     """The encoder of a file, built once per Python worker."""
-    return Bpe(path, pattern)
+    return tool(("bpe", path, pattern), lambda: Bpe(path, pattern))
 
 
 def encode_texts(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

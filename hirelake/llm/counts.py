@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.llm.arrow import map_texts, text_of
-from hirelake.llm.scan import KeyTable, UnitTable, fingerprints, fingerprints_from, mix, sums_of, text_bytes
+from hirelake.llm.scan import KeyTable, UnitTable, fingerprints, fingerprints_from, mix, sums_of, text_bytes, tool
 
 
 #: Longer words are counted one by one instead of as rows of a matrix.
@@ -268,10 +268,9 @@ class PrefixCounter:
         return sum(map(self._alone, self.words.findall(lowered)))
 
 
-@functools.lru_cache(2)
 def load(path: str) -> PrefixCounter:
     """The counter of a file, built once per Python worker."""
-    return PrefixCounter(path)
+    return tool(("counts", path), lambda: PrefixCounter(path))
 
 
 def prefix_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

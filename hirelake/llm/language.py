@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.arrow import map_texts, text_of
-from hirelake.llm.scan import KeyTable, mix, slices, text_bytes
+from hirelake.llm.arrow import map_texts, text_of, with_texts
+from hirelake.llm.scan import KeyTable, mix, slices, text_bytes, tool
 
 UNKNOWN = "und"
 #: Trigram vectors kept per Python worker (2 KB each at 512 dimensions) before the table is emptied.
@@ -106,9 +106,8 @@ class TrigramVectors:
         return out
 
 
-@functools.lru_cache(2)
 def _vectors(dimensions: int, seed: int) -> TrigramVectors:
-    return TrigramVectors(dimensions, seed)
+    return tool(("language", dimensions, seed), lambda: TrigramVectors(dimensions, seed))
 
 
 def fit(labelled: DataFrame, dimensions: int = 512, seed: int = 7, per_language: int = 4000,
@@ -165,7 +164,7 @@ def predict(df: DataFrame, profiles: Profiles, seed: int = 7, text_col: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = _vectors(dimensions, seed)
         for batch in batches:
-            found = vectors.texts(batch.column(batch.num_columns - 1))
+            found = vectors.texts(texts(batch))
             length = np.linalg.norm(found, axis=1)
             best, score = np.full(len(found), len(names) - 1), np.zeros(len(found))
             known = np.flatnonzero(length > 0)
@@ -174,10 +173,11 @@ def predict(df: DataFrame, profiles: Profiles, seed: int = 7, text_col: str = "t
                 best[known] = cosine.argmax(axis=1)
                 score[known] = np.clip(cosine.max(axis=1), 0, 1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names[best], pa.string()), pa.array(score)],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"])
+                [*batch.columns[:len(through)], pa.array(names[best], pa.string()), pa.array(score)],
+                names=[*through, "lang_pred", "score"])
 
-    columns = kept | {"text": text_of(df, text_col)}
+    columns, texts = with_texts(df, text_col, kept)
+    through = list(kept)
     schema = df.select(*[expression.alias(name) for name, expression in kept.items()]).schema
     fields = schema.add("lang_pred", "string").add("score", "double")
     return map_texts(df, columns, fields, run)

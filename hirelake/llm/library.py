@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import functools
 import itertools
 import os
 
 import numpy as np
 
-from hirelake.llm.scan import UnitTable
+from hirelake.llm.scan import UnitTable, tool
 
 
 class LibraryEncoder:
@@ -33,7 +32,6 @@ class LibraryEncoder:
         return np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
 
 
-@functools.lru_cache(2)
 def load(path: str) -> LibraryEncoder:
     """The encoder of a file, built once per Python worker."""
-    return LibraryEncoder(path)
+    return tool(("library", path), lambda: LibraryEncoder(path))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.llm.arrow import map_texts, text_of
+from hirelake.llm.arrow import map_texts, with_texts
 from hirelake.llm.scan import ASCII_WHITE, fingerprints, mix, runs, slices, text_bytes
 from hirelake.session import stage
 
@@ -137,15 +137,17 @@ def measure(df: DataFrame, text_col: str = "text", host: str | None = None, **ke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = measure_texts(batch.column(batch.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(column) for column in found.T)],
-                                             names=[*batch.schema.names[:-1], *MEASURES])
-
-    columns = kept | {"host": (F.expr(host) if host else F.lit(None)).cast("string")}
-    fields = df.select(*[expression.alias(name) for name, expression in columns.items()]).schema
+            found = measure_texts(texts(batch))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(through)], *(pa.array(column) for column in found.T)],
+                                             names=[*through, *MEASURES])
+
+    kept = kept | {"host": (F.expr(host) if host else F.lit(None)).cast("string")}
+    columns, texts = with_texts(df, text_col, kept)
+    through = list(kept)
+    fields = df.select(*[expression.alias(name) for name, expression in kept.items()]).schema
     for name in MEASURES:
         fields = fields.add(name, "long")
-    return map_texts(df, columns | {"text": text_of(df, text_col)}, fields, run)
+    return map_texts(df, columns, fields, run)
 
 
 def base_failed(limits: Limits) -> Column:

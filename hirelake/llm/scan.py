@@ -4,7 +4,7 @@ A text is looked at as UTF-8 bytes. A *unit* is a run of white space with the
 characters after it, up to the next run; tokenizers that split at white space
 encode a text as the sum of its units, so each distinct unit is encoded once per
 Python worker and then found by its 64-bit fingerprint (:class:`UnitTable`).
-Texts are taken in slices of about two megabytes, cut between units, so a very
+Texts are taken in slices of about a megabyte, cut between units, so a very
 long text needs no more memory than many short ones.
 """
 
@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 ASCII_WHITE = np.zeros(256, dtype=bool)
 ASCII_WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -157,6 +157,21 @@ def spread_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(total)
 
 
+_tool: list = [None, None]
+
+
+def tool(key: tuple, build: Callable[[], object]) -> object:
+    """What ``build`` makes, kept by the Python worker until it asks for another key.
+
+    A worker lives for many tasks; with one tool at a time, an operator's tables do not stay in memory
+    beside those of the next.
+    """
+    if _tool[0] != key:
+        _tool[:] = [None, None]
+        _tool[:] = [key, build()]
+    return _tool[1]
+
+
 class KeyTable:
     """Numbers of 64-bit keys: an open-addressed hash table whose operations take arrays."""
 
@@ -223,7 +238,7 @@ class UnitTable:
     compared instead of bytes: among ten million units two collide with a chance of 3e-6.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype, limit: int = 1_500_000):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype, limit: int = 1_000_000):
         self.encode, self.dtype, self.limit = encode, dtype, limit
         self._empty()
 
