@@ -250,21 +250,24 @@ class PrefixCounter:
                 continue
             part = unicodedata.normalize("NFC", part)
             lowered = "".join(map(str.lower, part))
-            if len(lowered) != len(part):
-                out.append(self._differences([self.count("".join(map(str.lower, part[:n]))) for n in range(1, len(part) + 1)]))
-            else:
-                out += self.lowered_steps([lowered])
+            counts = np.cumsum(np.frombuffer(self.lowered_steps([lowered])[0], np.int8), dtype=np.int64)
+            ends = np.cumsum([len(letter.lower()) for letter in part], dtype=np.int64)  # a few letters are two in lower case
+            out.append(self._differences(counts[ends - 1]))
             tail = regex.split(r"\p{White_Space}", lowered)[-1]
         return b"".join(out)
 
     def _alone(self, word: str) -> int:
-        """Count of one word by plain merging."""
+        """Count of one word: by plain merging, or from its prefixes if it is long."""
         spelled = [self.letters[byte] for byte in word.encode()]
+        if len(spelled) > ROW_BYTES:
+            known: tuple[list, list, list] = ([""], [0], [0])
+            self.word_counts("".join(spelled), known)
+            return known[2][-1]
         spelled[-1] += self.end
         return len(self.merge(spelled))
 
     def count(self, lowered: str) -> int:
-        """Count of a lower-cased text without special tokens, by plain merging."""
+        """Count of a lower-cased text without special tokens."""
         return sum(map(self._alone, self.words.findall(lowered)))
 
 
