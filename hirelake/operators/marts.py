@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from hirelake.operators.dedup import top_per_group
+from hirelake.session import stage
 
 
 def company_presence(jobs: DataFrame) -> DataFrame:
@@ -30,9 +31,9 @@ def category_overlap(jobs: DataFrame, companies: DataFrame, top: int = 5) -> Dat
     """Per category: its ``top`` companies by job count, and the sum of all counts.
 
     The array is built from at most ``top`` rows; the rest of a category only
-    ever meets in a partial sum.
+    ever meets in a partial sum. The counts feed both and are written once.
     """
-    counts = category_company_counts(jobs, companies)
+    counts = stage(category_company_counts(jobs, companies), "overlap-counts")
     totals = counts.groupBy("category_label").agg(F.sum("count").alias("total_jobs"))
     leaders = top_per_group(
         counts, ["category_label"], [F.desc("count"), F.asc("company_name")], top
