@@ -177,8 +177,6 @@ class KeyTable:
 
     def __init__(self):
         self.used = 0
-        self.known = np.zeros(1 << 14, np.uint64)
-        self.numbers = np.zeros(1 << 14, np.int32)
         self._slots(1 << 15)
 
     def _slots(self, size: int) -> None:
@@ -201,14 +199,12 @@ class KeyTable:
 
     def add(self, keys: np.ndarray, numbers: np.ndarray) -> None:
         """Enter distinct keys that are not in the table."""
-        used = self.used + len(keys)
-        self.known, self.numbers = grown(self.known, used), grown(self.numbers, used)
-        self.known[self.used:used], self.numbers[self.used:used] = keys, numbers
-        self.used = used
-        if 2 * used > self.last:
-            self._slots(1 << int(3 * used).bit_length())
-            keys, numbers = self.known[:used], self.numbers[:used]
+        self.used += len(keys)
         numbers = numbers.astype(np.int32)
+        if 5 * self.used > 3 * self.last:
+            full = self.entry >= 0
+            keys, numbers = np.append(self.keys[full], keys), np.append(self.entry[full], numbers)
+            self._slots(1 << int(2 * self.used).bit_length())
         slot = (keys & np.uint64(self.last)).astype(np.int64)
         # Several keys may want one free slot; the one that stands there after writing has it.
         while len(keys):
@@ -238,7 +234,7 @@ class UnitTable:
     compared instead of bytes: among ten million units two collide with a chance of 3e-6.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype, limit: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype, limit: int = 1_500_000):
         self.encode, self.dtype, self.limit = encode, dtype, limit
         self._empty()
 
