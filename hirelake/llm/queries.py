@@ -140,4 +140,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failures
 """
 
-ORACLE: dict[str, str] = {"op3_rules": RULES_SQL}
+#: All pairs of vectors, and what can be reached over links.
+EMBEDDINGS_SQL = """
+WITH RECURSIVE vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+  ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(x, y) AS (SELECT vec_id, vec_id FROM vectors UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT vec_id, (SELECT count(*) FROM links WHERE x = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN least ON vec_id = x
+"""
+
+#: Shingles as text, pairs that share one, and what can be reached over links.
+MINHASH_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+spots AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+windows AS (
+  SELECT doc_id, n, place, concat_ws(' ', word, lead(word, 1) OVER w, lead(word, 2) OVER w, lead(word, 3) OVER w) AS shingle
+  FROM spots WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+shingles AS MATERIALIZED (SELECT DISTINCT doc_id, shingle FROM windows WHERE place <= greatest(n - 3, 1)),
+sizes AS (SELECT doc_id, count(*) AS size FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+found AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * n >= 80 * (p.size + q.size - n)),
+links AS MATERIALIZED (SELECT x, y FROM found UNION ALL SELECT y, x FROM found),
+reach(x, y) AS (SELECT doc_id, doc_id FROM texts UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT t.doc_id, coalesce(size, 0) AS n_shingles, component_id, t.doc_id = component_id AS kept
+FROM texts t LEFT JOIN sizes s ON s.doc_id = t.doc_id JOIN least ON x = t.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op3_rules": RULES_SQL, "op5_embeddings": EMBEDDINGS_SQL, "op7_minhash": MINHASH_SQL}

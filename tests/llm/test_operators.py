@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from hirelake.llm import packing
 from hirelake.llm.queries import ORACLE, QUERIES
+from tests.llm.conftest import REAL
 
 
 def same(got, expected):
@@ -31,6 +32,15 @@ def test_names():
     assert [name.split("_")[0] for name in QUERIES] == [f"op{k}" for k in range(1, 11)]
 
 
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_sql_twins(run, name):
+    connection = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{REAL}/{table}.parquet'")
+    cursor = connection.execute(ORACLE[name])
+    same(run(name, REAL, *[c[0] for c in cursor.description]), cursor.fetchall())
+
+
 def test_bpe(run, read, folder):
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -67,12 +77,6 @@ def test_quality(run, read, folder):
 
 
 def test_rules(run, read, folder):
-    connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
-    if "sf0" in folder:
-        cursor = connection.execute(ORACLE["op3_rules"])
-        names = [c[0] for c in cursor.description]
-        same(run("op3_rules", folder, *names), cursor.fetchall())
     expected = []
     for doc, text in read(folder, "documents", "doc_id", "text"):
         text = text or ""
