@@ -129,6 +129,25 @@ def _exact_cosine(a: np.ndarray, b: np.ndarray) -> float:
     return math.fsum(a * b) / math.sqrt(math.fsum(a * a) * math.fsum(b * b))
 
 
+def _unite(low: np.ndarray, first: np.ndarray, second: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """Groups of places after more links; ``low`` is the least place of each place's group, ``linked`` says which of both lists are linked.
+
+    Whole groups are joined, so links of earlier calls hold on.
+    """
+    most = len(low)
+    while True:
+        a, b = low[first], low[second]
+        near_a = np.where(linked, b[None, :], most).min(axis=1)
+        near_b = np.where(linked, a[:, None], most).min(axis=0)
+        if (near_a >= a).all() and (near_b >= b).all():
+            return low
+        low = low.copy()
+        np.minimum.at(low, a, near_a)
+        np.minimum.at(low, b, near_b)
+        while (low[low] != low).any():
+            low = low[low]
+
+
 def _join_block(least: float, dtype: str):
     """Links within a block pair: how many each vector has there, and a star per local group."""
 
@@ -143,7 +162,12 @@ def _join_block(least: float, dtype: str):
         ids = [side["vec_id"].to_numpy() for side in (left, right)]
         copies = [side["copies"].to_numpy() for side in (left, right)]
         counts = [np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)]
-        low = [ids[0].copy(), ids[1].copy()]
+        every = np.concatenate(ids[:1] if same else ids)
+        by_id = np.argsort(every, kind="stable")
+        place = np.empty(len(every), np.int64)  # in order of id, so the least place of a group has its least id
+        place[by_id] = np.arange(len(every))
+        places = [place[:len(left)], place if same else place[len(left):]]
+        low = np.arange(len(every))
         for at in range(0, len(x), CHUNK):
             rows = slice(at, min(at + CHUNK, len(x)))
             begin = at if same else 0
@@ -161,17 +185,9 @@ def _join_block(least: float, dtype: str):
             a, b = hit_rows + at, hit_columns + begin
             counts[0][a] += linked @ copies[1][b]
             counts[1][b] += linked.T @ copies[0][a]
-            while True:  # the least id spreads over the links of the chunk
-                before = low[0][a].sum(), low[1][b].sum()
-                most = np.iinfo(np.int64).max
-                low[0][a] = np.minimum(low[0][a], np.where(linked, low[1][b][None, :], most).min(axis=1))
-                low[1][b] = np.minimum(low[1][b], np.where(linked, low[0][a][:, None], most).min(axis=0))
-                if same:  # both sides are the same vectors
-                    joint = np.minimum(low[0], low[1])
-                    low[0][:], low[1][:] = joint, joint
-                if before == (low[0][a].sum(), low[1][b].sum()):
-                    break
-        out = pd.DataFrame({"vec_id": np.concatenate(ids), "links": np.concatenate(counts), "low": np.concatenate(low)})
+            low = _unite(low, places[0][a], places[1][b], linked)
+        lows = every[by_id[low[np.concatenate(places)]]]
+        out = pd.DataFrame({"vec_id": np.concatenate(ids), "links": np.concatenate(counts), "low": lows})
         return out[(out["links"] > 0) | (out["low"] != out["vec_id"])]
 
     return run

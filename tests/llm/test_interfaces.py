@@ -121,6 +121,28 @@ def test_cells_and_blocks_lose_no_link(spark, monkeypatch):
     assert {r.vec_id: r.n_links for r in embeddings.near_duplicates(df).collect()} == expected
 
 
+@pytest.mark.parametrize("block", [8192, 300])
+def test_chains_over_many_chunks_stay_connected(spark, monkeypatch, block):
+    """Families of vectors along arcs, where only neighbours are linked, in any order of ids; more rows than a chunk."""
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    angles = np.arange(15) * 0.4
+    arcs = np.zeros((60, 15, 120), np.float32)
+    for family, rows in enumerate(arcs):
+        rows[:, 2 * family], rows[:, 2 * family + 1] = np.cos(angles), np.sin(angles)
+    rows = arcs.reshape(-1, 120)
+    ids = np.random.default_rng(3).permutation(len(rows)) + 7
+    df = spark.createDataFrame([(int(k), [float(x) for x in row]) for k, row in zip(ids, rows)], "vec_id long, embedding array<float>")
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    groups = components.UnionFind()
+    for a, b in zip(*np.nonzero(linked)):
+        groups.join(int(ids[a]), int(ids[b]))
+    expected = {int(k): (int(linked[at].sum()) - 1, groups.root(int(k))) for at, k in enumerate(ids)}
+    found = embeddings.near_duplicates(df).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == expected
+    assert sum(r.kept for r in found) == len({low for _, low in expected.values()})
+
+
 def test_hosts_shrink_towards_the_mean(spark):
     good = [(k, "good", "a b c d e f g h i j k l" + str(k)) for k in range(200)]
     bad = [(300 + k, "bad", "spam " * 30) for k in range(60)] + [(370, "bad", "one fine text of more than ten words that nobody has repeated")]
