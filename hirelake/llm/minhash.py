@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from hirelake.llm.arrow import map_texts, text_of
 from hirelake.llm.components import components
-from hirelake.llm.scan import ASCII_WHITE, fingerprints, mix, runs, slices, text_bytes
+from hirelake.llm.scan import ASCII_WHITE, ascii_white_mask, fingerprints, mix, runs, slices, text_bytes
 from hirelake.session import stage
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -65,7 +65,7 @@ def word_prints(texts: pa.Array) -> list[np.ndarray]:
     """Fingerprints of the words of each text, A-Z in lower case; words are runs of anything but ASCII white space."""
     data, offsets = text_bytes(texts)
     out: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(texts)
-    for first, bounds, part in slices(data, offsets):
+    for first, bounds, part in slices(data, offsets, white=ascii_white_mask):
         part = _LOWER[part]
         starts, ends = runs(~ASCII_WHITE[part], bounds)
         prints = fingerprints(part, starts, ends)

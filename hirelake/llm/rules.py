@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.llm.arrow import map_texts, with_texts
-from hirelake.llm.scan import ASCII_WHITE, fingerprints, mix, runs, slices, text_bytes
+from hirelake.llm.scan import ASCII_WHITE, ascii_white_mask, fingerprints, mix, runs, slices, text_bytes
 from hirelake.session import stage
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -105,7 +105,7 @@ def measure_texts(texts: pa.Array) -> np.ndarray:
     data, offsets = text_bytes(texts)
     out = np.zeros((len(texts), len(MEASURES)), np.int64)
     long_words: dict[int, list[np.ndarray]] = {}
-    for first, bounds, part in slices(data, offsets):
+    for first, bounds, part in slices(data, offsets, white=ascii_white_mask):
         count = len(bounds) - 1
         here = out[first:first + count]
         whole = int(offsets[first + count] - offsets[first]) == len(part)

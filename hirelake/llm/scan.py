@@ -4,7 +4,8 @@ A text is looked at as UTF-8 bytes. A *unit* is a run of white space with the
 characters after it, up to the next run; tokenizers that split at white space
 encode a text as the sum of its units, so each distinct unit is encoded once per
 Python worker and then found by its 64-bit fingerprint (:class:`UnitTable`).
-Texts are taken in slices of about a megabyte, cut between units, so a very
+Texts are taken in slices of about a megabyte, cut between units (or between words, where
+those are split at ASCII white space only), so a very
 long text needs no more memory than many short ones.
 """
 
@@ -55,11 +56,16 @@ def white_mask(data: np.ndarray) -> np.ndarray:
     return mask
 
 
-def _cut(data: np.ndarray, at: int, end: int) -> int:
-    """The first start of a white space run at or after ``at``, else ``end``."""
+def ascii_white_mask(data: np.ndarray) -> np.ndarray:
+    """True at each byte of an ASCII white space character."""
+    return ASCII_WHITE[data]
+
+
+def _cut(data: np.ndarray, at: int, end: int, white: Callable[[np.ndarray], np.ndarray]) -> int:
+    """The first start of a run of ``white`` at or after ``at``, else ``end``."""
     while at < end:
         stop = min(at + 65536, end)
-        window = white_mask(data[at - 4:stop])
+        window = white(data[at - 4:stop])
         starts = np.flatnonzero(window[4:] & ~window[3:-1])
         if len(starts):
             return at + int(starts[0])
@@ -67,10 +73,11 @@ def _cut(data: np.ndarray, at: int, end: int) -> int:
     return end
 
 
-def slices(data: np.ndarray, offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(data: np.ndarray, offsets: np.ndarray, limit: int = SLICE_BYTES,
+           white: Callable[[np.ndarray], np.ndarray] = white_mask) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text, bounds of texts, bytes) of consecutive texts of about ``limit`` bytes together.
 
-    A longer text comes in several slices, each with bounds of one text.
+    A longer text comes in several slices, each with bounds of one text, cut where a run of ``white`` starts.
     """
     first, count = 0, len(offsets) - 1
     while first < count:
@@ -81,7 +88,7 @@ def slices(data: np.ndarray, offsets: np.ndarray, limit: int = SLICE_BYTES) -> I
             yield first, offsets[first:last + 1] - low, data[low:end]
         else:
             while low < end:
-                high = _cut(data, low + limit, end) if end - low > limit else end
+                high = _cut(data, low + limit, end, white) if end - low > limit else end
                 yield first, np.array([0, high - low]), data[low:high]
                 low = high
         first = last

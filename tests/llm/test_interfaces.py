@@ -1,6 +1,8 @@
 """The operators' own interfaces: ids, prefixes, files, components, the host prior, the pipeline."""
 
+import collections
 import random
+import re
 import unicodedata
 
 import numpy as np
@@ -176,6 +178,20 @@ def test_units_of_long_texts():
     assert b"".join(part.tobytes() for _, _, part in scan.slices(data, offsets)) == b"a" + text.encode()
 
 
+@pytest.mark.parametrize("inner", ["\u3000", "\u00a0", "\u2003", "\u0085"])
+def test_words_of_long_texts_hold_other_white_space(inner):
+    """Around every megabyte the next white space is no ASCII one, and belongs to a word."""
+    text = " ".join(f"w{k % 4000}{inner}" + "日" * 200 + f"{inner}v" for k in range(6000))
+    assert len(text.encode()) > 3 << 20
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = collections.Counter(tuple(words[k:k + 5]) for k in range(len(words) - 4))
+    inside = {k + j for k in range(len(words) - 4) if windows[tuple(words[k:k + 5])] > 1 for j in range(5)}
+    found = dict(zip(rules.MEASURES, rules.measure_texts(pa.array(["a b", text]))[1].tolist()))
+    assert found == {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": 0, "n_dup_lines": 0, "n_repeat_words": len(inside)}
+    prints = minhash.word_prints(pa.array(["a b", text]))[1]
+    assert prints.tolist() == np.concatenate(minhash.word_prints(pa.array(words))).tolist()
+
+
 def test_no_python_for_urls(spark, odd):
     from hirelake.llm.queries import QUERIES
 
