@@ -17,9 +17,9 @@ from hirelake.session import stage
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language of the labelled ones: with a letter, and nearer to some language than a right angle.
+    """Documents with a letter whose vector is nearer to some labelled language than a right angle.
 
-    Rejects null and empty texts, and texts without letters.
+    Rejects null and empty texts, and texts without letters. Texts in other languages mostly stay: a cosine above 0 is enough.
     """
     importable(spark)
     predicted = language.predict(docs, language.fit(docs), row=whole_row(docs))
