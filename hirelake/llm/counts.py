@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.llm.arrow import map_texts, text_of
-from hirelake.llm.scan import KeyTable, UnitTable, fingerprints, fingerprints_from, mix, sums_of, text_bytes, tool
+from hirelake.llm.scan import KeyTable, UnitTable, fingerprints, mix, text_bytes, tool
 
 
 #: Longer words are counted one by one instead of as rows of a matrix.
@@ -148,7 +148,7 @@ class PrefixCounter:
         answer[live] = known > 0
         return answer
 
-    def rows_counts(self, sums: np.ndarray, starts: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    def rows_counts(self, raw: np.ndarray, starts: np.ndarray, widths: np.ndarray) -> np.ndarray:
         """Counts as whole words of all prefixes of words, a row per word; the widths (in bytes) must not rise."""
         shape = (len(starts), int(widths[0]) + 1)
         last = np.full(shape, -1, np.int32)
@@ -162,7 +162,7 @@ class PrefixCounter:
                     rows = np.flatnonzero(open_rows & (last[:many, start] != -1))
                     if not len(rows):
                         continue
-                    token = self._known_tokens(table, fingerprints_from(sums, starts[rows] + start, starts[rows] + at))
+                    token = self._known_tokens(table, fingerprints(raw, starts[rows] + start, starts[rows] + at))
                     rows, token = rows[token >= 0], token[token >= 0]
                     fit = self._all_fit(last[rows, start], token)
                     rows, token = rows[fit], token[fit]
@@ -191,7 +191,7 @@ class PrefixCounter:
             widths = -np.fromiter((row[0] for row in part), np.int64, len(part))
             raw = np.frombuffer(b"".join(row[1] for row in part), np.uint8)
             starts = np.cumsum(widths) - widths
-            counts = self.rows_counts(sums_of(raw), starts, widths)
+            counts = self.rows_counts(raw, starts, widths)
             inside = np.arange(counts.shape[1]) < widths[:, None]
             ends = np.append((raw[1:] & 0xC0) != 0x80, True)  # the last byte of each character
             inside[inside] = ends

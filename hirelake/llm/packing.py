@@ -12,8 +12,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -135,22 +135,25 @@ def pack_documents(df: DataFrame, path: str, end_id: int, tokens: int, documents
 
     Pieces are written once (without texts) and dealt by hash into groups of about ``group_pieces``, so a group's
     size does not grow with the input; each group is packed by :func:`pack` on its own. A piece as long as
-    a sequence is one. An empty table gives no rows.
+    a sequence is one. Rows without id and rows that repeat one are dealt out by their content; only copies of the same
+    text without id share a group. An empty table gives no rows.
     """
     pieces = stage(cut_pieces(df, path, end_id, tokens, keep_ids, id_col, text_col), "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
     names = pieces.columns
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId()
-        all_frames = [frame for frame in frames if len(frame)]
-        if not all_frames:
+        whole = pa.Table.from_batches([batch for batch in batches if batch.num_rows] or [pa.record_batch([[]] * len(names), names)])
+        if not whole.num_rows:
             return
-        frame = pd.concat(all_frames).sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True])
-        sequence, offset, _ = pack(frame["length"].to_numpy(), tokens, documents, cost, weights, rule)
-        frame["sequence_id"] = (number << 32) + sequence
-        frame["offset"] = offset
-        yield frame
+        # Ids stay Arrow integers: a null among them must not turn them into floating-point numbers.
+        order = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")]
+        whole = whole.take(pc.sort_indices(whole, order))
+        sequence, offset, _ = pack(whole["length"].to_numpy(), tokens, documents, cost, weights, rule)
+        whole = whole.append_column("sequence_id", pa.array((number << 32) + sequence)).append_column("offset", pa.array(offset))
+        yield from whole.to_batches()
 
     schema = PIECE + (", ids binary" if keep_ids else "") + ", sequence_id long, offset long"
-    return pieces.repartition(groups, F.xxhash64("doc_id", "piece")).select(*names).mapInPandas(run, schema)
+    # The checksum is part of the hash, so that rows without id are dealt out like all others.
+    return pieces.repartition(groups, F.xxhash64("doc_id", "piece", "start", "ids_crc32")).select(*names).mapInArrow(run, schema)

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 1 << 20
 
@@ -115,21 +116,11 @@ def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
-# Fixed random numbers of the fingerprints; any others would do.
-_ODD = 0x9E3779B97F4A7C15
-_INVERSE = pow(_ODD, -1, 1 << 64)
-_BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(size: int) -> list[np.ndarray]:
-    if len(_powers[0]) < size:
-        size = max(size, SLICE_BYTES + 4096)
-        for k, base in enumerate((_ODD, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: The first bytes of an 8-byte number, by how many of them belong to a range.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longer ranges are hashed one by one.
+LANE_BYTES = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -139,22 +130,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def sums_of(data: np.ndarray) -> np.ndarray:
-    """Running sums from which :func:`fingerprints_from` takes the fingerprint of any range."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * _power_tables(len(data) + 1)[0][:len(data)], out=sums[1:])
-    return sums
-
-
-def fingerprints_from(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit fingerprints of the byte ranges; equal ranges have equal fingerprints anywhere."""
-    inverse = _power_tables(len(sums))[1]
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(_ODD))
-
-
 def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """:func:`fingerprints_from` of the bytes themselves."""
-    return fingerprints_from(sums_of(data), starts, ends)
+    """64-bit fingerprints of the byte ranges; equal ranges have equal fingerprints anywhere.
+
+    A range is taken eight bytes at a time through :func:`mix`, which is not linear, so no structure of the
+    bytes makes fingerprints equal; ranges of over :data:`LANE_BYTES` bytes take xxh3.
+    """
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    left = ends - starts
+    state = mix((lanes[starts] & _FIRST[np.minimum(left, 8)]) ^ mix(left.astype(np.uint64) * _ODD))
+    live = np.flatnonzero((left > 8) & (left <= LANE_BYTES))
+    done = 8
+    while len(live):
+        lane = lanes[starts[live] + done] & _FIRST[np.minimum(left[live] - done, 8)]
+        state[live] = mix(state[live] * _ODD ^ lane)
+        done += 8
+        live = live[left[live] > done]
+    for k in np.flatnonzero(left > LANE_BYTES).tolist():
+        state[k] = xxhash.xxh3_64_intdigest(data[starts[k]:ends[k]].tobytes(), 0x5BD1)
+    return state
 
 
 def spread_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -237,30 +232,57 @@ class UnitTable:
 
     ``encode`` takes distinct units as bytes and returns their values end to end with
     the length of each. The table is emptied when it would hold more than ``limit`` units
-    (about 60 bytes each), which costs time but changes no result. Fingerprints are
-    compared instead of bytes: among ten million units two collide with a chance of 3e-6.
+    (about 60 bytes each and their own) or ``most_bytes`` of them, which costs time but changes no
+    result. The bytes of a found unit are compared with those it was entered with, so a
+    collision of fingerprints costs only another call of ``encode``.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype, limit: int = 1_500_000):
-        self.encode, self.dtype, self.limit = encode, dtype, limit
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype, limit: int = 1_500_000,
+                 most_bytes: int = 64 << 20):
+        self.encode, self.dtype, self.limit, self.most_bytes = encode, dtype, limit, most_bytes
         self._empty()
 
     def _empty(self) -> None:
-        self.filled = 0
+        self.filled = self.spelled = 0
         self.keys = KeyTable()
         self.values = np.zeros(1 << 16, self.dtype)
         self.start = np.zeros(1 << 14, np.int64)
         self.length = np.zeros(1 << 14, np.int32)
+        self.spelling = np.zeros(1 << 16, np.uint8)
+        self.spelling_start = np.zeros(1 << 14, np.int64)
+        self.spelling_length = np.zeros(1 << 14, np.int32)
 
-    def _add(self, prints: np.ndarray, values: np.ndarray, lengths: np.ndarray) -> None:
+    def _add(self, prints: np.ndarray, units: list[bytes], values: np.ndarray, lengths: np.ndarray) -> None:
         used = self.keys.used
         total, filled = used + len(prints), self.filled + len(values)
         self.values, self.start, self.length = grown(self.values, filled), grown(self.start, total), grown(self.length, total)
         self.values[self.filled:filled] = values
         self.start[used:total] = self.filled + np.cumsum(lengths) - lengths
         self.length[used:total] = lengths
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        spelled = self.spelled + int(sizes.sum())
+        self.spelling, self.spelling_start, self.spelling_length = (
+            grown(self.spelling, spelled), grown(self.spelling_start, total), grown(self.spelling_length, total))
+        self.spelling[self.spelled:spelled] = np.frombuffer(b"".join(units), np.uint8)
+        self.spelling_start[used:total] = self.spelled + np.cumsum(sizes) - sizes
+        self.spelling_length[used:total] = sizes
         self.keys.add(prints, np.arange(used, total, dtype=np.int32))
-        self.filled = filled
+        self.filled, self.spelled = filled, spelled
+
+    def _others(self, entry: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The ranges whose entry was made from other bytes."""
+        size = ends - starts
+        other = self.spelling_length[entry] != size
+        if other.any():
+            entry, starts, size = entry[~other], starts[~other], size[~other]
+            where = np.flatnonzero(~other)
+        else:
+            where = None
+        unlike = self.spelling[spread_ranges(self.spelling_start[entry], size)] != data[spread_ranges(starts, size)]
+        if not unlike.any():
+            return np.flatnonzero(other)
+        rows = np.unique(np.searchsorted(np.cumsum(size), np.flatnonzero(unlike), "right"))
+        return np.union1d(np.flatnonzero(other), rows if where is None else where[rows])
 
     def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The values of the units at these byte ranges, end to end, and the length of each."""
@@ -268,16 +290,25 @@ class UnitTable:
         entry = self.keys.find(prints)
         missing = np.flatnonzero(entry < 0)
         if len(missing):
-            if self.keys.used + len(missing) > self.limit and self.keys.used:
+            more = int((ends[missing] - starts[missing]).sum())
+            if self.keys.used and (self.keys.used + len(missing) > self.limit or self.spelled + more > self.most_bytes):
                 self._empty()
                 missing = np.arange(len(prints))
             fresh, first = np.unique(prints[missing], return_index=True)
             at = missing[first]
             raw = data.tobytes()
-            self._add(fresh, *self.encode([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]))
+            units = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+            self._add(fresh, units, *self.encode(units))
             entry[missing] = self.keys.find(prints[missing])
         lengths = self.length[entry].astype(np.int64)
-        return self.values[spread_ranges(self.start[entry], lengths)], lengths
+        others = self._others(entry, data, starts, ends)
+        if not len(others):
+            return self.values[spread_ranges(self.start[entry], lengths)], lengths
+        values, counts = self.encode([data[starts[k]:ends[k]].tobytes() for k in others.tolist()])
+        begin = self.start[entry]
+        begin[others] = self.filled + np.cumsum(counts) - counts
+        lengths[others] = counts
+        return np.append(self.values[:self.filled], values.astype(self.dtype))[spread_ranges(begin, lengths)], lengths
 
     def texts(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first text, values, bounds of each text's values) slice by slice; a long text comes in several."""

@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import inspect
 import math
 import re
 import zlib
@@ -10,6 +11,8 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -231,6 +234,53 @@ def test_packing(run, read, library, folder):
     assert len(filled) <= max(1, 1.02 * total / 1024 + 2)
 
 
+def thue_morse(size, one, other):
+    return "".join(other if bin(k).count("1") % 2 else one for k in range(size))
+
+
+@pytest.fixture(scope="module")
+def alike(tmp_path_factory):
+    """Words of 1,024 and 4,096 letters in which a polynomial of the bytes is the same, in one text, line by line, and in two texts."""
+    texts = []
+    for size in (1024, 4096):
+        for one, other in ("qi", "ab"):
+            word, opposite = thue_morse(size, one, other), thue_morse(size, other, one)
+            texts += [f"{one} {word} {opposite}", f"a line\n{word}\n{opposite}\nand\n{word}", f"1 2 3 {word} 4 5 6", f"1 2 3 {opposite} 4 5 6",
+                      f"1 2 3 4 {word} 1 2 3 4 {opposite}"]
+    folder = tmp_path_factory.mktemp("alike")
+    pq.write_table(pa.table({
+        "doc_id": pa.array([None, *(2**62 + 1 + 2 * k for k in range(len(texts) - 1))], pa.int64()), "text": pa.array(texts),
+        "lang": ["en"] * len(texts), "source": ["s"] * len(texts)}), folder / "documents.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("check", [test_bpe, test_token_counts, test_rules, test_minhash, test_token_files, test_packing], ids=lambda f: f.__name__)
+def test_words_whose_polynomials_are_equal(check, run, read, library, alike):
+    """Ids, counts, repeats and sets stay right, and so do ids above 2^53 beside a null one."""
+    given = {"run": run, "read": read, "library": library, "folder": alike}
+    check(*[given[name] for name in inspect.signature(check).parameters])
+
+
+def test_colliding_fingerprints_change_nothing(monkeypatch):
+    """With fingerprints of three bits every unit collides; the bytes are compared."""
+    from hirelake.llm import scan
+
+    plain = scan.fingerprints
+    monkeypatch.setattr(scan, "fingerprints", lambda *given: plain(*given) & np.uint64(7))
+
+    def encode(units):
+        flat = np.frombuffer(b"".join(units), np.uint8)
+        return flat, np.fromiter(map(len, units), np.int64, len(units))
+
+    table = scan.UnitTable(encode, np.uint8, limit=20)
+    texts = [" ".join(f"w{k * j % 97}" for k in range(60)) for j in range(5)]
+    for _ in range(3):
+        parts = [b""] * len(texts)
+        for k, values in table.each(pa.array(texts)):
+            parts[k] += values.tobytes()
+        assert parts == [text.encode() for text in texts]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_pack_keeps_every_capacity(rule):
     lengths = np.sort(np.random.default_rng(1).integers(1, 900, 800))[::-1]
