@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import bpe, counts, embeddings, language, minhash, packing, quality, rules, token_files, urls
+from hirelake.llm import automaton, bpe, counts, embeddings, language, minhash, packing, phrases, quality, rules, token_files, urls, variants
 from hirelake.llm.arrow import importable
 from hirelake.session import scratch_path, stage
 
@@ -84,6 +84,18 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
         _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, tokens=1024)
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.phrase_report(_table(spark, folder, "documents"))
+
+
+def op12_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variant_groups(_table(spark, folder, "documents"))
+
+
+def op13_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    return automaton.round_trip_digests(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -95,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_token_files": op9_token_files,
     "op10_packing": op10_packing,
+    "op11_phrases": op11_phrases,
+    "op12_variants": op12_variants,
+    "op13_automaton": op13_automaton,
 }
 
 #: The measures of whole texts, failed documents and shrunken host shares, with the limits of the operator.
@@ -176,4 +191,31 @@ SELECT t.doc_id, coalesce(size, 0) AS n_shingles, component_id, t.doc_id = compo
 FROM texts t LEFT JOIN sizes s ON s.doc_id = t.doc_id JOIN least ON x = t.doc_id
 """
 
-ORACLE: dict[str, str] = {"op3_rules": RULES_SQL, "op5_embeddings": EMBEDDINGS_SQL, "op7_minhash": MINHASH_SQL}
+#: Phrases counted as text; a longer phrase that has all occurrences of one has one more word or is part of such a one.
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\x0A-\x0D]+')) AS piece
+  FROM documents),
+listed AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM listed),
+phrases AS (
+  SELECT lang, w[i:i + m - 1] AS p FROM spots, (VALUES (1), (2), (3), (4), (5)) AS sizes(m) WHERE i + m - 1 <= len(w)),
+counts AS MATERIALIZED (SELECT lang, p, count(*) AS a FROM phrases GROUP BY lang, p HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM listed GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.p, c.a, k, x.a AS l, y.a AS r, n, (1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a) AS score
+  FROM counts c JOIN totals USING (lang), (VALUES (1), (2), (3), (4)) AS places(k), counts x, counts y
+  WHERE k < len(c.p) AND x.lang = c.lang AND y.lang = c.lang AND x.p = c.p[1:k] AND y.p = c.p[k + 1:]),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS place FROM cuts),
+covered AS (
+  SELECT lang, p[2:] AS p, a FROM counts WHERE len(p) > 2 UNION ALL SELECT lang, p[:-2], a FROM counts WHERE len(p) > 2),
+dropped AS (SELECT DISTINCT c.lang, c.p FROM counts c JOIN covered v ON v.lang = c.lang AND v.p = c.p AND v.a >= c.a),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+         array_to_string(p, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+  FROM lowest ANTI JOIN dropped USING (lang, p) WHERE place = 1)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op11_phrases": PHRASES_SQL, "op3_rules": RULES_SQL, "op5_embeddings": EMBEDDINGS_SQL, "op7_minhash": MINHASH_SQL}
