@@ -16,14 +16,21 @@ from hirelake.llm.arrow import importable, whole_row
 from hirelake.session import stage
 
 
+#: The least cosine of a text with its language, and how much nearer that must be than the next one. A text in none of the labelled
+#: languages, in other letters above all, has cosines of about 0.04 with all of them; texts of a word or two may fail as well.
+LEAST_SCORE = 0.1
+LEAST_MARGIN = 0.005
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter whose vector is nearer to some labelled language than a right angle.
+    """Documents that are near one of the labelled languages, and nearer than to the others.
 
-    Rejects null and empty texts, and texts without letters. Texts in other languages mostly stay: a cosine above 0 is enough.
+    Rejects null and empty texts, texts without letters, and those with a score below LEAST_SCORE or a margin below LEAST_MARGIN.
     """
     importable(spark)
     predicted = language.predict(docs, language.fit(docs), row=whole_row(docs))
-    return predicted.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0)).select("row.*")
+    near = (F.col("score") >= LEAST_SCORE) & (F.col("margin") >= LEAST_MARGIN)
+    return predicted.where((F.col("lang_pred") != language.UNKNOWN) & near).select("row.*")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Connected components of links, as joins and sums over the links (alternating stars).
 
 No node's neighbours are gathered in one task: the least neighbour of a node is an
-aggregate, and Spark's adaptive join splits the partition of a node with very many links.
+aggregate, and the links of a node with very many of them are joined with it where they are.
 """
 
 from __future__ import annotations
@@ -16,6 +16,9 @@ from hirelake.llm.arrow import importable
 from hirelake.session import stage
 
 LINK = "node long, low long"
+#: At most so many nodes are broadcast as hubs (16 bytes each), and a node with fewer links than this is none.
+HUBS = 100_000
+FEW = 100
 
 
 class UnionFind:
@@ -51,17 +54,30 @@ def _local_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([pa.array([x[k] for x in stars], pa.int64()) for k in (0, 1)], ["node", "low"])
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _with_least(links: DataFrame, both: DataFrame, most: int) -> DataFrame:
+    """``links`` with ``least``, the least ``low`` that ``both`` has for their node.
+
+    A node with more than one in :data:`HUBS` of all links (and more than :data:`FEW` of them) is a hub. There are at most
+    :data:`HUBS` of these, so they are broadcast, and their links stay where they are; all others meet in a shuffle.
+    """
+    least = both.groupBy("node").agg(F.min("low").alias("least"), F.count("*").alias("links"))
+    hub = F.col("links") > max(FEW, most // HUBS)
+    marked = links.join(F.broadcast(least.where(hub).select("node", F.col("least").alias("hub_least"))), "node", "left")
+    of_hubs = marked.where("hub_least is not null").select("node", "low", F.col("hub_least").alias("least"))
+    others = marked.where("hub_least is null").select("node", "low")
+    return of_hubs.union(others.join(least.where(~hub).select("node", "least"), "node").select("node", "low", "least"))
+
+
+def _large_star(links: DataFrame, count: int) -> DataFrame:
     """Every node's larger neighbours point to the least of its neighbourhood; links may repeat."""
     both = links.union(links.select(F.col("low").alias("node"), F.col("node").alias("low")))
-    least = both.groupBy("node").agg(F.min("low").alias("least"))
-    return both.join(least, "node").where("low > node").select(F.col("low").alias("node"), F.least("node", "least").alias("low"))
+    larger = _with_least(both, both, 2 * count).where("low > node")
+    return larger.select(F.col("low").alias("node"), F.least("node", "least").alias("low"))
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, count: int) -> DataFrame:
     """Every node and its smaller neighbours point to the least of them."""
-    least = links.groupBy("node").agg(F.min("low").alias("least"))
-    joined = links.join(least, "node").select("node", "low", "least")
+    joined = _with_least(links, links, count)
     return (
         joined.select("node", F.col("least").alias("low"))
         .union(joined.where("low != least").select(F.col("low").alias("node"), F.col("least").alias("low"))).distinct()
@@ -89,5 +105,7 @@ def components(links: DataFrame) -> DataFrame:
     plain = links.select(F.col(a).cast("long").alias("node"), F.col(b).cast("long").alias("low")).where("node != low")
     current = stage(plain.mapInArrow(_local_groups, LINK).distinct(), "links")
     while not _are_stars(current):
-        current = stage(_small_star(_large_star(current)), "links")
+        count = current.count()
+        larger = stage(_large_star(current, count), "links")
+        current = stage(_small_star(larger, count), "links")
     return current

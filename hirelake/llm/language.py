@@ -150,10 +150,10 @@ def fit(labelled: DataFrame, dimensions: int = 512, seed: int = 7, per_language:
 
 
 def predict(df: DataFrame, profiles: Profiles, seed: int = 7, text_col: str = "text", **kept: Column) -> DataFrame:
-    """The ``kept`` expressions of every row with ``lang_pred`` and ``score`` for its whole text.
+    """The ``kept`` expressions of every row with ``lang_pred``, ``score`` and ``margin`` for its whole text.
 
     ``score`` is the cosine with the chosen language, at least 0 and at most 1; a tie goes to the first
-    by name. A text that is null or has no letter, and any text without profiles, is :data:`UNKNOWN` with score 0.
+    by name. ``margin`` is how much smaller the cosine with the next language is (the score if there is none). A text that is null or has no letter, and any text without profiles, is :data:`UNKNOWN` with score and margin 0.
     No shuffle; the profiles (languages x dimensions numbers) go to the tasks with the function.
     """
     dimensions = profiles.vectors.shape[1]
@@ -166,18 +166,20 @@ def predict(df: DataFrame, profiles: Profiles, seed: int = 7, text_col: str = "t
         for batch in batches:
             found = vectors.texts(texts(batch))
             length = np.linalg.norm(found, axis=1)
-            best, score = np.full(len(found), len(names) - 1), np.zeros(len(found))
+            best, score, margin = np.full(len(found), len(names) - 1), np.zeros(len(found)), np.zeros(len(found))
             known = np.flatnonzero(length > 0)
             if len(unit) and len(known):
                 cosine = found[known] @ unit.T / length[known, None]
                 best[known] = cosine.argmax(axis=1)
                 score[known] = np.clip(cosine.max(axis=1), 0, 1)
+                second = np.partition(cosine, -2, axis=1)[:, -2] if len(unit) > 1 else np.zeros(len(known))
+                margin[known] = score[known] - np.clip(second, 0, 1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(through)], pa.array(names[best], pa.string()), pa.array(score)],
-                names=[*through, "lang_pred", "score"])
+                [*batch.columns[:len(through)], pa.array(names[best], pa.string()), pa.array(score), pa.array(margin)],
+                names=[*through, "lang_pred", "score", "margin"])
 
     columns, texts = with_texts(df, text_col, kept)
     through = list(kept)
     schema = df.select(*[expression.alias(name) for name, expression in kept.items()]).schema
-    fields = schema.add("lang_pred", "string").add("score", "double")
+    fields = schema.add("lang_pred", "string").add("score", "double").add("margin", "double")
     return map_texts(df, columns, fields, run)

@@ -6,9 +6,9 @@ the scores of all that grows from them, and the rarer a first word, the higher i
 and phrases that were not grown yet) is expanded in batches, highest bounds first, until in every language the 2000th
 surviving score exceeds every bound left; a bound equal to it is expanded too, for the sake of ties.
 
-Each batch costs two passes over the texts, which are kept as numbers of frequent words. The first counts the 64-bit keys of
-all phrases that are one word longer than one of the frontier; the second counts those that reach the least count word by word,
-together with the rests of phrases found before. Keys are looked up in a filter of bounded size, whose
+A batch is grown a word at a time, in two passes over the texts, which are kept as numbers of frequent words. The first counts
+the 64-bit keys of all phrases that are one word longer than one of the frontier; the second counts those that reach the
+least count word by word, together with the rests of phrases found before. Keys are looked up in filters of bounded size, whose
 false hits cost time and change nothing, as what they let through is counted exactly.
 """
 
@@ -21,6 +21,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ class Plan(NamedTuple):
     longest: int = 5
     least: int = 100
     wanted: int = 2000
-    batches: tuple[float, ...] = (0.1, 0.4)
+    batches: tuple[float, ...] = (0.3,)
 
 
 class Filter(NamedTuple):
@@ -165,12 +166,11 @@ def _unlike(part: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: np.nd
     return np.flatnonzero((ends - starts != (first_ends - first_starts)[which]) | (((lanes[starts] ^ lanes[first_starts][which]) & mask) != 0))
 
 
-def sequences(df: DataFrame, frequent: Filter, seed: int, lang_col: str, text_col: str) -> DataFrame:
+def sequences(df: DataFrame, frequent: Broadcast, seed: int, lang_col: str, text_col: str) -> DataFrame:
     """``lang`` and ``ids`` of every text with a frequent word: their numbers, 0 for whatever is between (rare words, ends of pieces)."""
-    shared = df.sparkSession.sparkContext.broadcast(frequent.bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Filter(shared.value)
+        known = Filter(frequent.value)
         for batch in batches:
             language = _language_keys(batch.column(0))
             ids: list[list[np.ndarray]] = [[] for _ in range(batch.num_rows)]
@@ -223,71 +223,103 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.
         yield part, owner, key[owner] if len(key) else np.zeros(len(owner), np.uint64), count
 
 
-def _phrase_keys(numbers: np.ndarray, language: np.ndarray, count: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(words, starts, keys) of all phrases of 1, 2, ... words that start at places 1 to ``count``."""
+def _phrase_keys(numbers: np.ndarray, language: np.ndarray, count: int, longest: int, path: Filter) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, starts, keys) of phrases of 1, 2, ... words that start at places 1 to ``count``; those in ``path`` are lengthened."""
     starts = np.flatnonzero(numbers[1:count + 1] != 0) + 1
     keys = _first_keys(language[starts], numbers[starts])
     size = 1
     while True:
         yield size, starts, keys
-        if size == longest:
+        if size == longest or not len(starts):
             return
-        on = numbers[starts + size] != 0
-        starts, keys = starts[on], keys[on]
-        keys = _longer_keys(keys, numbers[starts + size])
+        on = np.flatnonzero(numbers[starts + size] != 0)
+        on = on[path.has(keys[on])]
+        starts = starts[on]
+        keys = _longer_keys(keys[on], numbers[starts + size])
         size += 1
 
 
-def longer_keys(texts: DataFrame, frontier: Filter, plan: Plan) -> DataFrame:
-    """``key`` of the phrases one word longer than one whose key is in the filter and at least ``plan.least`` times in a language."""
-    shared = texts.sparkSession.sparkContext.broadcast(frontier.bits)
+#: Groups a task adds up before it hands them on.
+HELD = 300_000
+
+
+def longer_keys(texts: DataFrame, path: Broadcast, size: int, plan: Plan) -> DataFrame:
+    """``key`` of the phrases of ``size`` + 1 words all of whose prefixes are in the filter, at least ``plan.least`` times in a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Filter(shared.value)
+        known = Filter(path.value)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def added_up() -> tuple[np.ndarray, np.ndarray]:
+            keys, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            return keys, np.bincount(at, np.concatenate([x for _, x in held])).astype(np.int64)
+
+        def batch_of(keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(keys.astype(np.int64)), pa.array(times)], ["key", "n"])
+
         for batch in small(batches):
             for numbers, _, language, count in _blocks(batch):
-                found, grown = [], None
-                for size, starts, keys in _phrase_keys(numbers, language, count, plan.longest):
-                    if grown is not None:
-                        found.append(keys[np.isin(starts, grown, assume_unique=True)])
-                    grown = starts[known.has(keys)]
-                keys, times = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.record_batch([pa.array(keys.astype(np.int64)), pa.array(times)], ["key", "n"])
+                for words, _, keys in _phrase_keys(numbers, language, count, size + 1, known):
+                    if words == size + 1 and len(keys):
+                        held.append(np.unique(keys, return_counts=True))
+            if sum(len(x) for x, _ in held) > HELD:
+                held = [added_up()]
+                if 2 * len(held[0][0]) > HELD:
+                    yield batch_of(*held.pop())
+        if held:
+            yield batch_of(*added_up())
 
     counted = texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     return counted.where(F.col("n") >= plan.least).select("key")
 
 
-def exact_counts(texts: DataFrame, wanted: Filter, plan: Plan) -> DataFrame:
-    """The phrases of two words and more whose keys are in the filter, by their words, with counts of at least ``plan.least``.
+_SIDES = [("before", "min"), ("before", "max"), ("after", "min"), ("after", "max")]
+
 
-    Of the words right before and after its occurrences (0: none or a rare one) a phrase has the least and the greatest
-    number; where these are equal and not 0, every occurrence is part of the same longer phrase.
+def exact_counts(texts: DataFrame, wanted: Broadcast, path: Broadcast, plan: Plan) -> DataFrame:
+    """The phrases of two words and more whose keys are in ``wanted``, by their words, with counts of at least ``plan.least``.
+
+    All their prefixes are in ``path``. Of the words right before and after its occurrences (0: none or a rare one) a phrase has
+    the least and the greatest number; where these are equal and not 0, every occurrence is part of the same longer phrase.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(wanted.bits)
     word = [f"w{k}" for k in range(plan.longest)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Filter(shared.value)
+        known, along = Filter(wanted.value), Filter(path.value)
+        held: dict[int, list[pa.Table]] = {}
+
+        def added_up(size: int) -> pa.Table:
+            table = pa.concat_tables(held[size]).group_by(["lang", *word[:size]]).aggregate(
+                [("a", "sum"), *((f"{side}_{end}", end) for side, end in _SIDES)])
+            return table.rename_columns([name.removesuffix("_sum").replace("_min_min", "_min").replace("_max_max", "_max") for name in table.column_names])
+
+        def batch_of(size: int, table: pa.Table) -> pa.RecordBatch:
+            flat = np.stack([table[name].to_numpy() for name in word[:size]], axis=1).ravel()
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(table.num_rows + 1, dtype=np.int32) * size), pa.array(flat))
+            rest = [table[name].combine_chunks() for name in ("a", "before_min", "before_max", "after_min", "after_max")]
+            return pa.record_batch([table["lang"].combine_chunks(), lists, *rest], [x.split()[0] for x in GRAM.split(", ")])
+
         for batch in small(batches):
+            names = batch.column(0).dictionary_encode()
             for numbers, owner, language, count in _blocks(batch):
-                for size, starts, keys in _phrase_keys(numbers, language, count, plan.longest):
+                for size, starts, keys in _phrase_keys(numbers, language, count, plan.longest, along):
                     starts = starts[known.has(keys)] if size > 1 else starts[:0]
                     if not len(starts):
                         continue
                     columns = {name: numbers[starts + k].astype(np.int64) for k, name in enumerate(word[:size])}
-                    names = batch.column(0).dictionary_encode()
                     columns["lang"] = np.asarray(names.indices)[owner[starts]]
                     before, after = numbers[starts - 1].astype(np.int64), numbers[starts + size].astype(np.int64)
-                    table = pa.table(columns | {"before": before, "after": after, "one": np.ones(len(starts), np.int64)})
-                    table = table.group_by(["lang", *word[:size]]).aggregate(
-                        [("one", "sum"), ("before", "min"), ("before", "max"), ("after", "min"), ("after", "max")])
-                    flat = np.stack([table[name].to_numpy() for name in word[:size]], axis=1).ravel()
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(table.num_rows + 1, dtype=np.int32) * size), pa.array(flat))
-                    yield pa.record_batch(
-                        [names.dictionary.take(pa.array(table["lang"].to_numpy())), lists,
-                         *(table[name].combine_chunks() for name in ("one_sum", "before_min", "before_max", "after_min", "after_max"))],
-                        [x.split()[0] for x in GRAM.split(", ")])
+                    table = pa.table(columns | {"before": before, "after": after, "a": np.ones(len(starts), np.int64)})
+                    table = table.group_by(["lang", *word[:size]]).aggregate([("a", "sum"), *_SIDES])
+                    table = table.rename_columns([name.removesuffix("_sum") for name in table.column_names])
+                    spelled = names.dictionary.take(pa.array(table["lang"].to_numpy()))
+                    held.setdefault(size, []).append(table.set_column(table.column_names.index("lang"), "lang", spelled))
+            for size in [size for size, tables in held.items() if sum(t.num_rows for t in tables) > HELD]:
+                held[size] = [added_up(size)]
+                if 2 * held[size][0].num_rows > HELD:
+                    yield batch_of(size, held.pop(size)[0])
+        for size in held:
+            yield batch_of(size, added_up(size))
 
     return (
         texts.mapInArrow(run, GRAM).groupBy("lang", "words")
@@ -392,43 +424,65 @@ def mine(df: DataFrame, plan: Plan = Plan(), lang_col: str = "lang", text_col: s
     totals = stage(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     dictionary = stage(words.where(F.col("n") >= plan.least).select("lang", F.array("id").alias("words"), F.col("n").alias("a"), "word"), "dictionary")
     single = dictionary.select("lang", "words", "a")
-    texts = stage(sequences(df, Filter.of(_keys_of(single)), seed, lang_col, text_col), "sequences")
+    frequent = df.sparkSession.sparkContext.broadcast(Filter.of(_keys_of(single)).bits)
+    texts = stage(sequences(df, frequent, seed, lang_col, text_col), "sequences")
+    frequent.destroy()
     roots = stage(_roots(single, totals, plan), "roots")
     spark = df.sparkSession
     grams: list[DataFrame] = [spark.createDataFrame([], GRAM)]
-    fresh = grams[0]  # phrases found by the last round: to be grown, their rests to be counted
     settled = spark.createDataFrame([], "lang string")
     rounds = 0
 
-    def open_ones(phrases: DataFrame) -> DataFrame:
-        return phrases.join(settled, "lang", "left_anti")
+    def broadcast(keys: DataFrame) -> Broadcast:
+        return spark.sparkContext.broadcast(Filter.of(keys).bits)
 
-    while True:
-        grow = open_ones(roots.where(F.col("batch") == rounds).select("lang", "words")).union(
-            open_ones(fresh.where(F.size("words") < plan.longest).select("lang", "words")))
-        # Every part behind a cut is counted, whether or not it was grown itself.
-        size = F.size("words")
-        rest = fresh.where(size > 2).select("lang", F.explode(F.expr("transform(sequence(2, size(words) - 1), k -> slice(words, k, size(words)))")).alias("words"))
-        rest = rest.distinct().join(_union(grams).select("lang", "words"), ["lang", "words"], "left_anti")
-        keys = stage(longer_keys(texts, Filter.of(stage(_keys_of(grow), "frontier")), plan).union(_keys_of(rest)), "keys")
-        found = exact_counts(texts, Filter.of(keys), plan).join(_union(grams).select("lang", "words"), ["lang", "words"], "left_anti")
-        fresh = stage(found, "phrases")
-        grams.append(fresh)
+    def missing(phrases: DataFrame) -> DataFrame:
+        """Phrases without a count so far."""
+        return phrases.join(_union(grams).select("lang", "words"), ["lang", "words"], "left_anti")
+
+    def parts(phrases: DataFrame, expression: str) -> DataFrame:
+        return phrases.select("lang", F.explode(F.expr(expression)).alias("words"))
+
+    for batch in range(len(plan.batches) + 1):
+        first = stage(roots.where(F.col("batch") == batch).join(settled, "lang", "left_anti").select("lang", "words"), "first-words")
+        if first.isEmpty():
+            continue
         rounds += 1
-        if rounds > len(plan.batches) and fresh.isEmpty():
-            break
-        known = _union(grams)
-        done = scored(known, single.union(known.select("lang", "words", "a")), totals)
-        last = _last_score(done.where(survives(plan)), plan)
-        # What can still be found or is not scored yet: words of later batches, and phrases of the last round with all that grows from them.
-        first = F.slice("words", 1, 1)
-        bounds = roots.select("lang", F.col("words").alias("first"), "bound")
-        left = roots.where(F.col("batch") >= rounds).select("lang", "bound").union(
-            fresh.withColumn("first", first).join(bounds, ["lang", "first"]).select("lang", "bound"))
-        highest = left.groupBy("lang").agg(F.max("bound").alias("bound"))
-        settled = stage(last.join(highest, "lang", "left").where(F.col("bound").isNull() | (F.col("bound") < F.col("last"))).select("lang"), "settled")
-        if open_ones(totals).isEmpty():
-            break
+        frontier = [stage(_keys_of(first), "frontier")]
+        fresh = grams[0]
+        for size in range(1, plan.longest + 1):
+            # Every part behind a cut of what was found last is counted, whether or not it is grown itself.
+            rests = fresh.select("lang", "words")  # up to two words have no such part
+            if size > 2:
+                tails = parts(fresh.where(F.size("words") > 2), "transform(sequence(2, size(words) - 1), k -> slice(words, k, size(words)))")
+                rests = stage(missing(tails.distinct()), "rests")
+            else:
+                rests = rests.where("false")
+            wanted = _keys_of(rests)
+            if size < plan.longest:
+                path = broadcast(_union(frontier))
+                wanted = wanted.union(longer_keys(texts, path, size, plan))
+            wanted = stage(wanted, "keys")
+            if size < plan.longest:
+                path.destroy()
+            if wanted.isEmpty():
+                break
+            before = parts(rests, "transform(sequence(1, size(words) - 1), k -> slice(words, 1, k))").distinct()
+            filters = broadcast(wanted), broadcast(_union(frontier).union(_keys_of(before)))
+            fresh = stage(missing(exact_counts(texts, *filters, plan)), "phrases")
+            for filter_bits in filters:
+                filter_bits.destroy()
+            grams.append(fresh)
+            # To be grown next: phrases of one more word that begin with a word of this batch, found now or as a rest before.
+            longer = _union(grams).where(F.size("words") == size + 1).select("lang", F.slice("words", 1, 1).alias("first"), "words")
+            frontier.append(stage(_keys_of(longer.join(first.withColumnRenamed("words", "first"), ["lang", "first"], "left_semi")), "frontier"))
+        if batch < len(plan.batches):
+            known = stage(_union(grams), "phrases")
+            grams = [known]
+            done = scored(known, single.union(known.select("lang", "words", "a")), totals)
+            last = _last_score(done.where(survives(plan)), plan)
+            highest = roots.where(F.col("batch") > batch).groupBy("lang").agg(F.max("bound").alias("bound"))
+            settled = stage(last.join(highest, "lang", "left").where(F.col("bound").isNull() | (F.col("bound") < F.col("last"))).select("lang"), "settled")
     known = _union(grams)
     return Mined(scored(known, single.union(known.select("lang", "words", "a")), totals), dictionary, rounds)
 

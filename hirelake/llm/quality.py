@@ -88,10 +88,12 @@ def fit(df: DataFrame, labels: DataFrame, label_col: str = "quality", sample: in
     ``sample`` bounds what is learnt from: of more labels than that, about that many are drawn by a
     hash of the id. So the labels that are broadcast to the join, the rows that reach
     the driver and the vectors that are broadcast for scoring have a bound that does not grow with
-    the input. Labels other than 0 and 1, null ids, and ids without a document teach nothing.
+    the input. Labels other than 0 and 1, null ids, ids with
+    both labels, and ids without a document teach nothing; a repeated label or document teaches once.
     """
     known = labels.select(labels[id_col].cast("long").alias("label_id"), labels[label_col].cast("int").alias("label")) \
-        .where("label_id is not null and label in (0, 1)")
+        .where("label_id is not null and label in (0, 1)") \
+        .groupBy("label_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
     count = known.count()
     parts = 1 << 20
     drawn = known.where(F.pmod(F.xxhash64("label_id"), F.lit(parts)) < min(parts, -(-parts * sample // max(count, 1))))
@@ -105,7 +107,9 @@ def fit(df: DataFrame, labels: DataFrame, label_col: str = "quality", sample: in
                                   ["doc_id", "label", "terms"])
 
     columns = {"doc_id": F.col("doc_id"), "label": F.col("label"), "text": F.col("text")}
-    found = sorted(map_texts(rows, columns, "doc_id long, label int, terms binary", run).collect())
+    termed = map_texts(rows, columns, "doc_id long, label int, terms binary", run)
+    # Of documents that repeat an id, one teaches, so that what is collected has no more rows than labels were drawn.
+    found = sorted(termed.groupBy("doc_id", "label").agg(F.min("terms").alias("terms")).collect())
     if not found:
         return Neighbours(np.zeros((TERMS, dimensions)), np.zeros((0, dimensions)), np.zeros(0))
     terms = np.array([np.frombuffer(row["terms"], np.float32) for row in found], np.float64)

@@ -134,23 +134,23 @@ measures AS (
   SELECT doc_id, source, len(words)::BIGINT AS n_words,
          coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
          (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM texts LEFT JOIN repeated USING (doc_id)),
 failures AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-         n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 100 * n_symbols > 50 * n_words OR 100 * n_dup_lines > 30 * n_words AS failed
+         n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 100 * n_symbols > 50 * n_words OR 100 * n_dup_lines > 30 * n_lines AS failed
   FROM measures),
 hosts AS (SELECT source, count(*) AS n, sum(failed::INT) AS k FROM failures WHERE source IS NOT NULL GROUP BY source),
 moments AS (
   SELECT sum(k) / sum(n) AS mean, sum(n * (k / n) * (k / n)) / sum(n) AS squares, count(*) / sum(n) AS per_document FROM hosts),
 spreads AS (SELECT mean, squares - mean * mean - mean * (1 - mean) * per_document AS spread FROM moments),
 prior AS (
-  SELECT mean, CASE WHEN spread <= 0 THEN 1e6 ELSE least(1e6, greatest(1.0, mean * (1 - mean) / spread - 1)) END AS strength FROM spreads),
+  SELECT mean, CASE WHEN spread > 0 THEN greatest(1.0, mean * (1 - mean) / spread - 1) END AS strength FROM spreads),
 rejected AS (
   SELECT source FROM hosts, prior
-  WHERE (k + greatest(mean, 1e-9) * strength) / (n + (greatest(mean, 1e-9) + greatest(1 - mean, 1e-9)) * strength) > 0.5)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  WHERE coalesce((k + mean * strength) / (n + strength), mean) > greatest(0.25, 2 * mean))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
        NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM rejected)) AS kept
 FROM failures
 """

@@ -21,7 +21,7 @@ from hirelake.llm.arrow import map_texts, with_texts
 from hirelake.llm.scan import ASCII_WHITE, ascii_white_mask, fingerprints, mix, runs, slices, text_bytes
 from hirelake.session import stage
 
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 WINDOW = 5
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -29,12 +29,17 @@ _KEY = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Limits(NamedTuple):
-    """When a document fails: too few words, too many of them in repeated windows, too many symbols a word, too many repeated lines."""
+    """When a document fails: too few words, too many of them in repeated windows, too many symbols a word, too many repeated lines.
+
+    A host is rejected if its shrunken share of failures is over ``host_percent`` and over ``host_times`` the mean of all documents.
+    """
 
     least_words: int = 10
     repeat_percent: int = 20
     symbol_percent: int = 50
     dup_line_percent: int = 30
+    host_percent: int = 25
+    host_times: float = 2.0
 
 
 def _per_text(marks: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -69,8 +74,8 @@ def _word_prints(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return fingerprints(data, starts, ends), np.searchsorted(bounds, starts, "right") - 1
 
 
-def _line_repeats(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Per text, the lines with a word that equal an earlier line."""
+def _line_repeats(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per text, the lines with a word that equal an earlier line, and all lines with a word."""
     starts, ends = runs(data != 10, bounds)
     words = np.concatenate([[0], np.cumsum(~ASCII_WHITE[data])])
     full = words[ends] > words[starts]
@@ -79,13 +84,14 @@ def _line_repeats(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     key = mix(fingerprints(data, starts, ends) + text.astype(np.uint64) * _KEY)
     _, first = np.unique(key, return_index=True)
     count = len(bounds) - 1
-    return np.bincount(text, minlength=count) - np.bincount(text[first], minlength=count)
+    lines = np.bincount(text, minlength=count)
+    return lines - np.bincount(text[first], minlength=count), lines
 
 
-def _long_line_repeats(data: np.ndarray) -> int:
+def _long_line_repeats(data: np.ndarray) -> tuple[int, int]:
     """:func:`_line_repeats` of one long text, a line at a time."""
     seen: set[bytes | int] = set()
-    repeats = 0
+    repeats = lines = 0
     breaks = np.flatnonzero(data == 10)
     for low, high in zip(np.concatenate([[0], breaks + 1]).tolist(), np.append(breaks, len(data)).tolist()):
         line = data[low:high]
@@ -96,8 +102,9 @@ def _long_line_repeats(data: np.ndarray) -> int:
             key = hashlib.blake2b(key, digest_size=16).digest()
         if key in seen:
             repeats += 1
+        lines += 1
         seen.add(key)
-    return repeats
+    return repeats, lines
 
 
 def measure_texts(texts: pa.Array) -> np.ndarray:
@@ -115,13 +122,13 @@ def measure_texts(texts: pa.Array) -> np.ndarray:
         here[:, 1] += _per_text(inside & ((part & 0xC0) != 0x80), bounds)
         here[:, 2] += _per_text(_SYMBOL[part], bounds)
         if whole:
-            here[:, 3] = _line_repeats(part, bounds)
+            here[:, 3], here[:, 5] = _line_repeats(part, bounds)
             here[:, 4] = _repeated(words, text, count)
         else:
             long_words.setdefault(first, []).append(words)
     for row, parts in long_words.items():
         words = np.concatenate(parts)
-        out[row, 3] = _long_line_repeats(data[offsets[row]:offsets[row + 1]])
+        out[row, 3], out[row, 5] = _long_line_repeats(data[offsets[row]:offsets[row + 1]])
         out[row, 4] = _repeated(words, np.zeros(len(words), np.int64), 1)[0]
     return out
 
@@ -131,7 +138,7 @@ def measure(df: DataFrame, text_col: str = "text", host: str | None = None, **ke
 
     Words are runs of anything but the six ASCII white space characters. ``word_chars`` are the characters in words,
     ``n_symbols`` characters among ``#*$%&|<>``, ``n_dup_lines`` lines with a word that equal an earlier line,
-    ``n_repeat_words`` words in windows of five that occur at least twice. One row per input row, repeated
+    ``n_repeat_words`` words in windows of five that occur at least twice, ``n_lines`` lines with a word. One row per input row, repeated
     rows and null ids included; a null text measures as empty (all 0). Other columns are not read.
     """
 
@@ -158,14 +165,14 @@ def base_failed(limits: Limits) -> Column:
 def any_failed(limits: Limits) -> Column:
     """Any rule failed, by the measures: what a host's share counts."""
     return (base_failed(limits) | (100 * F.col("n_symbols") > limits.symbol_percent * F.col("n_words"))
-            | (100 * F.col("n_dup_lines") > limits.dup_line_percent * F.col("n_words")))
+            | (100 * F.col("n_dup_lines") > limits.dup_line_percent * F.col("n_lines")))
 
 
-def beta_prior(hosts: DataFrame) -> tuple[float, float]:
-    """The beta distribution whose mean and variance the shares of all hosts have, from their ``documents`` and ``failures``.
+def beta_prior(hosts: DataFrame) -> tuple[float, float | None]:
+    """Mean and strength of the beta distribution that the shares of all hosts have, from their ``documents`` and ``failures``.
 
-    The variance is that between hosts: what chance adds for the size of each host is taken off. Without
-    any variance left, the strength is a million documents; without hosts, the prior is (1, 1).
+    The variance is that between hosts: what chance adds for the size of each host is taken off. Without any left, no
+    two hosts can be told apart: the strength is None, and all are pooled. Without hosts, the prior is (0.5, 2).
     """
     share = F.col("failures") / F.col("documents")
     row = hosts.agg(
@@ -173,34 +180,34 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
         F.sum(F.col("documents") * share * share).alias("squares"),
     ).first()
     if not row["hosts"]:
-        return 1.0, 1.0
+        return 0.5, 2.0
     mean = row["failures"] / row["documents"]
     spread = row["squares"] / row["documents"] - mean * mean - mean * (1 - mean) * row["hosts"] / row["documents"]
-    strength = 1e6 if spread <= 0 else min(1e6, max(1.0, mean * (1 - mean) / spread - 1))
-    return max(mean, 1e-9) * strength, max(1 - mean, 1e-9) * strength
+    return mean, None if spread <= 0 else max(1.0, mean * (1 - mean) / spread - 1)
 
 
-def host_verdicts(measured: DataFrame, limits: Limits = Limits(), most: float = 0.5) -> DataFrame:
-    """``host``, ``documents``, ``failures``, ``failure_rate`` (shrunken) and ``host_kept`` (rate at most ``most``).
+def host_verdicts(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """``host``, ``documents``, ``failures``, ``failure_rate`` (shrunken) and ``host_kept``, by ``limits``.
 
     Documents without a host make no host. A hot host is one row after the map-side part of the sum.
     """
     counted = measured.where("host is not null").groupBy("host").agg(
         F.count("*").alias("documents"), F.sum(any_failed(limits).cast("long")).alias("failures"))
     hosts = stage(counted, "hosts")
-    a, b = beta_prior(hosts)
-    rate = (F.col("failures") + F.lit(a)) / (F.col("documents") + F.lit(a + b))
-    return hosts.withColumn("failure_rate", rate).withColumn("host_kept", rate <= most)
+    mean, strength = beta_prior(hosts)
+    rate = F.lit(mean) if strength is None else (F.col("failures") + F.lit(mean * strength)) / (F.col("documents") + F.lit(strength))
+    most = max(limits.host_percent / 100, limits.host_times * mean)
+    return hosts.withColumn("failure_rate", rate).withColumn("host_kept", F.col("failure_rate") <= most)
 
 
-def judge(measured: DataFrame, limits: Limits = Limits(), most: float = 0.5) -> DataFrame:
+def judge(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of a stored :func:`measure` with ``base_failed`` and ``kept``: not failed, and the host not rejected.
 
     Only rejected hosts are joined back, so the joined side is small; Spark broadcasts it if its size is
     below the session's threshold, and otherwise splits the partition of a hot host (adaptive skew join).
     A document without a host is judged alone.
     """
-    rejected = host_verdicts(measured, limits, most).where(~F.col("host_kept")).select("host", F.lit(True).alias("host_rejected"))
+    rejected = host_verdicts(measured, limits).where(~F.col("host_kept")).select("host", F.lit(True).alias("host_rejected"))
     failed = base_failed(limits)
     return (
         measured.join(rejected, "host", "left")

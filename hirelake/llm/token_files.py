@@ -126,11 +126,11 @@ def write_token_files(df: DataFrame, folder: str, path: str, end_id: int, id_col
     """Encode every whole text, append ``end_id``, write the ids to ``folder`` in ascending order of document id.
 
     ``path`` is a file of the ``tokenizers`` library and must exist on the executors; ``folder`` is
-    a new folder that all executors share. One range exchange by document id; a file per
+    a new folder that all executors share. One range exchange by document id and a hash of the text; a file per
     partition, so its size follows the session's partition settings. The texts are encoded after it, so
     that sampling for the ranges does not encode. Returns the manifest, written into the folder: a
     row per file with its number in the order, name, first and last document, documents and tokens.
-    Repeated ids stay, ordered by text; null ids come first; a null text counts as empty (only ``end_id``).
+    Repeated ids stay, ordered by a hash of their text; null ids come first; a null text counts as empty (only ``end_id``).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +166,9 @@ def write_token_files(df: DataFrame, folder: str, path: str, end_id: int, id_col
 
     spark = df.sparkSession
     docs = df.select(df[id_col].cast("long").alias("doc_id"), text_of(df, text_col).alias("text"))
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Ranges are cut by id and hash, so rows of one id, or without any, need not share a file; no text is sampled for them.
+    hashed = docs.withColumn("hash", F.xxhash64("text"))
+    ordered = hashed.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
     ordered.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 

@@ -103,7 +103,7 @@ def judge_urls(df: DataFrame, rules: Sequence[Rule], sample: int = 20000, trees:
                id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule`` (null if none fits), ``verdict`` and ``block_score`` of every row.
 
-    The verdict is the rule's, else that of trees trained on the URLs that rules fit: of more than ``sample`` of
+    The verdict is the rule's, else that of trees trained on the distinct URLs that rules fit: of more than ``sample`` of
     them, about that many are drawn by a hash of the URL, a bound whatever the input. So the statistics per suffix
     also have at most that many rows and are broadcast. ``block_score`` is the trees' probability of ``block``.
     If the labelled URLs have one verdict only, that is everyone's (score 0 or 1); if there are none, all are allowed.
@@ -115,7 +115,9 @@ def judge_urls(df: DataFrame, rules: Sequence[Rule], sample: int = 20000, trees:
     urls = urls.withColumns({"host": host_of(F.coalesce("url", F.lit(""))), "path": path_of(F.coalesce("url", F.lit("")))})
     urls = urls.withColumn("fits", rule_of(F.col("host"), F.col("path"), rules))
     urls = urls.select("page_id", "url", "host", "path", F.col("fits.where").alias("rule"), F.col("fits.verdict").alias("ruled"))
-    labelled = urls.where("rule is not null").withColumn("label", (F.col("ruled") == BLOCK).cast("double"))
+    # A URL teaches once, with the logarithm of its rows as weight, however often it is there.
+    labelled = urls.where("rule is not null").groupBy("url", "host", "path", "ruled").agg(F.count("*").alias("rows")).select(
+        "url", "host", "path", (F.col("ruled") == BLOCK).cast("double").alias("label"), F.log1p("rows").alias("weight"))
     counts = {row["label"]: row["count"] for row in labelled.groupBy("label").count().collect()}
     out = ["page_id", "host", "path", "rule"]
     if len(counts) < 2:
@@ -138,6 +140,6 @@ def judge_urls(df: DataFrame, rules: Sequence[Rule], sample: int = 20000, trees:
 
 def _fit(learnt: DataFrame, trees: int, depth: int, seed: int) -> PipelineModel:
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
-    boosted = GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, seed=seed, maxBins=64)
-    rows = assembler.transform(learnt).select("features", "label").coalesce(4)  # a bounded sample: few tasks, many small rounds
+    boosted = GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", maxIter=trees, maxDepth=depth, seed=seed, maxBins=64)
+    rows = assembler.transform(learnt).select("features", "label", "weight").coalesce(4)  # a bounded sample: few tasks, many small rounds
     return PipelineModel([assembler, boosted.fit(rows)])

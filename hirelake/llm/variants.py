@@ -3,7 +3,8 @@
 A word is the vector of how often it has each letter. One letter inserted or deleted moves the
 vector by an L1 distance of one, one replaced by at most two, so near words of a word are among the
 words of its length within two, and those of the length below (or above) within one. The words of each length
-are dealt into cells by the upper levels of a k-d tree; a word is a guest in every cell whose box is within its range.
+are dealt into cells by the upper levels of a k-d tree; a word is a guest in every cell whose box is within its range (of
+two cells of one length, in one only, as what is found there counts for both words).
 In a cell, a k-d tree of the words that live there is searched for all guests at once, boxes out of range are
 pruned, and the letters themselves confirm what is found.
 """
@@ -31,12 +32,12 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), 0xC3]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: Words from which the upper levels of the trees are laid out; every word is put into them.
+#: About so many words, drawn by hash, from which the upper levels of the trees are laid out; every word is put into them.
 SAMPLE = 100_000
 #: Words that live in a cell, about; a tree is split until it has so few, whatever the number of words.
 CELL_WORDS = 20_000
 #: Words at a leaf of the tree within a cell, and guests searched for at once.
-LEAF_WORDS = 24
+LEAF_WORDS = 128
 GUESTS = 4096
 
 
@@ -163,12 +164,23 @@ def cells_within(tree: object, vectors: np.ndarray, reach: int) -> Iterator[tupl
                 stack.append((side, rows[near], here[near]))
 
 
+def codes_of(vectors: np.ndarray) -> np.ndarray:
+    """Vectors as two 64-bit numbers: a count c is c ones in four bits, so that an L1 distance is a number of different bits.
+
+    Counts above four are taken as four, which only brings vectors nearer.
+    """
+    unary = np.array([0, 1, 3, 7, 15], np.uint64)[np.minimum(vectors, 4)]
+    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return np.stack([np.bitwise_or.reduce(unary[:, half:half + 16] << shifts, axis=1) for half in (0, 16)])
+
+
 class CellTree:
-    """A k-d tree of vectors with the box of each node."""
+    """A k-d tree of vectors with the box of each node, as the least and the greatest counts in :func:`codes_of`."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        self.nodes: list[tuple] = []  # (lows, highs, places at a leaf or None, low child, high child)
+        self.codes = codes_of(vectors)
+        self.nodes: list[tuple] = []  # (least, greatest, places at a leaf or None, low child, high child)
         self.root = self._grow(np.arange(len(vectors)))
 
     def _grow(self, at: np.ndarray) -> int:
@@ -180,18 +192,21 @@ class CellTree:
         if halves is not None:
             low = here[:, halves[0]] <= halves[1]
             below = (None, self._grow(at[low]), self._grow(at[~low]))
-        self.nodes[number] = (here.min(axis=0), here.max(axis=0), *below)
+        codes = self.codes[:, at]
+        self.nodes[number] = (np.bitwise_and.reduce(codes, axis=1), np.bitwise_or.reduce(codes, axis=1), *below)
         return number
 
     def within(self, guests: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(guest, place) of all pairs with an L1 distance of at most ``reach``, in parts."""
-        stack = [(self.root, np.arange(len(guests)))]
+        """(guest, place) of all pairs with an L1 distance of at most ``reach`` by their codes, in parts; guests are codes."""
+        stack = [(self.root, np.arange(guests.shape[1]))]
         while stack:
             number, rows = stack.pop()
-            lows, highs, at, low, high = self.nodes[number]
-            here = guests[rows]
-            away = np.maximum(lows - here, 0) + np.maximum(here - highs, 0)
-            rows = rows[away.sum(axis=1, dtype=np.int64) <= reach]
+            least, greatest, at, low, high = self.nodes[number]
+            away = np.zeros(len(rows), np.uint8)
+            for half in (0, 1):
+                here = guests[half, rows]
+                away += np.bitwise_count(least[half] & ~here) + np.bitwise_count(here & ~greatest[half])
+            rows = rows[away <= reach]
             if not len(rows):
                 continue
             if at is None:
@@ -199,7 +214,8 @@ class CellTree:
                 continue
             for part in range(0, len(at), LEAF_WORDS):  # equal vectors cannot be split, so a leaf may be larger
                 own = at[part:part + LEAF_WORDS]
-                distance = np.abs(guests[rows][:, None, :] - self.vectors[own][None, :, :]).sum(axis=2, dtype=np.int64)
+                distance = np.bitwise_count(guests[0, rows][:, None] ^ self.codes[0, own])
+                distance += np.bitwise_count(guests[1, rows][:, None] ^ self.codes[1, own])
                 guest, place = np.nonzero(distance <= reach)
                 if len(guest):
                     yield rows[guest], own[place]
@@ -241,53 +257,75 @@ class _Near:
             ["word", "n_near", "best_n", "best"])
 
 
+#: What a word is to a cell: it lives there, comes from a later cell of its length, or has one more letter.
+_LIVES, _GUEST, _LONGER = 0, 1, 2
+
+
 def _search_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Near words of the guests of each cell; rows come cell by cell, those who live there first."""
-    now, tree = None, None
+    """Near words within each cell and between it and its guests; rows come cell by cell, those who live there first.
+
+    Every two words meet once, and each becomes a near word of the other.
+    """
+    now, tree, letters = None, None, None
     living: tuple[list, list] = ([], [])
     near = _Near()
 
-    def search(length: int, words: list[str], times: list[int]) -> None:
-        for size, at, rows in _by_length(words):
-            vectors = letter_counts(rows).astype(tree.vectors.dtype)
-            for guest, place in tree.within(vectors, 2 if size == length else 1):
-                real = one_edit(rows[guest], letters[place])
-                for a, b in zip(at[guest[real]].tolist(), place[real].tolist()):
+    def search(rows: np.ndarray, words: list[str], times: list[int], inside: bool) -> None:
+        reach = 2 if rows.shape[1] == letters.shape[1] else 1
+        for at in range(0, len(words), GUESTS):
+            part = rows[at:at + GUESTS]
+            for guest, place in tree.within(codes_of(letter_counts(part)), reach):
+                if inside:
+                    later = place > guest + at
+                    guest, place = guest[later], place[later]
+                real = one_edit(part[guest], letters[place])
+                for a, b in zip((guest[real] + at).tolist(), place[real].tolist()):
                     near.add(words[a], living[0][b], living[1][b])
-                    if size > length:  # the shorter word is no guest where the longer one lives
-                        near.add(living[0][b], words[a], times[a])
+                    near.add(living[0][b], words[a], times[a])
+
+    def plant() -> None:
+        """The tree of those who live in the cell, once all of them have come."""
+        nonlocal tree, letters
+        _, _, letters = next(_by_length(living[0]))
+        tree = CellTree(letter_counts(letters))
+        search(letters, *living, inside=True)
 
     for batch in small(batches, GUESTS):
-        cells = np.asarray(batch.column(0))
+        cells, kind = np.asarray(batch.column(0)), np.asarray(batch.column(1))
         edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), len(cells)]
         for low, high in zip(edges, edges[1:]):
-            part = batch.slice(low, high - low)
             if cells[low] != now:
+                if living[0] and tree is None:
+                    plant()
                 now, tree, living = cells[low], None, ([], [])
-            guest = np.asarray(part.column(1))
-            words, times = part.column(2).to_pylist(), part.column(3).to_pylist()
-            own = int((guest == 0).sum())
+            words, times = (batch.column(k).slice(low, high - low).to_pylist() for k in (2, 3))
+            own = int((kind[low:high] == _LIVES).sum())
             living[0].extend(words[:own])
             living[1].extend(times[:own])
             if own == len(words) or not living[0]:
                 continue
             if tree is None:
-                _, _, letters = next(_by_length(living[0]))
-                tree = CellTree(letter_counts(letters))
-            search(letters.shape[1], words[own:], times[own:])
+                plant()
+            for _, at, rows in _by_length(words[own:]):
+                search(rows, [words[own + k] for k in at.tolist()], [times[own + k] for k in at.tolist()], inside=False)
         if near.found:
             yield near.batch()
+    if living[0] and tree is None:
+        plant()
+    if near.found:
+        yield near.batch()
 
 
 def near_words(words: DataFrame, letters: int) -> DataFrame:
     """``word``, ``n_near``, ``best_n`` and ``best`` (the near word of largest ``n``, ties to the smallest) of words that have near ones.
 
-    ``words`` (``word``, ``n``) is a stored table of distinct words. The upper levels of the trees come from the :data:`SAMPLE` words of least
-    hash. How many cells a word visits grows with the square of the depth, at most.
+    ``words`` (``word``, ``n``) is a stored table of distinct words. The upper levels of the trees come from about :data:`SAMPLE` words
+    drawn by hash. How many cells a word visits grows with the square of the depth, at most.
     """
     total = words.count()
-    sample = [r.word for r in words.orderBy(F.xxhash64("word"), "word").limit(SAMPLE).select("word").collect()]
-    trees = upper_levels(sample, min(1.0, SAMPLE / max(total, 1)))
+    share = min(1.0, SAMPLE / max(total, 1))
+    drawn = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))
+    trees = upper_levels([r.word for r in words.where(drawn).select("word").collect()], share)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, GUESTS):
@@ -300,12 +338,15 @@ def near_words(words: DataFrame, letters: int) -> DataFrame:
 
             for length, at, letters_of in _by_length(batch.column(0).to_pylist()):
                 vectors = letter_counts(letters_of)
+                home = np.zeros(len(at), np.int64)
                 for cell, rows in cells_within(trees.get(length, 0), vectors, 0):
-                    put(length, cell, 0, at[rows])
-                for other, reach in ((length, 2), (length - 1, 1)):
-                    if other >= letters:
-                        for cell, rows in cells_within(trees.get(other, 0), vectors, reach):
-                            put(other, cell, 1, at[rows])
+                    home[rows] = cell
+                    put(length, cell, _LIVES, at[rows])
+                for cell, rows in cells_within(trees.get(length, 0), vectors, 2):
+                    put(length, cell, _GUEST, at[rows[home[rows] > cell]])
+                if length > letters:
+                    for cell, rows in cells_within(trees.get(length - 1, 0), vectors, 1):
+                        put(length - 1, cell, _LONGER, at[rows])
             if row:
                 taken = batch.take(pa.array(np.concatenate(row)))
                 yield pa.record_batch([pa.array(np.concatenate(cells)), pa.array(np.concatenate(guest)), *taken.columns], ["cell", "guest", "word", "n"])

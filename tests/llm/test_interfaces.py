@@ -158,6 +158,86 @@ def test_hosts_shrink_towards_the_mean(spark):
     assert kept[0] and not kept[370] and not kept[400] and kept[401]
 
 
+def test_kept_by_brute_force(spark):
+    """Hosts of all kinds: the prior from all hosts, shares drawn towards the mean, verdicts joined back."""
+    pick = random.Random(8)
+    rows = []
+    for host, (size, bad) in enumerate([(60, 0.0), (50, 0.1), (40, 0.95), (30, 0.5), (20, 0.05), (2, 1.0), (1, 1.0), (80, 0.02)]):
+        for _ in range(size):
+            text = "x " * 30 if pick.random() < bad else " ".join(f"w{pick.randrange(9999)}" for _ in range(30))
+            rows.append((len(rows), f"h{host}", text))
+    rows += [(len(rows), None, "x " * 30), (len(rows) + 1, None, " ".join(f"v{k}" for k in range(30))), (len(rows) + 2, "h2", None)]
+    failed = {doc: (text or "").startswith("x") or not text for doc, _, text in rows}
+    hosts = collections.defaultdict(list)
+    for doc, host, _ in rows:
+        if host:
+            hosts[host].append(failed[doc])
+    total = sum(map(len, hosts.values()))
+    mean = sum(map(sum, hosts.values())) / total
+    spread = sum(len(x) * (sum(x) / len(x)) ** 2 for x in hosts.values()) / total - mean ** 2 - mean * (1 - mean) * len(hosts) / total
+    strength = max(1.0, mean * (1 - mean) / spread - 1)
+    rate = {host: (sum(x) + mean * strength) / (len(x) + strength) for host, x in hosts.items()}
+    rejected = {host for host, x in rate.items() if x > max(0.25, 2 * mean)}
+    assert {"h2"} <= rejected < set(hosts)
+    expected = {doc: not failed[doc] and host not in rejected for doc, host, _ in rows}
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    measured = rules.measure(docs, host="source", doc_id=F.col("doc_id")).cache()
+    assert {r.doc_id: r.kept for r in rules.judge(measured).collect()} == expected
+    assert any(expected[doc] != (not failed[doc]) for doc, _, _ in rows)
+    found = {r.host: r.failure_rate for r in rules.host_verdicts(measured).collect()}
+    assert found == pytest.approx(rate)
+
+
+def test_hosts_that_chance_explains_are_pooled(spark):
+    rows = [(k, f"h{k % 4}", "short" if k % 8 < 4 else " ".join(f"v{j}" for j in range(30))) for k in range(80)]
+    measured = rules.measure(spark.createDataFrame(rows, "doc_id long, source string, text string"), host="source", doc_id=F.col("doc_id"))
+    found = rules.host_verdicts(measured.cache()).collect()
+    assert {r.failure_rate for r in found} == {0.5} and all(r.host_kept for r in found)
+
+
+def test_other_languages_go(spark):
+    known = ["the rain and the river under the stone light", "el rio y la piedra bajo la luz de la noche"]
+    rows = [(k, known[k % 2] + f" {k}", ["en", "es"][k % 2], "s", 1) for k in range(40)]
+    rows += [(100, "на берегу пустынных волн стоял он дум великих полн", None, "s", 1), (101, "12 34 ...", None, "s", 1), (102, None, None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.known_language(spark, docs, "").collect()) == list(range(40))
+
+
+def test_repeated_labels_and_documents_teach_once(spark):
+    docs = spark.createDataFrame([(k % 5, f"text {k % 5} " * (k % 5 + 1)) for k in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k % 5, k % 2 if k % 5 == 4 else (k % 5) % 2) for k in range(100)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    assert sorted(model.labels.tolist()) == [0.0, 0.0, 1.0, 1.0]  # the fifth id has both labels
+
+
+def test_a_hot_url_teaches_once(spark):
+    """Half of all rows are one URL; trees learn from distinct ones and tell the languages apart on URLs without a rule."""
+    pages = [(k, "http://hot.com/de/x") for k in range(3000)]
+    pages += [(5000 + k, f"http://site{k % 50}.{'com' if k % 2 else 'net'}/{'de' if k % 3 == 0 else 'fr'}/{'9' * (30 if k % 3 == 0 else 1)}{k}") for k in range(3000)]
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    found = urls.judge_urls(frame, [urls.Rule("allow", "com/fr/"), urls.Rule("block", "com/de/")], sample=500).where("rule is null").collect()
+    wrong = sum(r.verdict != ("block" if r.path.startswith("/de/") else "allow") for r in found)
+    assert len(found) == 1500 and wrong <= 15
+
+
+def test_links_of_a_hub_are_joined_where_they_are(spark, monkeypatch):
+    monkeypatch.setattr(components, "FEW", 5)
+    links = [(0, k) for k in range(1, 400)] + [(500, k) for k in range(300, 420)] + [(k, k + 1) for k in range(600, 640)]
+    found = components.components(spark.createDataFrame(links, "a long, b long").repartition(6))
+    low = {r.node: r.low for r in found.collect()}
+    assert low == {k: 0 for k in [*range(1, 420), 500]} | {k: 600 for k in range(601, 641)}
+
+
+def test_rows_without_id_are_in_many_files(spark, tmp_path):
+    docs = spark.createDataFrame([(None, f"text number {k}") for k in range(400)], "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        manifest = token_files.write_token_files(docs.repartition(4), str(tmp_path / "files"), WORD, end_id=2)
+        assert manifest.count() > 4 and token_files.read_token_files(manifest).count() == 400
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_votes_are_the_nearest(spark):
     model = quality.Neighbours(np.eye(quality.TERMS)[:, :3], np.eye(3), np.array([1.0, 0.0, 0.0]))
     rows = np.zeros((3, quality.TERMS), np.float32)
@@ -187,7 +267,7 @@ def test_words_of_long_texts_hold_other_white_space(inner):
     windows = collections.Counter(tuple(words[k:k + 5]) for k in range(len(words) - 4))
     inside = {k + j for k in range(len(words) - 4) if windows[tuple(words[k:k + 5])] > 1 for j in range(5)}
     found = dict(zip(rules.MEASURES, rules.measure_texts(pa.array(["a b", text]))[1].tolist()))
-    assert found == {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": 0, "n_dup_lines": 0, "n_repeat_words": len(inside)}
+    assert found == {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": 0, "n_dup_lines": 0, "n_repeat_words": len(inside), "n_lines": 1}
     prints = minhash.word_prints(pa.array(["a b", text]))[1]
     assert prints.tolist() == np.concatenate(minhash.word_prints(pa.array(words))).tolist()
 
@@ -221,7 +301,7 @@ def test_pipeline_is_its_operators(spark):
     docs = spark.read.parquet(f"{REAL}/documents.parquet")
     ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
     predicted = language.predict(docs, language.fit(docs), doc_id=F.col("doc_id"))
-    assert ids(corpus_pipeline.known_language(spark, docs, REAL)) == ids(predicted.where("lang_pred <> 'und' and score > 0"))
+    assert ids(corpus_pipeline.known_language(spark, docs, REAL)) == ids(predicted.where("lang_pred <> 'und' and score >= 0.1 and margin >= 0.005"))
     judged = rules.judge(rules.measure(docs, host="source", doc_id=F.col("doc_id")))
     assert ids(corpus_pipeline.good_quality(spark, docs, REAL)) == ids(judged.where("kept"))
     assert ids(corpus_pipeline.no_near_duplicates(spark, docs, REAL)) == ids(minhash.near_duplicates(docs).where("kept"))

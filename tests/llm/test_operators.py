@@ -32,7 +32,7 @@ def library():
 
 
 def test_names():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{k}" for k in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
