@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import HashingTF, Normalizer
@@ -9,7 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hirelake.functions.vectors import distance
+from hirelake.functions.vectors import distance, squared_distance
 from hirelake.operators.dedup import top_per_group
 from hirelake.session import stage
 
@@ -17,6 +21,8 @@ N_CLUSTERS = 10
 SEED = 42
 UNKNOWN = "Unknown"
 UNPOPULATED = "Unpopulated Cluster"
+#: Bytes of the vectors of a block, of which a task holds two when distances are summed exactly.
+BLOCK_BYTES = 8 << 20
 
 
 # --- features ---------------------------------------------------------------
@@ -89,6 +95,26 @@ def fit_kmeans(df: DataFrame, features: str = "features", k: int = N_CLUSTERS, s
     return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster_id").fit(df)
 
 
+def assign_vectors(df: DataFrame, vector: str, centers: list[tuple[int, list[float]]]) -> DataFrame:
+    """Add ``cluster_id`` and the squared distance ``off`` of the nearest centre; a tie goes to the smaller id."""
+    point = F.col(vector).cast("array<double>")
+    found = F.array_min(F.array(*[
+        F.struct(squared_distance(point, F.lit(center)).alias("off"), F.lit(number).alias("cluster_id")) for number, center in centers]))
+    return df.withColumn("_best", found).select(*df.columns, "_best.cluster_id", "_best.off")
+
+
+def refine_centers(df: DataFrame, vector: str, centers: list[tuple[int, list[float]]], rounds: int) -> list[tuple[int, list[float]]]:
+    """Centres after so many rounds of assignment and averaging from given ones; a cluster that lost all its rows keeps its centre.
+
+    Only the centres come to the driver: a vector per cluster.
+    """
+    for _ in range(rounds):
+        moved = centers_of(assign_vectors(df.select(vector), vector, centers), vector)
+        found = {row["cluster_id"]: [float(x) for x in row["center"]] for row in moved.collect()}
+        centers = [(number, found.get(number, center)) for number, center in centers]
+    return centers
+
+
 def silhouette(df: DataFrame, features: str = "features", cluster: str = "cluster_id") -> float:
     """Mean silhouette for squared Euclidean distance, from per-cluster sums in linear time."""
     labelled = df.withColumn("_label", F.col(cluster).cast("double"))
@@ -99,6 +125,84 @@ def silhouette(df: DataFrame, features: str = "features", cluster: str = "cluste
     return evaluator.evaluate(labelled)
 
 
+def distance_sums(df: DataFrame, vector: str, cluster: str, block_bytes: int | None = None) -> DataFrame:
+    """Euclidean distances of every vector to all of a cluster, added up: ``row`` (any number), ``own``, ``other``, ``far``.
+
+    Vectors are dealt into blocks by hash, and each two blocks meet in one group. What leaves it is a number for each of
+    its vectors and each cluster, never a pair, so the result has rows x clusters lines. The work is quadratic in the
+    rows: every vector is sent to as many groups as there are blocks. Rows with a null vector or cluster are left out;
+    all vectors must have one length.
+    """
+    point = F.col(vector).cast("array<double>").alias("point")
+    rows = df.select(point, F.col(cluster).cast("long").alias("own")).filter("point IS NOT NULL AND own IS NOT NULL")
+    rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "points")
+    count, width = rows.agg(F.count("*"), F.max(F.size("point"))).first()
+    blocks = max(1, -(-count * 8 * max(width or 1, 1) // (block_bytes or BLOCK_BYTES)))
+    block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
+    dealt = rows.withColumn("block", block).withColumn("met", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    dealt = dealt.select(
+        F.least("block", "met").alias("low"), F.greatest("block", "met").alias("high"), "block", "row", "own", "point")
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(now: tuple, parts: dict[int, list]) -> Iterator[pa.RecordBatch]:
+            sides = [tuple(np.concatenate(x) for x in zip(*parts[b])) for b in dict.fromkeys(now) if b in parts]
+            for a, b in [(0, 0)] if len(set(now)) == 1 else [(0, 1), (1, 0)]:
+                if max(a, b) >= len(sides):
+                    continue
+                (row, own, points), (_, others, targets) = sides[a], sides[b]
+                names, at = np.unique(others, return_inverse=True)
+                member = np.zeros((len(others), len(names)))
+                member[np.arange(len(others)), at] = 1.0
+                square = (targets ** 2).sum(axis=1)
+                for first in range(0, len(row), 512):
+                    part = points[first:first + 512]
+                    squared = np.maximum((part ** 2).sum(axis=1)[:, None] + square - 2.0 * (part @ targets.T), 0.0)
+                    if a == b:
+                        squared[np.arange(len(part)), first + np.arange(len(part))] = 0.0
+                    far = np.sqrt(squared) @ member
+                    size = len(names)
+                    yield pa.record_batch(
+                        [pa.array(np.repeat(row[first:first + 512], size)), pa.array(np.repeat(own[first:first + 512], size)),
+                         pa.array(np.tile(names, len(part))), pa.array(far.ravel())], ["row", "own", "other", "far"])
+
+        now, parts = None, {}
+        for batch in batches:
+            keys = np.stack([np.asarray(batch.column(k)) for k in range(3)], axis=1)
+            edges = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1).tolist(), len(keys)]
+            for start, stop in zip(edges, edges[1:]):
+                low, high, block = keys[start].tolist()
+                if (low, high) != now:
+                    if now is not None:
+                        yield from settle(now, parts)
+                    now, parts = (low, high), {}
+                piece = batch.slice(start, stop - start)
+                points = piece.column(5).flatten().to_numpy().reshape(stop - start, -1)
+                parts.setdefault(block, []).append((np.asarray(piece.column(3)), np.asarray(piece.column(4)), points))
+        if now is not None:
+            yield from settle(now, parts)
+
+    groups = blocks * (blocks + 1) // 2
+    met = dealt.repartition(min(groups, 16384), "low", "high").sortWithinPartitions("low", "high", "block")
+    parts = met.mapInArrow(sums, "row long, own long, other long, far double")
+    return parts.groupBy("row", "own", "other").agg(F.sum("far").alias("far"))
+
+
+def silhouette_exact(df: DataFrame, vector: str, cluster: str, block_bytes: int | None = None) -> DataFrame:
+    """Mean silhouette of all vectors for the Euclidean distance, as one row, from :func:`distance_sums`.
+
+    A row alone in its cluster scores 0, as does one without another cluster or at distance 0 from all; without rows the
+    result is null. Use :func:`silhouette` where the squared distance will do: it takes one pass.
+    """
+    sums = stage(distance_sums(df, vector, cluster, block_bytes), "distance-sums")
+    sizes = sums.filter("own = other").groupBy("other").agg(F.count("*").alias("size"))
+    mine = F.col("own") == F.col("other")
+    scored = sums.join(sizes, "other").groupBy("row").agg(
+        F.max(F.when(mine & (F.col("size") > 1), F.col("far") / (F.col("size") - 1))).alias("inner"),
+        F.min(F.when(~mine, F.col("far") / F.col("size"))).alias("outer"))
+    score = F.coalesce(F.try_divide(F.col("outer") - F.col("inner"), F.greatest("outer", "inner")), F.lit(0.0))
+    return scored.agg(F.avg(score).alias("silhouette"))
+
+
 def _value_shares(clustered: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
     """The mean one-hot vector of every cluster in long form: (cluster, value, share) per column, and its squared length."""
     k = "cluster_id"
@@ -136,18 +240,22 @@ def assign_categories(pairs: DataFrame, clustered: DataFrame) -> DataFrame:
     return every.groupBy(a, b, "jobs").agg(F.min("best").alias("best")).select(a, b, "jobs", f"best.{k}", "best.off")
 
 
-def categorical_kmeans(pairs: DataFrame, k: int = N_CLUSTERS, seed: int = SEED, rounds: int = 100) -> DataFrame:
+def categorical_kmeans(
+    pairs: DataFrame, k: int = N_CLUSTERS, seed: int = SEED, rounds: int = 100, first: list[tuple[str | None, str | None]] | None = None,
+) -> DataFrame:
     """K-means of jobs by the one-hot vector of category and company, from distinct pairs and their ``jobs``.
 
-    The first centres are ``k`` pairs drawn by their number of jobs. Rounds end when no pair changes its cluster;
+    The first centres are ``k`` pairs drawn by their number of jobs, or those given as ``first``. Rounds end when no pair changes its cluster;
     each is written to the shared folder. The result has a ``cluster_id`` (0 to k - 1) per pair and ``off``, its squared
     distance to the centre it was assigned by.
     """
     a, b = "category_label", "company_name"
     chance = (F.pmod(F.xxhash64(F.lit(seed), a, b), F.lit(1 << 30)) + 1) / F.lit(float((1 << 30) + 1))
     # The smallest of exponential draws with the jobs as rate: a weighted draw without replacement.
-    first = pairs.withColumn("_draw", -F.log(chance) / F.col("jobs")).orderBy("_draw", a, b).limit(k)
-    rows = [(row[a], row[b], i, 1) for i, row in enumerate(first.collect())]
+    if first is None:
+        drawn = pairs.withColumn("_draw", -F.log(chance) / F.col("jobs")).orderBy("_draw", a, b).limit(k)
+        first = [(row[a], row[b]) for row in drawn.collect()]
+    rows = [(*pair, i, 1) for i, pair in enumerate(first)]
     if not rows:
         return pairs.select(a, b, "jobs", F.lit(0).alias("cluster_id"), F.lit(0.0).alias("off"))
     start = pairs.sparkSession.createDataFrame(rows, f"{a} string, {b} string, cluster_id int, jobs bigint")
@@ -162,14 +270,16 @@ def categorical_kmeans(pairs: DataFrame, k: int = N_CLUSTERS, seed: int = SEED,
     return current
 
 
-def categorical_silhouette(clustered: DataFrame, cluster: str = "cluster_id") -> DataFrame:
+def categorical_silhouette(clustered: DataFrame, cluster: str = "cluster_id", squared: bool = True) -> DataFrame:
     """Mean silhouette of jobs by one-hot (category, company) for squared Euclidean distance, as one row.
 
-    This is the metric of :func:`silhouette`, so the two can be compared. ``clustered`` holds (category_label,
-    company_name, cluster, jobs). Two jobs are 2 apart when one of the two values differs and 4 when both
-    do, so the distance sum from a pair of values to a cluster follows from four counts, and no
-    two jobs are ever paired. A cluster that shares neither value is exactly 4 away and needs no row.
+    This is the metric of :func:`silhouette`, so the two can be compared; ``squared=False`` takes the plain
+    distance, as :func:`silhouette_exact` does. ``clustered`` holds (category_label, company_name, cluster, jobs). Two jobs
+    are 2 apart when one of the two values differs and 4 when both do (or the roots of these), so the distance sum from a
+    pair of values to a cluster follows from four counts, and no two jobs are ever paired. A cluster
+    that shares neither value is exactly 4 (or 2) away and needs no row.
     """
+    one, both = (2.0, 4.0) if squared else (2.0 ** 0.5, 2.0)
     a, b = "category_label", "company_name"
     units = clustered.groupBy(a, b, cluster).agg(F.sum("jobs").alias("jobs"))
     sizes = units.groupBy(cluster).agg(F.sum("jobs").alias("size"))
@@ -193,7 +303,7 @@ def categorical_silhouette(clustered: DataFrame, cluster: str = "cluster_id") ->
     )
     one_off = F.col("in_a") + F.col("in_b") - 2 * F.col("in_ab")
     both_off = F.col("size") - F.col("in_a") - F.col("in_b") + F.col("in_ab")
-    far = 2.0 * one_off + 4.0 * both_off
+    far = one * one_off + both * both_off
     shares = shares.select(
         F.col(a).alias("_a"), F.col(b).alias("_b"), F.col(cluster).alias("_other"), "size",
         far.alias("far"),
@@ -208,7 +318,7 @@ def categorical_silhouette(clustered: DataFrame, cluster: str = "cluster_id") ->
         F.count(F.lit(1)).alias("met"),
     )
     outer = F.when(
-        F.col("met") < n_clusters, F.least(F.coalesce("outer", F.lit(4.0)), F.lit(4.0))
+        F.col("met") < n_clusters, F.least(F.coalesce("outer", F.lit(both)), F.lit(both))
     ).otherwise(F.col("outer"))
     score = F.coalesce(
         F.try_divide(outer - F.col("inner"), F.greatest(outer, F.col("inner"))), F.lit(0.0)

@@ -5,14 +5,15 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hirelake import schemas
 from hirelake.functions.text import title_and_description
 from hirelake.functions.times import compact_stamp, iso_text
 from hirelake.operators import clustering as c
 from hirelake.operators import tfidf
 from hirelake.session import stage
-from hirelake.sources.landing import replace
+from hirelake.sources.tables import read_table, replace_parts
 
 
 class Clustering(NamedTuple):
@@ -33,10 +34,12 @@ def cluster_jobs(
     names: DataFrame | None = None,
     day: Column | None = None,
     now: Column | None = None,
+    exact: bool = False,
 ) -> Clustering:
     """Cluster described jobs by text vector and by category and company; keep the better model.
 
-    Better is the higher mean silhouette of single jobs for squared Euclidean distance, for both models.
+    Better is the higher mean silhouette of single jobs for squared Euclidean distance, for both models, or with ``exact`` for
+    the distance itself, which compares every two vectors in blocks and is meant for inputs of some 100,000 jobs at most.
     ``vectors`` (job_id, vector array) replaces the built-in hashed text vectors;
     jobs without one are then left out. ``names`` (cluster_id, cluster_name) can
     override the generated cluster names.
@@ -60,11 +63,14 @@ def cluster_jobs(
 
     text_model = c.fit_kmeans(base, "vector", k, seed)
     by_text = text_model.transform(base)
-    text_score = c.silhouette(by_text, "vector")
+    if exact:
+        text_score = c.silhouette_exact(by_text.withColumn("_point", vector_to_array("vector")), "_point", "cluster_id").first()["silhouette"]
+    else:
+        text_score = c.silhouette(by_text, "vector")
 
     pairs = stage(c.categorical_pairs(base), "pairs")
     pair_clusters = c.categorical_kmeans(pairs, k, seed)
-    pair_score = c.categorical_silhouette(pair_clusters).first()["silhouette"]
+    pair_score = c.categorical_silhouette(pair_clusters, squared=not exact).first()["silhouette"]
 
     winner, _ = c.choose_model(text_score, pair_score)
     scores = {"Embeddings": text_score, "Categorical": pair_score}
@@ -92,7 +98,13 @@ def cluster_jobs(
 
 
 def save_clustering(result: Clustering, tables: str) -> None:
-    """Replace the assignment and registry tables."""
-    base = tables.rstrip("/")
-    replace(result.job_clusters, f"{base}/job_clusters")
-    replace(result.registry, f"{base}/cluster_registry")
+    """Replace the assignment and registry tables together: readers see both of one run, or both of the one before."""
+    replace_parts(result.registry.sparkSession, f"{tables.rstrip('/')}/clustering",
+                  {"job_clusters": result.job_clusters, "cluster_registry": result.registry})
+
+
+def read_clustering(spark: SparkSession, tables: str) -> tuple[DataFrame, DataFrame]:
+    """The assignments and the registry as last saved."""
+    path = f"{tables.rstrip('/')}/clustering"
+    return (read_table(spark, path, schemas.JOB_CLUSTERS, "job_clusters"),
+            read_table(spark, path, schemas.CLUSTER_REGISTRY, "cluster_registry"))

@@ -8,7 +8,7 @@ from hirelake import schemas
 from hirelake.operators.matching import name_mapping, sponsor_companies
 from hirelake.operators.petitions import clean_petitions, merge_sponsorship, sponsorship_batch
 from hirelake.sources.landing import replace, replace_if_any
-from hirelake.sources.tables import merge_into, read_or_empty, read_table
+from hirelake.sources.tables import merge_into, read_table
 
 
 def load_petitions(
@@ -33,5 +33,5 @@ def match_sponsors(spark: SparkSession, tables: str, drop_empty_keys: bool = Fal
     status = read_table(spark, f"{base}/company_sponsorship_status", schemas.SPONSORSHIP_STATUS)
     path = f"{base}/temp_name_mapping"
     replace_if_any(name_mapping(companies, status, drop_empty_keys), path)
-    mapping = read_or_empty(spark, path, schemas.NAME_MAPPING)
+    mapping = read_table(spark, path, schemas.NAME_MAPPING)
     replace(sponsor_companies(companies, mapping, status), f"{base}/sponsor_companies")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from hirelake import schemas
 from hirelake.functions.times import (
@@ -131,6 +132,11 @@ def merge_skill_catalogue(target: DataFrame, staging: DataFrame) -> DataFrame:
     return upsert(target, staging, ["skill_id"])
 
 
+def taken_over(schema: str, frozen: list[str] = ()) -> list[str]:
+    """Columns of a table keyed by job that a merge takes from its source."""
+    return [name for name in StructType.fromDDL(schema).names if name != "job_id" and name not in frozen]
+
+
 def load_star(
     spark: SparkSession, staging: dict[str, DataFrame], tables: str, key_mode: str = "uuid",
     buckets: int | dict[str, int] | None = None, batch: str | None = None,
@@ -138,13 +144,16 @@ def load_star(
     """Merge staged frames into the five tables under ``tables``, dimensions before facts.
 
     A frame that was not landed (because it was empty) is left out. ``buckets`` is a number for all
-    tables or one per table name; ``batch`` names the frames, so that a retry adds nothing twice.
+    tables or one per table name; ``batch`` names the frames, so that a retry adds nothing twice. Rows that
+    a table has already, and known dimension rows, rewrite nothing.
     """
     base = tables.rstrip("/")
 
-    def merge_table(name: str, schema: str, source: DataFrame, keys: list[str], merge, blank_is_null: bool = False) -> None:
+    def merge_table(
+        name: str, schema: str, source: DataFrame, keys: list[str], merge, blank_is_null: bool = False, same: list[str] = (),
+    ) -> None:
         number = buckets.get(name) if isinstance(buckets, dict) else buckets
-        merge_into(spark, f"{base}/{name}", schema, source, keys, merge, number, blank_is_null, batch=batch)
+        merge_into(spark, f"{base}/{name}", schema, source, keys, merge, number, blank_is_null, batch=batch, same=list(same))
 
     dimensions = {
         "companies": (schemas.COMPANIES, ["company_name"], merge_companies),
@@ -160,10 +169,10 @@ def load_star(
         source = jobs_source(
             staging["jobs"], current["companies"], current["categories"], current["locations"]
         )
-        merge_table("jobs", schemas.JOBS, source, ["job_id"], lambda t, s: merge_jobs(t, s, unique_source=True))
+        merge_table("jobs", schemas.JOBS, source, ["job_id"], lambda t, s: merge_jobs(t, s, unique_source=True), same=taken_over(schemas.JOBS, FROZEN))
     if "jobstats" in staging:
         stats = latest_per_key(staging["jobstats"], ["job_id"])
-        merge_table("jobstats", schemas.JOBSTATS, stats, ["job_id"], merge_jobstats)
+        merge_table("jobstats", schemas.JOBSTATS, stats, ["job_id"], merge_jobstats, same=taken_over(schemas.JOBSTATS))
     return {
         **current,
         "jobs": read_table(spark, f"{base}/jobs", schemas.JOBS),

@@ -77,3 +77,9 @@ CLUSTER_REGISTRY = (
     "cluster_id int, cluster_name string, top_terms string, job_count bigint, "
     "avg_salary_min double, avg_salary_max double, model_version string, updated_at string"
 )
+
+COMPANY_PRESENCE = "company_id string, location_id string"
+PART_COUNTS = "category_label string, company_id string, jobs bigint"
+CATEGORY_OVERLAP = (
+    "category_label string, top_companies array<struct<company_name: string, count: bigint>>, total_jobs bigint"
+)

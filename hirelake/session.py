@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -33,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         folder = context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master.startswith("local-cluster") or not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="hirelake-")
     if context.getCheckpointDir() is None:
@@ -57,6 +58,57 @@ def remove(spark: SparkSession, location: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def files(spark: SparkSession, location: str) -> list[str]:
+    """Names of the files and folders in a folder, none if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(path)] if system.exists(path) else []
+
+
+def read_text(spark: SparkSession, location: str) -> str:
+    """A small text file."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, location: str, text: str) -> bool:
+    """Make a small file appear whole, and only if there is none of its name; tells whether it did.
+
+    The text is written under a name of its own. What then gives it its name fails if that is taken, in one step of
+    the file system: a hard link on local files, a rename without overwriting elsewhere.
+    """
+    fs = spark._jvm.org.apache.hadoop.fs
+    final, own = fs.Path(location), fs.Path(f"{location}.{uuid.uuid4().hex}.tmp")
+    system = own.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = system.create(own, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if system.getScheme() == "file":
+            local = spark._jvm.java.nio.file.Paths
+            spark._jvm.java.nio.file.Files.createLink(
+                local.get(system.makeQualified(final).toUri().getPath(), _none(spark)),
+                local.get(system.makeQualified(own).toUri().getPath(), _none(spark)))
+        else:
+            options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            fs.FileContext.getFileContext(own.toUri(), spark._jsc.hadoopConfiguration()).rename(own, final, options)
+        return True
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    finally:
+        system.delete(own, False)
+
+
+def _none(spark: SparkSession):
+    return spark.sparkContext._gateway.new_array(spark._jvm.java.lang.String, 0)
+
+
 def clean_scratch(spark: SparkSession) -> None:
     """Delete all staged copies of this application; frames that were not written yet are lost."""
     remove(spark, scratch_folder(spark))

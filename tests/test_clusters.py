@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from hirelake import schemas
 from hirelake.operators import clustering, tfidf
-from hirelake.plans.clusters import cluster_jobs, save_clustering
-from hirelake.sources.tables import read_or_empty
+from hirelake.plans.clusters import cluster_jobs, read_clustering, save_clustering
 
 DOCS = ["red apple red", "green apple pear", "blue sky", "the sky the sea", "", "pear pear apple sky"]
 
@@ -154,6 +153,30 @@ def test_vector_silhouette_equals_all_pairs(spark):
     assert got == pytest.approx(exact_silhouette(points, labels, far))
 
 
+def test_exact_silhouettes_equal_all_pairs(spark):
+    """More blocks than one; a cluster of one, rows without vector or cluster, and equal vectors."""
+    draw = random.Random(4)
+    points = [([draw.gauss(3 * (k % 3), 1), draw.gauss(0, 1)], k % 3) for k in range(70)]
+    points += [points[0], points[0], ([9.0, 9.0], 7), (None, 1), ([1.0, 1.0], None)]
+    df = spark.createDataFrame(points, "vector array<double>, cluster_id int").repartition(3)
+    known = [p for p in points if None not in p]
+    off = lambda x, y: math.dist(x[0], y[0])
+
+    def score(i):
+        means = {}
+        for c in {p[1] for p in known}:
+            others = [off(known[i], p) for j, p in enumerate(known) if p[1] == c and j != i]
+            means[c] = sum(others) / len(others) if others else None
+        own = means.pop(known[i][1])
+        return 0.0 if own is None else (min(means.values()) - own) / max(own, min(means.values()))
+
+    expected = sum(map(score, range(len(known)))) / len(known)
+    for size in (64, 16 * 20, 1 << 20):
+        assert clustering.silhouette_exact(df, "vector", "cluster_id", size).first()[0] == pytest.approx(expected, abs=1e-9)
+    assert clustering.silhouette_exact(df.filter("false"), "vector", "cluster_id").first()[0] is None
+    assert clustering.silhouette_exact(df.filter("cluster_id = 1"), "vector", "cluster_id").first()[0] == 0.0
+
+
 def test_choose_model():
     assert clustering.choose_model(0.5, 0.5) == ("Embeddings", 0.5)
     assert clustering.choose_model(0.1, 0.2) == ("Categorical", 0.2)
@@ -248,7 +271,8 @@ def test_cluster_jobs_end_to_end(spark, tmp_path, with_vectors):
     assert len(registry) == 3 and sum(r.job_count for r in registry) == 60
     assert max(r["rank"] for r in result.representatives.collect()) <= 5
     save_clustering(result, str(tmp_path))
-    saved = read_or_empty(spark, f"{tmp_path}/cluster_registry", schemas.CLUSTER_REGISTRY)
+    assigned, saved = read_clustering(spark, str(tmp_path))
+    assert assigned.count() == result.job_clusters.count()
     assert saved.count() == 3
     if not with_vectors:
         by_kind = {}

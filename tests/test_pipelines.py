@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,9 @@ from hirelake.operators.upsert import insert_new, upsert
 from hirelake.plans import enrichment, skills, sponsors, star
 from hirelake.session import scratch_folder, scratch_path, shared_folder, stage
 from hirelake.sources import landing
-from hirelake.sources.tables import current, merge_into, publish, read_or_empty, read_table, vacuum, write_version
+from hirelake.sources.tables import (
+    changed_rows, current, merge_into, publish, read_table, refresh_derived, replace_parts, stale_parts, vacuum, write_version,
+)
 from hirelake.streaming.incremental import update_star
 from tests.test_marts import petition_frame, raw_petition
 from tests.test_star import posting, read
@@ -83,17 +87,67 @@ def test_nanosecond_files(spark, tmp_path):
 
 def test_sinks(spark, tmp_path):
     path = f"{tmp_path}/t"
+    count = lambda: read_table(spark, f"{path}-whole", "id bigint").count()
     landing.append(spark.range(10), path, max_records_per_file=4)
     landing.append(spark.range(3), path)
-    assert spark.read.parquet(path).count() == 13
-    landing.replace(spark.range(2), path)
-    assert spark.read.parquet(path).count() == 2
-    assert not landing.replace_if_any(spark.range(0), path)
-    assert landing.replace_if_any(spark.range(5), path)
-    assert spark.read.parquet(path).count() == 5
+    assert landing.read_appended(spark, path, "id bigint").count() == 13
+    landing.replace(spark.range(2), f"{path}-whole")
+    assert count() == 2
+    assert not landing.replace_if_any(spark.range(0), f"{path}-whole")
+    assert landing.replace_if_any(spark.range(5), f"{path}-whole")
+    assert count() == 5
+    landing.replace(spark.range(0), f"{path}-whole")
+    assert count() == 0
     for n in (3, 1):
         landing.replace_table(spark.range(n), "presence")
     assert spark.table("presence").count() == 1
+    before = spark.table("presence")
+    with pytest.raises(Exception):
+        landing.replace_table(failing(spark.range(9)), "presence")
+    assert spark.table("presence").count() == 1 and before.count() == 1
+    landing.replace_table(spark.range(4).withColumn("n", F.lit(1)), "presence")
+    assert spark.table("presence").columns == ["id", "n"]
+
+
+def failing(df):
+    """Rows of which some are written before the job fails."""
+    return df.repartition(3).withColumn("id", F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("broken")).cast("bigint")))
+
+
+def test_reload_that_breaks_off_is_not_seen(spark, tmp_path, rows):
+    path = f"{tmp_path}/t"
+    landing.replace(spark.range(5), path)
+    with pytest.raises(Exception):
+        landing.replace(failing(spark.range(20)), path)
+    assert read_table(spark, path, "id bigint").count() == 5
+    reading = read_table(spark, path, "id bigint")
+    landing.replace(spark.range(7), path)
+    assert reading.count() == 5 and read_table(spark, path, "id bigint").count() == 7  # the last readers keep their files
+    for n in range(4):
+        landing.replace(spark.range(n), path)
+    assert len([x for x in (tmp_path / "t" / "data").iterdir()]) == 3 - 1  # and older files go
+
+
+def test_tables_that_change_together(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    replace_parts(spark, path, {"a": spark.range(2), "b": spark.range(3)})
+    with pytest.raises(Exception):
+        replace_parts(spark, path, {"a": spark.range(9), "b": failing(spark.range(20))})
+    assert [read_table(spark, path, "id bigint", part).count() for part in "ab"] == [2, 3]
+
+
+def test_appends_that_are_retried(spark, tmp_path, rows):
+    path = f"{tmp_path}/t"
+    landing.append(spark.range(3), path, batch="one")
+    landing.append(spark.range(10, 12), path, batch="two")
+    landing.append(spark.range(4), path, batch="one")
+    with pytest.raises(Exception):
+        landing.append(failing(spark.range(20)), path, batch="two")
+    read = lambda without=None: rows(landing.read_appended(spark, path, "id bigint", without))
+    assert read() == [(0,), (1,), (10,), (11,), (2,), (3,)]
+    assert read("one") == [(10,), (11,)]
+    landing.append(spark.range(0), path, batch="three")
+    assert len(read()) == 6
 
 
 def test_skill_pipeline(spark, tmp_path, rows):
@@ -103,16 +157,26 @@ def test_skill_pipeline(spark, tmp_path, rows):
         star.load_star(spark, frames, base, buckets=2)
         for _ in range(2):
             skills.extract_skills(spark, base, phrases, "2025-01-01", "v1", buckets=2)
-    raw = read_or_empty(spark, f"{base}/job_skills", schemas.JOB_SKILLS)
+    raw = landing.read_appended(spark, f"{base}/job_skills", schemas.JOB_SKILLS)
     assert rows(raw, "source_job_id", "skill_name") == [
         ("1", "5+ years experience"), ("1", "sql"), ("2", "apache spark"), ("3", "spark"), ("3", "sql")]
     dim = read_table(spark, f"{base}/skills", schemas.SKILLS)
     assert rows(dim, "skill_name") == [("5+ years experience",), ("apache spark",), ("spark",), ("sql",)]
     bridge = read_table(spark, f"{base}/job_skills_bridge", schemas.JOB_SKILLS_BRIDGE)
     assert bridge.count() == 5 and bridge.distinct().count() == 5
-    overlap = spark.read.parquet(f"{base}/category_industry_overlap").collect()
+    overlap = read_table(spark, f"{base}/category_industry_overlap", schemas.CATEGORY_OVERLAP).collect()
     assert overlap[0].total_jobs == 3 and len(overlap[0].top_companies) == 3
-    assert spark.read.parquet(f"{base}/company_presence").count() == 3
+    assert read_table(spark, f"{base}/company_presence", schemas.COMPANY_PRESENCE).count() == 3
+
+
+def test_skill_run_that_is_retried(spark, tmp_path, rows):
+    """The same batch again stores the same rows once; the next batch only adds what is new."""
+    base = str(tmp_path)
+    star.load_star(spark, drops(spark)[0][1], base, buckets=2)
+    for batch in ("monday", "monday", "tuesday"):
+        skills.extract_skills(spark, base, ["SQL", "Apache Spark"], "2025-01-01", "v1", buckets=2, batch=batch)
+    raw = landing.read_appended(spark, f"{base}/job_skills", schemas.JOB_SKILLS)
+    assert rows(raw, "source_job_id", "skill_name") == [("1", "5+ years experience"), ("1", "sql"), ("2", "apache spark")]
 
 
 def test_skills_of_a_run_that_broke_off(spark, tmp_path, rows):
@@ -124,7 +188,7 @@ def test_skills_of_a_run_that_broke_off(spark, tmp_path, rows):
     skills.extract_skills(spark, base, ["SQL", "Apache Spark"], "2025-01-02", "v1", buckets=2)
     linked = read_table(spark, f"{base}/job_skills_bridge", schemas.JOB_SKILLS_BRIDGE)
     assert rows(linked, "job_id") == [("1",), ("1",), ("2",)]
-    raw = read_or_empty(spark, f"{base}/job_skills", schemas.JOB_SKILLS)
+    raw = landing.read_appended(spark, f"{base}/job_skills", schemas.JOB_SKILLS)
     assert rows(raw, "source_job_id", "skill_name") == [("1", "5+ years experience"), ("1", "sql"), ("2", "apache spark")]
 
 
@@ -137,10 +201,10 @@ def test_sponsor_pipeline(spark, tmp_path, rows):
     for _ in range(2):
         sponsors.load_petitions(spark, raw, base, buckets=2)
         sponsors.match_sponsors(spark, base)
-    assert spark.read.parquet(f"{base}/h1b_petitions").count() == 3
-    assert rows(spark.read.parquet(f"{base}/temp_name_mapping")) == [
+    assert read_table(spark, f"{base}/h1b_petitions", schemas.PETITIONS).count() == 3
+    assert rows(read_table(spark, f"{base}/temp_name_mapping", schemas.NAME_MAPPING)) == [
         ("Fabrikam Inc.", "FABRIKAM LLC"), ("Northwind", "NORTHWIND CORP")]
-    got = spark.read.parquet(f"{base}/sponsor_companies")
+    got = read_table(spark, f"{base}/sponsor_companies", schemas.SPONSOR_COMPANIES)
     assert rows(got, "company_name", "h1b_official_name", "is_sponsor", "last_updated_fiscal_year") == [
         ("Fabrikam Inc.", "FABRIKAM LLC", True, 2021)]
 
@@ -162,9 +226,9 @@ def test_enrichment_pipeline(spark, tmp_path, rows):
     assert run("t2") == "No new jobs."
     answers = spark.createDataFrame([("2", '{"years_min": 3}')], "job_id string, response string")
     assert run("t3") == "Wrote 1 rows to job_enrichment, 0 rows to job_embeddings."
-    done = read_or_empty(spark, f"{base}/job_enrichment", schemas.JOB_ENRICHMENT)
+    done = landing.read_appended(spark, f"{base}/job_enrichment", schemas.JOB_ENRICHMENT)
     assert rows(done, "job_id", "processed_at") == [("1", "t1"), ("2", "t3")]
-    vectors_done = read_or_empty(spark, f"{base}/job_embeddings", schemas.JOB_EMBEDDINGS)
+    vectors_done = landing.read_appended(spark, f"{base}/job_embeddings", schemas.JOB_EMBEDDINGS)
     assert rows(vectors_done, "job_id", "model_name") == [("1", "m"), ("2", "m")]
 
 
@@ -195,8 +259,68 @@ def test_merge_that_breaks_off_is_not_seen(spark, tmp_path, rows):
     assert rows(read_table(spark, path, SCHEMA)) == [("1", 1), ("2", 2)]
     put(spark, path, ("2", 20), ("3", 30))
     assert rows(read_table(spark, path, SCHEMA)) == [("1", 1), ("2", 20), ("3", 30)]
-    with pytest.raises(Exception):  # a second writer of the same version
-        publish(spark, path, version)
+    assert not publish(spark, path, version)  # a second writer of the same version
+
+
+def test_merges_at_the_same_time(spark, tmp_path, rows):
+    """Of writers that start from one version one is first, and the others start anew: every row is there once."""
+    for trial in range(20):
+        path = f"{tmp_path}/t{trial}"
+        put(spark, path, ("0", 0), buckets=1)
+        errors = []
+
+        def write(k):
+            try:
+                put(spark, path, (str(k), k), ("0", 0), buckets=1)
+            except Exception as error:
+                errors.append(error)
+
+        writers = [threading.Thread(target=write, args=(k,)) for k in (1, 2)]
+        for writer in writers:
+            writer.start()
+        for writer in writers:
+            writer.join()
+        assert not errors
+        assert rows(read_table(spark, path, SCHEMA)) == [("0", 0), ("1", 1), ("2", 2)]
+        assert current(spark, path).number == 3
+
+
+def merge_changed(spark, path, *records):
+    merge_into(spark, path, SCHEMA, spark.createDataFrame(list(records), SCHEMA), ["k"],
+               lambda t, s: upsert(t, s, ["k"], unique_source=True), 8, same=["v"])
+
+
+def test_unchanged_rows_write_nothing(spark, tmp_path, rows):
+    path = f"{tmp_path}/t"
+    records = [(str(i), i if i % 5 else None) for i in range(40)]
+    merge_changed(spark, path, *records)
+    first = current(spark, path)
+    merge_changed(spark, path, *records)
+    assert current(spark, path) == first
+    merge_changed(spark, path, *records[:38], ("38", 380), ("39", None), ("new", 1))
+    second = current(spark, path)
+    assert len(set(second.parts) - set(first.parts)) <= 3 < len(first.parts)
+    expected = [*records[:38], ("38", 380), ("39", None), ("new", 1)]
+    assert rows(read_table(spark, path, SCHEMA)) == sorted(expected, key=repr)
+    source = spark.createDataFrame([("1", 1), ("5", None), ("5", 5), ("6", None), (None, 1), ("x", None)], SCHEMA)
+    assert rows(changed_rows(spark, path, SCHEMA, source, ["k"], ["v"])) == sorted([("5", 5), ("6", None), (None, 1), ("x", None)], key=repr)
+
+
+def test_derived_parts(spark, tmp_path, rows):
+    """Only parts that were written since are read again, those of rows without key included."""
+    path, derived = f"{tmp_path}/t", f"{tmp_path}/d"
+    total = lambda df: df.groupBy("_bucket").agg(F.sum("v").alias("s"))
+    refresh = lambda: refresh_derived(spark, path, SCHEMA, derived, total)
+    value = lambda: read_table(spark, derived, "s bigint").agg(F.sum("s")).first()[0]
+    assert refresh() == 0
+    put(spark, path, *[(str(i), 1) for i in range(40)], buckets=8)
+    assert refresh() == 8 and value() == 40
+    assert refresh() == 0
+    put(spark, path, ("5", 11), (None, 100), buckets=8)
+    assert len(stale_parts(spark, path, derived)[0]) == 2
+    assert refresh() == 2 and value() == 150
+    put(spark, path, (None, 100), buckets=8)
+    assert refresh() == 1 and value() == 250
 
 
 def test_bucket_count_is_stored(spark, tmp_path):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hirelake.functions import tagging, text
+from hirelake.operators import dictionary
 from hirelake.plans.skills import skill_rows
 
 
@@ -165,3 +166,35 @@ def test_skill_rows(spark, rows):
         "job_id string, description string")
     got = skill_rows(jobs, ["SQL"], F.lit("2025-01-01"), "v1")
     assert rows(got) == [("1", "5+ years experience", "2025-01-01", "v1"), ("1", "sql", "2025-01-01", "v1")]
+
+
+@pytest.mark.parametrize("tokenize", [False, True])
+def test_dictionary_table_tags_as_the_list_does(spark, tokenize):
+    """Random texts of few words, chains of overlaps, phrases of one to five words, and a very long text."""
+    draw = random.Random(9)
+    words = ["a", "b", "c++", "d/e", "f", "g.h"]
+    phrases = sorted({" ".join(draw.choices(words, k=draw.randint(1, 5))) for _ in range(40)}) + [" ", "A  B", "d/e", "d/ e"]
+    texts = [" ".join(draw.choices([*words, "x", "x,", "\n"], k=draw.randint(0, 60))) for _ in range(50)]
+    texts += [None, "", "a " * 20000, " ".join(draw.choices(words, k=5000))]
+    df = spark.createDataFrame([*enumerate(texts), (None, "a b")], "k long, text string").repartition(3)
+    listed = tagging.tag_phrases(df, "text", phrases, "found", tokenize).where("k IS NOT NULL").collect()
+    expected = {(r.k, p) for r in listed for p in r.found}
+    table = spark.createDataFrame([(p,) for p in phrases], "phrase string")
+    got = [tuple(r) for r in dictionary.tag_with(df, "k", "text", table, tokenize).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_plan_does_not_grow_with_the_dictionary(spark):
+    df = spark.createDataFrame([(1, "phrase 7 and phrase 199999 of a b c")], "k long, text string")
+    size = {}
+    for n in (10, 200_000):
+        table = spark.range(n).selectExpr("concat('phrase ', id) AS phrase")
+        found = dictionary.tag_with(df, "k", "text", table)
+        assert {r.phrase for r in found.collect()} == {f"phrase {k}" for k in (7, 199_999) if k < n}
+        size[n] = len(found._jdf.queryExecution().analyzed().toString())
+    assert size[200_000] < size[10] + 200
+
+
+def test_no_phrases(spark):
+    df = spark.createDataFrame([(1, "a b")], "k long, text string")
+    assert dictionary.tag_with(df, "k", "text", spark.createDataFrame([], "phrase string")).count() == 0

@@ -414,6 +414,56 @@ cte("job_means", "category_jobs", """
   FROM category_jobs x CROSS JOIN category_jobs y GROUP BY ALL""")
 
 
+
+
+def assigned(source: str) -> str:
+    """Each vector with its nearest centre, from a CTE of centres (label, position, c)."""
+    return f"""
+  SELECT vec_id, arg_min(label, (off, label)) AS label, min(off) AS off FROM (
+    SELECT d.vec_id, c.label, sum((d.x - c.c) * (d.x - c.c)) AS off FROM dims d JOIN {source} c USING (position) GROUP BY ALL)
+  GROUP BY vec_id"""
+
+
+def moved(source: str, old: str) -> str:
+    """Means of the vectors of each centre; a centre without any stays."""
+    return f"""
+  SELECT label, position, coalesce(m, c) AS c FROM {old} LEFT JOIN (
+    SELECT a.label, position, avg(x) AS m FROM {source} a JOIN dims d USING (vec_id) GROUP BY ALL) USING (label, position)"""
+
+
+cte("assigned_1", "dims centers", assigned("centers"))
+cte("centers_1", "assigned_1", moved("assigned_1", "centers"))
+cte("assigned_2", "centers_1", assigned("centers_1"))
+cte("centers_2", "assigned_2", moved("assigned_2", "centers_1"))
+cte("assigned_3", "centers_2", assigned("centers_2"))
+
+cte("pairs", "category_jobs", "SELECT a, b, count(*) AS jobs FROM category_jobs GROUP BY ALL")
+cte("pairs_0", "pairs", """
+  SELECT a, b, 1 AS jobs, CAST(row_number() OVER (ORDER BY jobs DESC, a, b = '<null>', b) - 1 AS INTEGER) AS id
+  FROM pairs QUALIFY id < 4""")
+for turn in (1, 2, 3):
+    cte(f"shares_{turn}", f"pairs_{turn - 1}", f"""
+  SELECT id, kind, value, sum(jobs) / any_value(size) AS share FROM (
+    SELECT id, unnest(['a', 'b']) AS kind, unnest([a, b]) AS value, jobs, size FROM (
+      SELECT *, sum(jobs) OVER (PARTITION BY id) AS size FROM pairs_{turn - 1})) GROUP BY ALL""")
+    cte(f"pairs_{turn}", f"pairs shares_{turn}", f"""
+  SELECT a, b, jobs, arg_min(id, (off, id)) AS id, min(off) AS off FROM (
+    SELECT p.a, p.b, p.jobs, n.id, round(2 - 2 * (coalesce(x.share, 0) + coalesce(y.share, 0)) + n.norm, 9) AS off
+    FROM pairs p CROSS JOIN (SELECT id, sum(share * share) AS norm FROM shares_{turn} GROUP BY id) n
+    LEFT JOIN shares_{turn} x ON x.id = n.id AND x.kind = 'a' AND x.value = p.a
+    LEFT JOIN shares_{turn} y ON y.id = n.id AND y.kind = 'b' AND y.value = p.b) GROUP BY ALL""")
+
+cte("vector_roots", "", """
+  SELECT a.vec_id, a.label AS own, b.label AS other, sum(sqrt(list_aggregate(list_transform(
+      list_zip(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])),
+      lambda p: (p[1] - p[2]) * (p[1] - p[2])), 'sum'))) AS far, count(*) AS size
+  FROM embeddings a CROSS JOIN embeddings b GROUP BY ALL""")
+cte("job_roots", "category_jobs", """
+  SELECT x.job_id, x.own, y.own AS other, count(*) AS size,
+    sum(sqrt(2.0 * ((x.a <> y.a)::INT + (x.b <> y.b)::INT))) AS far
+  FROM category_jobs x CROSS JOIN category_jobs y GROUP BY ALL""")
+
+
 def silhouette(means: str, unit: str, weight: str) -> str:
     return f"""
   SELECT sum({weight} * coalesce(CASE WHEN size > 1 THEN (outside - inside) / greatest(outside, inside) END, 0))
@@ -478,6 +528,16 @@ ORACLE = {
     "merge_jobs": query("merged_jobs", SHOW_JOBS + "merged_jobs"),
     "merge_idempotent": query("merged_jobs", SHOW_JOBS + "merged_jobs"),
     "merge_interrupted": query("merged_jobs", SHOW_JOBS + "merged_jobs"),
+    "page_quarantine": """
+      SELECT o_orderkey || suffix AS id, NULL AS line, 'read' AS reason FROM orders, (VALUES ('a'), ('b')) AS s(suffix)
+      WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+      UNION ALL SELECT NULL, '{"count": 0}', 'no results' FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED'
+      UNION ALL SELECT NULL, '{"results": [{"id": "x"', 'malformed' FROM orders WHERE o_orderpriority = '3-MEDIUM'""",
+    "merge_changed": """
+      SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CASE WHEN o_orderkey % 20 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price,
+        CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS status, o_orderkey % 20 = 0 AS changed FROM orders""",
+    "replace_interrupted": query("company_names", "SELECT CAST(company_id AS VARCHAR) AS company_id, company_name FROM company_names"),
+    "append_retried": "SELECT doc_id, lang FROM documents WHERE doc_id % 3 < 2",
     "merge_jobstats": f"""
       WITH s AS (SELECT * FROM (SELECT CAST(l_orderkey AS VARCHAR) AS job_id, l_returnflag, l_linestatus,
           CAST(weekofyear(l_shipdate) AS VARCHAR) AS week, row_number() OVER (PARTITION BY l_orderkey
@@ -579,6 +639,9 @@ ORACLE = {
       JOIN (SELECT b, row_number() OVER (ORDER BY b = '<null>', b) - 1 AS place FROM (SELECT DISTINCT b FROM category_jobs)) d USING (b)
       GROUP BY 1, 2"""),
     "kmeans_vectors": "SELECT vec_id, TRUE AS nearest FROM embeddings",
+    "kmeans_rounds": query("assigned_3", "SELECT vec_id, label AS cluster_id, round(off, 6) AS off FROM assigned_3"),
+    "kmeans_category_rounds": query("pairs_3", """
+      SELECT a AS category_label, nullif(b, '<null>') AS company_name, jobs, id AS cluster_id, round(off, 6) AS off FROM pairs_3"""),
     "kmeans_categories": query("category_jobs", """
       SELECT a AS category_label, nullif(b, '<null>') AS company_name, count(*) AS jobs, TRUE AS nearest
       FROM category_jobs GROUP BY 1, 2"""),
@@ -587,6 +650,9 @@ ORACLE = {
     "silhouette_vectors": query("vector_score", "SELECT round(silhouette, 6) AS silhouette FROM vector_score"),
     "silhouette_categories": query(
         "category_score", "SELECT round(silhouette, 6) AS silhouette FROM category_score"),
+    "silhouette_exact": query("vector_roots job_roots", f"""
+      SELECT 'vectors' AS model, round(silhouette, 6) AS silhouette FROM ({silhouette("vector_roots", "vec_id", "1")})
+      UNION ALL SELECT 'categories', round(silhouette, 6) FROM ({silhouette("job_roots", "job_id", "1")})"""),
     "model_select": query("vector_score category_score", """
       SELECT CASE WHEN v.silhouette >= c.silhouette THEN 'Embeddings' ELSE 'Categorical' END AS winner,
         round(greatest(v.silhouette, c.silhouette), 6) AS score FROM vector_score v, category_score c"""),
@@ -643,3 +709,6 @@ ORACLE = {
       SELECT o_orderkey, 'Embeddings_' || strftime(o_orderdate, '%Y%m%d') AS model_version,
         strftime(o_orderdate, '%Y%m%d%H%M%S') AS stamp, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS updated_at FROM orders""",
 }
+ORACLE["overlap_incremental"] = ORACLE["category_overlap"]
+ORACLE["stream_star"] = ORACLE["star_stored"]
+ORACLE["skill_tags_table"] = ORACLE["skill_tags"]

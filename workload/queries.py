@@ -13,7 +13,7 @@ from hirelake import schemas
 from hirelake.functions import tagging, text, times
 from hirelake.functions.vectors import squared_distance
 from hirelake.operators import (
-    clustering, enrichment, marts, matching, petitions, tfidf,
+    clustering, dictionary, enrichment, marts, matching, petitions, tfidf,
 )
 from hirelake.operators.dedup import latest_per_key
 from hirelake.operators.upsert import upsert
@@ -24,7 +24,7 @@ from hirelake.plans import sponsors as sponsor_plan
 from hirelake.plans import star
 from hirelake.session import configure, scratch_path, stage
 from hirelake.sources import landing, postings, tables
-from hirelake.streaming.incremental import FRAMES, apply_new_files
+from hirelake.streaming.incremental import FRAMES, apply_new_files, update_star
 from workload.views import CUTOFF, Views, nanos
 
 INGEST_TIME = datetime(2025, 1, 1, 12, 0, 0)
@@ -58,8 +58,19 @@ def star_frame(name: str):
 
 
 def row_counts(v: Views) -> DataFrame:
+    """Counted while the five frames are written."""
     flat = stage(star.flatten(v.raw_postings()), "postings")
-    return marts.row_counts(star.star_frames(flat, INGEST_TIME))
+    _, counts = landing.land_counted(star.star_frames(flat, INGEST_TIME), _stored(v, "counted"), INGEST_TIME)
+    return marts.counted_rows(v.spark, counts)
+
+
+def page_quarantine(v: Views) -> DataFrame:
+    """Pages as files: the postings read, and the lines left out with the reason."""
+    path = _stored(v, "pages")
+    v.pages().select(F.col("page").alias("value")).write.text(path)
+    good, bad = postings.split_pages(v.spark, path)
+    return good.select("id", F.lit(None).cast("string").alias("line"), F.lit("read").alias("reason")).unionByName(
+        bad.select(F.lit(None).cast("string").alias("id"), "line", "reason"))
 
 
 def page_explode(v: Views) -> DataFrame:
@@ -128,6 +139,54 @@ def merge_interrupted(v: Views) -> DataFrame:
     return plain(tables.read_table(spark, path, schemas.JOBS))
 
 
+PRICES = "order_id string, price double, status string"
+
+
+def merge_changed(v: Views) -> DataFrame:
+    """Orders stored and merged again with one price in twenty changed: the stored rows, and which source rows were taken as changed."""
+    spark, path = v.spark, scratch_path(v.spark, "changed")
+    rows = v.table("orders").select(
+        F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_totalprice").alias("price"),
+        F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderstatus")).alias("status"))
+    later = rows.withColumn("price", F.when(F.col("order_id").cast("long") % 20 == 0, F.col("price") + 1).otherwise(F.col("price")))
+
+    def merge(source: DataFrame) -> None:
+        tables.merge_into(spark, path, PRICES, source, ["order_id"], lambda t, s: upsert(t, s, ["order_id"], unique_source=True),
+                          buckets=8, same=["price", "status"])
+
+    merge(rows)
+    changed = stage(tables.changed_rows(spark, path, PRICES, later, ["order_id"], ["price", "status"]), "changed")
+    merge(later)
+    merge(later)  # nothing is left to write
+    flagged = changed.select("order_id", F.lit(True).alias("changed"))
+    return tables.read_table(spark, path, PRICES).join(flagged, "order_id", "left").fillna(False, ["changed"])
+
+
+def _broken(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose computation fails after some of them."""
+    fails = F.when(F.pmod(F.xxhash64(column), F.lit(50)) == 0, F.raise_error(F.lit("broken off")).cast("string"))
+    return df.withColumn(column, F.coalesce(fails, F.col(column).cast("string")))
+
+
+def replace_interrupted(v: Views) -> DataFrame:
+    """A table reloaded, and a second reload that fails on the way: the rows of the first."""
+    path = _stored(v, "replaced")
+    landing.replace(v.company_names().select("company_id", "company_name"), path)
+    try:
+        landing.replace(_broken(v.company_names().select("company_id", F.lit("new").alias("company_name")), "company_id"), path)
+    except Exception:  # the failure that is meant
+        pass
+    return tables.read_table(v.spark, path, "company_id string, company_name string")
+
+
+def append_retried(v: Views) -> DataFrame:
+    """Two batches of documents, one of them appended twice."""
+    path, docs = _stored(v, "appended"), v.table("documents").select("doc_id", "lang")
+    for batch, rest in (("a", 0), ("b", 1), ("a", 0)):
+        landing.append(docs.filter(F.col("doc_id") % 3 == rest), path, batch=batch)
+    return landing.read_appended(v.spark, path, "doc_id bigint, lang string")
+
+
 def merge_jobstats(v: Views) -> DataFrame:
     source = stage(latest_per_key(v.jobstats_staging(), ["job_id"]), "jobstats")
     return upsert(v.jobstats_known(), source, ["job_id"], unique_source=True)
@@ -151,6 +210,21 @@ def category_overlap(v: Views) -> DataFrame:
              F.col("c.count").alias("jobs"), "total_jobs")
 
 
+def overlap_incremental(v: Views) -> DataFrame:
+    """The overlap kept up to date over two merges of jobs, from counts per part of the jobs table."""
+    spark, base = v.spark, _stored(v, "marts")
+    source = stage(_jobs_source(v), "jobs-source")
+    _store(v, base, "companies", schemas.COMPANIES, v.companies(), "company_name")
+    for half in (0, 1):
+        _store(v, base, "jobs", schemas.JOBS, source.filter(F.col("job_id").cast("long") % 2 == half), "job_id")
+        skill_plan.refresh_marts(spark, base)
+    overlap = marts.by_total(tables.read_table(spark, f"{base}/category_industry_overlap", schemas.CATEGORY_OVERLAP))
+    return overlap.select(
+        "category_label", "total_jobs", F.posexplode("top_companies").alias("rank", "c")
+    ).select("category_label", "rank", F.col("c.company_name").alias("company_name"),
+             F.col("c.count").alias("jobs"), "total_jobs")
+
+
 def petitions_clean(v: Views) -> DataFrame:
     return petitions.clean_petitions(v.petitions())
 
@@ -213,6 +287,20 @@ def skill_tags_full_tokens(v: Views) -> DataFrame:
         "job_id", *[F.array_join(F.array_sort(c), ",").alias(c) for c in ("by_spaces", "by_tokens")])
 
 
+def _phrase_table(v: Views) -> DataFrame:
+    """The phrases, and the name of every part, of which the texts have none."""
+    return v.spark.createDataFrame([(p,) for p in PHRASES], "phrase string").unionByName(
+        v.table("part").select(F.concat("p_name", F.lit(" "), "p_partkey").alias("phrase")))
+
+
+def skill_tags_table(v: Views) -> DataFrame:
+    """Documents tagged with a dictionary that grows with the parts."""
+    docs = v.documents().select("job_id", "text")
+    found = dictionary.tag_with(docs, "job_id", "text", _phrase_table(v)).groupBy("job_id").agg(
+        F.array_join(F.array_sort(F.collect_set("phrase")), ",").alias("skills"))
+    return docs.select("job_id").join(found, "job_id", "left").fillna("", ["skills"])
+
+
 def skill_rows(v: Views) -> DataFrame:
     return skill_plan.skill_rows(v.descriptions(), PHRASES, F.lit(EXTRACTED), MODEL)
 
@@ -334,10 +422,39 @@ def kmeans_categories(v: Views) -> DataFrame:
     return measured.select(a, b, "jobs", (F.col("own") <= F.col("least") + 1e-6).alias("nearest"))
 
 
+def kmeans_rounds(v: Views) -> DataFrame:
+    """Two rounds from the means of the labels: the cluster of every vector and its distance."""
+    points = v.vectors()
+    start = sorted((r["cluster_id"], list(r["center"])) for r in clustering.centers_of(points, "vector").collect())
+    centers = clustering.refine_centers(points.drop("cluster_id"), "vector", start, rounds=2)
+    found = clustering.assign_vectors(points.drop("cluster_id"), "vector", centers)
+    return found.select("vec_id", "cluster_id", six("off"))
+
+
+def kmeans_category_rounds(v: Views) -> DataFrame:
+    """Two rounds from the four most frequent pairs: the cluster of every pair and its squared distance."""
+    pairs = stage(clustering.categorical_pairs(v.descriptions()), "pairs")
+    first = pairs.orderBy(F.desc("jobs"), "category_label", F.asc_nulls_last("company_name")).limit(4)
+    start = [(r["category_label"], r["company_name"]) for r in first.collect()]
+    found = clustering.categorical_kmeans(pairs, rounds=2, first=start)
+    return found.select("category_label", "company_name", "jobs", "cluster_id", six("off"))
+
+
 def _one_row(v: Views, schema: str, *values) -> DataFrame:
     return v.spark.createDataFrame([values], schema)
 
 
+def silhouette_exact(v: Views) -> DataFrame:
+    """By Euclidean distance, from sums over blocks of vectors and from counts."""
+    lengths = F.least(F.floor(F.col("n_chars") / 1000), F.lit(8)).cast("int")
+    clustered = v.descriptions().withColumn("cluster_id", lengths).fillna({"category_label": clustering.UNKNOWN}).groupBy(
+        "category_label", "company_name", "cluster_id").agg(F.count(F.lit(1)).alias("jobs"))
+    by_category = clustering.categorical_silhouette(clustered, squared=False)
+    by_vector = clustering.silhouette_exact(v.vectors(), "vector", "cluster_id", block_bytes=1 << 18)
+    return by_vector.select(F.lit("vectors").alias("model"), six("silhouette")).unionByName(
+        by_category.select(F.lit("categories").alias("model"), six("silhouette")))
+
+
 def _vector_silhouette(v: Views) -> float:
     df = v.vectors().withColumn("features", array_to_vector("vector"))
     return clustering.silhouette(df)
@@ -439,6 +556,29 @@ def stream_upsert(v: Views) -> DataFrame:
     return plain(tables.read_table(spark, f"{base}/jobs", schemas.JOBS))
 
 
+def stream_star(v: Views) -> DataFrame:
+    """Postings landed in two drops and streamed into the five tables; the first run breaks off between two frames."""
+    spark, base = v.spark, scratch_path(v.spark, "stream-star")
+    frames = star.star_frames(stage(star.flatten(v.raw_postings()), "postings"), INGEST_TIME)
+    early = F.col("job_id").cast("long") % 2 == 0
+    drops = [frames | {"jobs": frames["jobs"].filter(early), "jobstats": frames["jobstats"].filter(early)},
+             {name: frames[name].filter(~early) for name in ("jobs", "jobstats")}]
+
+    def broken(spark: SparkSession, given: dict[str, DataFrame], *rest) -> None:
+        star.load_star(spark, {name: df for name, df in given.items() if name != "jobstats"}, *rest)
+        raise RuntimeError("broken off")
+
+    for day, drop in enumerate(drops, start=1):
+        landing.land_frames(drop, base, datetime(2025, 1, day))
+        for load in (broken, star.load_star):
+            try:
+                update_star(spark, base, f"{base}/tables", f"{base}/checkpoint", "hash", 4, load)
+            except Exception as error:
+                if "broken off" not in str(error):
+                    raise
+    return _star_rows({name: tables.read_table(spark, f"{base}/tables/{name}", schema) for name, schema in STAR.items()})
+
+
 # --- stored results of the pipelines ----------------------------------------
 
 def _stored(v: Views, label: str) -> str:
@@ -457,6 +597,15 @@ def star_stored(v: Views) -> DataFrame:
     paths = landing.land_frames(frames, f"{base}/land", INGEST_TIME)
     staging = {name: landing.load_staging(spark, paths[name], FRAMES[name], f"{base}/staging/{name}") for name in paths}
     loaded = star.load_star(spark, staging, f"{base}/tables", "hash", buckets=4)
+    return _star_rows(loaded)
+
+
+STAR = {"jobs": schemas.JOBS, "jobstats": schemas.JOBSTATS, "companies": schemas.COMPANIES, "categories": schemas.CATEGORIES,
+        "locations": schemas.LOCATIONS}
+
+
+def _star_rows(loaded: dict[str, DataFrame]) -> DataFrame:
+    """The stored jobs with their dimensions."""
     jobs = loaded["jobs"].join(loaded["companies"].withColumnRenamed("company_name", "company"), "company_id", "left")
     places = loaded["locations"].select("location_id", F.col("country"))
     stats = loaded["jobstats"].select("job_id", "contract_type")
@@ -486,7 +635,7 @@ def sponsors_stored(v: Views) -> DataFrame:
     _store(v, base, "companies", schemas.COMPANIES, companies, "company_name")
     sponsor_plan.load_petitions(spark, v.petitions(), base, buckets=4)
     sponsor_plan.match_sponsors(spark, base)
-    return tables.read_or_empty(spark, f"{base}/sponsor_companies", schemas.SPONSOR_COMPANIES)
+    return tables.read_table(spark, f"{base}/sponsor_companies", schemas.SPONSOR_COMPANIES)
 
 
 def enrichment_stored(v: Views) -> DataFrame:
@@ -501,8 +650,8 @@ def enrichment_stored(v: Views) -> DataFrame:
         enrichment_plan.enrich_jobs(
             spark, base, lambda todo: todo.join(v.responses(), "job_id").select("job_id", "response"),
             lambda todo: todo.join(vectors, "job_id").select("job_id", "vector"), "m", EXTRACTED)
-    records = tables.read_or_empty(spark, f"{base}/job_enrichment", schemas.JOB_ENRICHMENT)
-    embedded = tables.read_or_empty(spark, f"{base}/job_embeddings", schemas.JOB_EMBEDDINGS)
+    records = landing.read_appended(spark, f"{base}/job_enrichment", schemas.JOB_ENRICHMENT)
+    embedded = landing.read_appended(spark, f"{base}/job_embeddings", schemas.JOB_EMBEDDINGS)
     return records.select("job_id", "years_experience_min", F.array_join("extracted_skills", ",").alias("skills")).join(
         embedded.select("job_id", F.size("embedding_vector").alias("n_dims"), "model_name"), "job_id", "full")
 
@@ -549,6 +698,7 @@ QUERIES = {
     "star_categories": star_frame("categories"),
     "star_locations": star_frame("locations"),
     "row_counts": row_counts,
+    "page_quarantine": page_quarantine,
     "page_explode": page_explode,
     "nanos_to_timestamp": nanos_to_timestamp,
     "latest_per_job": latest_per_job,
@@ -559,10 +709,14 @@ QUERIES = {
     "merge_jobs": merge_jobs,
     "merge_idempotent": merge_idempotent,
     "merge_interrupted": merge_interrupted,
+    "merge_changed": merge_changed,
+    "replace_interrupted": replace_interrupted,
+    "append_retried": append_retried,
     "merge_jobstats": merge_jobstats,
     "merge_skills_catalogue": merge_skills_catalogue,
     "company_presence": company_presence,
     "category_overlap": category_overlap,
+    "overlap_incremental": overlap_incremental,
     "petitions_clean": petitions_clean,
     "sponsorship_batch": sponsorship_batch,
     "sponsorship_merge": sponsorship_merge,
@@ -573,6 +727,7 @@ QUERIES = {
     "experience_years": experience_years,
     "skill_ngrams": skill_ngrams,
     "skill_tags": skill_tags,
+    "skill_tags_table": skill_tags_table,
     "skill_tags_full_tokens": skill_tags_full_tokens,
     "skill_rows": skill_rows,
     "skills_dimension": skills_dimension,
@@ -587,8 +742,11 @@ QUERIES = {
     "one_hot": one_hot,
     "kmeans_vectors": kmeans_vectors,
     "kmeans_categories": kmeans_categories,
+    "kmeans_rounds": kmeans_rounds,
+    "kmeans_category_rounds": kmeans_category_rounds,
     "silhouette_vectors": silhouette_vectors,
     "silhouette_categories": silhouette_categories,
+    "silhouette_exact": silhouette_exact,
     "model_select": model_select,
     "nearest_members": nearest_members,
     "cluster_samples": cluster_samples,
@@ -596,6 +754,7 @@ QUERIES = {
     "hybrid_clusters": hybrid_clusters,
     "blank_vector": blank_vector,
     "stream_upsert": stream_upsert,
+    "stream_star": stream_star,
     "star_stored": star_stored,
     "skills_stored": skills_stored,
     "sponsors_stored": sponsors_stored,
