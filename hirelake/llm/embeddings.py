@@ -27,6 +27,8 @@ from hirelake.session import stage
 #: Vectors a cell has on average, and the most that a block of a cell holds on either side.
 CELL = 4096
 BLOCK = 8192
+#: Pivots at least, whatever the number of vectors.
+FEWEST_PIVOTS = 8
 #: A bound on the pivots, which go to all tasks. With more vectors than cells of CELL hold, cells are larger and have more blocks.
 MOST_PIVOTS = 1024
 #: Cosines computed at once in a block.
@@ -193,6 +195,21 @@ def _join_block(least: float, dtype: str):
     return run
 
 
+def _members(distinct: DataFrame, reach: float, dtype: str) -> DataFrame:
+    """The stored ``distinct`` vectors in their own cells and as guests wherever a neighbour within ``reach`` may live.
+
+    Pivots are vectors drawn by hash: one per :data:`CELL` vectors, at least :data:`FEWEST_PIVOTS` and at most :data:`MOST_PIVOTS`.
+    """
+    most = min(MOST_PIVOTS, max(FEWEST_PIVOTS, -(-distinct.count() // CELL)))
+    chosen: dict[int, list[bytes]] = {}
+    for row in distinct.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).collect():
+        chosen.setdefault(row["width"], []).append(bytes(row["raw"]))
+    pivots = {width: unit_rows(raw, dtype) for width, raw in chosen.items()}
+    assigned = stage(_assign(distinct, pivots, dtype), "assigned")
+    radius = {row["home"]: row["radius"] for row in assigned.groupBy("home").agg(F.max("distance").alias("radius")).collect()}
+    return stage(_replicate(assigned, pivots, radius, reach, dtype), "members")
+
+
 def near_duplicates(df: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``vec_id``, ``n_links`` (other rows linked directly), ``component_id`` and ``kept`` (its own id) of every row.
 
@@ -208,18 +225,7 @@ def near_duplicates(df: DataFrame, least: float = 0.9, id_col: str = "vec_id", v
         rows.where("vec_id is not null and digest is not null").groupBy("digest")
         .agg(F.min_by(F.struct("vec_id", "raw", "width"), "vec_id").alias("first"), F.count("*").alias("copies"))
         .select("digest", "first.*", "copies"), "distinct")
-    found = distinct.count()
-    most = min(MOST_PIVOTS, -(-found // CELL))
-    pivots: dict[int, np.ndarray] = {}
-    if most > 1:
-        chosen: dict[int, list[bytes]] = {}
-        for row in distinct.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).collect():
-            chosen.setdefault(row["width"], []).append(bytes(row["raw"]))
-        pivots = {width: unit_rows(raw, dtype) for width, raw in chosen.items()}
-    reach = math.sqrt(2 - 2 * least)
-    assigned = stage(_assign(distinct, pivots, dtype), "assigned")
-    radius = {row["home"]: row["radius"] for row in assigned.groupBy("home").agg(F.max("distance").alias("radius")).collect()}
-    members = stage(_replicate(assigned, pivots, radius, reach, dtype), "members")
+    members = _members(distinct, math.sqrt(2 - 2 * least), dtype)
     sizes = members.groupBy("cell").agg(
         F.ceil(F.sum(F.when(F.col("guest"), 0).otherwise(1)) / BLOCK).cast("int").alias("own_blocks"),
         F.ceil(F.sum(F.when(F.col("guest"), 1).otherwise(0)) / BLOCK).cast("int").alias("guest_blocks"))

@@ -123,6 +123,31 @@ def test_cells_and_blocks_lose_no_link(spark, monkeypatch):
     assert {r.vec_id: r.n_links for r in embeddings.near_duplicates(df).collect()} == expected
 
 
+def test_pivots_prune_where_vectors_lie_in_clusters(spark, monkeypatch):
+    """More vectors than a cell has: chains within families are found whole, and less than half of the lower cells is reached."""
+    monkeypatch.setattr(embeddings, "CELL", 200)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 32))
+    rows = np.repeat(centres, 125, axis=0) + 0.55 * rng.normal(size=(5000, 32))
+    rows = rows.astype(np.float32)
+    ids = rng.permutation(5000)
+    df = spark.createDataFrame([(int(k), [float(x) for x in row]) for k, row in zip(ids, rows)], "vec_id long, embedding array<float>").repartition(4)
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    groups = components.UnionFind()
+    for a, b in zip(*np.nonzero(linked)):
+        groups.join(int(ids[a]), int(ids[b]))
+    expected = {int(k): (int(linked[at].sum()) - 1, groups.root(int(k))) for at, k in enumerate(ids)}
+    assert sum(links for links, _ in expected.values()) > 1000
+    members = []
+    plain = embeddings._members
+    monkeypatch.setattr(embeddings, "_members", lambda *given: members.append(plain(*given)) or members[0])
+    found = embeddings.near_duplicates(df).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found} == expected
+    guests = members[0].where("guest").count()
+    assert guests < 0.5 * 5000 * 24 / 2  # 25 pivots: a vector has 12 lower cells on average
+
+
 @pytest.mark.parametrize("block", [8192, 300])
 def test_chains_over_many_chunks_stay_connected(spark, monkeypatch, block):
     """Families of vectors along arcs, where only neighbours are linked, in any order of ids; more rows than a chunk."""
