@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hirelake.functions.text import is_blank
 from hirelake.functions.vectors import zero_vector
@@ -27,6 +27,24 @@ def pending(jobs: DataFrame, done: DataFrame, key: str = "job_id", done_key: str
     return jobs.join(open_ids, key, "left_semi").unionByName(keyless)
 
 
+def add_keys(df: DataFrame, table: str, key: str = "job_id", buckets: int = 64) -> None:
+    """Add the distinct keys of ``df`` to a catalog table that is cut into hash buckets of the key; null keys are left out.
+
+    The bucket count is that of the first call for a table. Tables that are to be compared need the same one.
+    """
+    keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    keys.write.mode("append").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
+def open_keys(spark: SparkSession, table: str, done: str, key: str = "job_id") -> DataFrame:
+    """Distinct keys of one table of :func:`add_keys` that another one does not have.
+
+    Both are read bucket by bucket and compared where they are read, so neither side is exchanged, whatever their size. A key that
+    was added several times is one row.
+    """
+    return spark.table(table).select(key).distinct().join(spark.table(done).select(key), key, "left_anti")
+
+
 def _texts(parsed: str, key: str) -> Column:
     """A list of texts; a plain value counts as a list of one, an object or nothing as an empty one."""
     listed = F.try_variant_get(parsed, f"$.{key}", "array<string>")

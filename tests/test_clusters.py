@@ -271,8 +271,8 @@ def test_cluster_jobs_end_to_end(spark, tmp_path, with_vectors):
     assert len(registry) == 3 and sum(r.job_count for r in registry) == 60
     assert max(r["rank"] for r in result.representatives.collect()) <= 5
     save_clustering(result, str(tmp_path))
-    assigned, saved = read_clustering(spark, str(tmp_path))
-    assert assigned.count() == result.job_clusters.count()
+    stored, saved = read_clustering(spark, str(tmp_path))
+    assert stored.count() == result.job_clusters.count()
     assert saved.count() == 3
     if not with_vectors:
         by_kind = {}

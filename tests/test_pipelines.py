@@ -62,6 +62,32 @@ def test_star_as_a_stream(spark, tmp_path, rows):
     check_star(spark, base, rows)
 
 
+def test_stream_that_breaks_off_between_frames(spark, tmp_path, rows):
+    """The batch is applied again whole; jobs landed before their dimensions still find their keys."""
+    land, base = str(tmp_path / "land"), str(tmp_path / "tables")
+
+    def broken(session, frames, *rest):
+        star.load_star(session, {name: df for name, df in frames.items() if name in ("companies", "jobs")}, *rest)
+        raise RuntimeError("broken off")
+
+    for day, frames in drops(spark):
+        landing.land_frames({name: frames[name] for name in ("jobs", "jobstats")}, land, day)
+        landing.land_frames({name: df for name, df in frames.items() if name not in ("jobs", "jobstats")}, land, day)
+        with pytest.raises(Exception, match="broken off"):
+            update_star(spark, land, base, f"{tmp_path}/checkpoint", buckets=4, load=broken)
+        update_star(spark, land, base, f"{tmp_path}/checkpoint", buckets=4)
+    check_star(spark, base, rows)
+    versions = current(spark, f"{base}/jobs").number
+    update_star(spark, land, base, f"{tmp_path}/checkpoint", buckets=4)
+    assert current(spark, f"{base}/jobs").number == versions
+
+
+def test_counts_of_what_was_written(spark, tmp_path):
+    frames = {"companies": spark.range(7), "locations": spark.range(0)}
+    paths, counts = landing.land_counted(frames, str(tmp_path), DAY1)
+    assert counts == {"companies": 7, "locations": 0} and list(paths) == ["companies"]
+
+
 def test_landing_paths_and_staging(spark, tmp_path, rows):
     frames = {"companies": spark.createDataFrame([("A",)], "company_name string"),
               "categories": spark.createDataFrame([], "category_label string")}

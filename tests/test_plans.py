@@ -84,3 +84,15 @@ def test_counts_are_partial_before_the_shuffle(spark):
     raw = spark.createDataFrame([], schemas.RAW_PETITIONS)
     text = plan(petitions.sponsorship_batch(stage(raw, "raw")))
     assert "partial_max" in text and text.count("Exchange") == 1
+
+
+def test_open_keys_are_not_exchanged(spark, big, rows):
+    """Neither side moves: buckets meet where they are read, and a key added twice is one."""
+    names = ["keys_of_jobs", "keys_done"]
+    enrichment.add_keys(big, names[0], buckets=4)
+    enrichment.add_keys(big.filter("ts < 199990"), names[1], buckets=4)
+    enrichment.add_keys(big.filter("ts BETWEEN 5 AND 199995"), names[1], buckets=4)
+    enrichment.add_keys(big.filter("ts > 199998"), names[0], buckets=4)
+    found = enrichment.open_keys(spark, *names)
+    assert "Exchange" not in plan(found)
+    assert rows(found) == [(str(k),) for k in range(199_996, 200_000)]

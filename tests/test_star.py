@@ -118,6 +118,18 @@ def test_pages_from_files(spark, tmp_path, rows):
     assert rows(postings.read_pages(spark, str(tmp_path)), "id") == [("1",), ("2",), ("2",)]
 
 
+def test_bad_pages_are_kept_apart(spark, tmp_path, rows):
+    good = json.dumps({"results": [posting("1"), {"title": "keyless"}, posting("2")]})
+    (tmp_path / "a.json").write_text("\n".join([good, "not json", '{"results": null}', '{"results": []}', "", '{"count": 1}']))
+    (tmp_path / "b.json").write_text('{"results": 5}\n' + json.dumps({"results": [posting("3")]}))
+    found, bad = postings.split_pages(spark, str(tmp_path))
+    assert rows(found, "id") == [("1",), ("2",), ("3",)] and "file" not in found.columns
+    kept = sorted((r.file.rsplit("/", 1)[1], r.line, r.reason) for r in bad.collect())
+    assert kept == [
+        ("a.json", "not json", "malformed"), ("a.json", '{"count": 1}', "no results"), ("a.json", '{"results": null}', "no results"),
+        ("a.json", '{"title":"keyless"}', "no id"), ("b.json", '{"results": 5}', "malformed")]
+
+
 def test_pretty_printed_page_files(spark, tmp_path):
     (tmp_path / "p.json").write_text(json.dumps({"results": [posting("1")]}, indent=2))
     assert postings.read_pages(spark, str(tmp_path), multi_line=True).count() == 1

@@ -588,6 +588,7 @@ ORACLE = {
     "unprocessed_jobs": """
       SELECT d.doc_id, d.lang, d.n_chars FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
       WHERE l.doc_id IS NULL""",
+    "open_keys_bucketed": "SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "experience_years": rf"""
       SELECT event_id, nullif(regexp_extract(lower(text), '{EXPERIENCE}', 1), '') AS years FROM (
         SELECT event_id, CASE event_type WHEN 'click' THEN 'Needs ' || user_id || ' Years of work'

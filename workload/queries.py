@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -264,6 +265,16 @@ def unprocessed_jobs(v: Views) -> DataFrame:
     return enrichment.unprocessed(jobs, v.table("labels"), "doc_id")
 
 
+def open_keys_bucketed(v: Views) -> DataFrame:
+    """Documents and labelled ones as tables of keys in the same buckets, the labelled added in two runs; the open ones."""
+    names = [f"{label}_{uuid.uuid4().hex}" for label in ("jobs", "done")]
+    labels = v.table("labels").select("doc_id")
+    enrichment.add_keys(v.table("documents"), names[0], "doc_id", buckets=8)
+    for half in (0, 1):
+        enrichment.add_keys(labels.filter(F.col("doc_id") % 2 == half), names[1], "doc_id", buckets=8)
+    return enrichment.open_keys(v.spark, *names, key="doc_id")
+
+
 def experience_years(v: Views) -> DataFrame:
     return v.experience_texts().select("event_id", text.experience(F.col("text")).alias("years"))
 
@@ -724,6 +735,7 @@ QUERIES = {
     "name_mapping": name_mapping,
     "sponsor_companies": sponsor_companies,
     "unprocessed_jobs": unprocessed_jobs,
+    "open_keys_bucketed": open_keys_bucketed,
     "experience_years": experience_years,
     "skill_ngrams": skill_ngrams,
     "skill_tags": skill_tags,
