@@ -31,6 +31,8 @@ BLOCK = 8192
 FEWEST_PIVOTS = 8
 #: A bound on the pivots, which go to all tasks. With more vectors than cells of CELL hold, cells are larger and have more blocks.
 MOST_PIVOTS = 1024
+#: Vectors from which the pivots are chosen, about; all vectors are put into cells.
+SAMPLE = 2048
 #: Cosines computed at once in a block.
 CHUNK = 256
 #: Rounding of distances never decides where a vector is sent.
@@ -195,16 +197,30 @@ def _join_block(least: float, dtype: str):
     return run
 
 
+def _far_apart(rows: np.ndarray, count: int) -> np.ndarray:
+    """Rows of which each is as far as can be from those taken before it."""
+    taken = [0]
+    nearest = _distances(rows, rows[:1])[:, 0]
+    while len(taken) < count and nearest.max() > 0:
+        taken.append(int(nearest.argmax()))
+        nearest = np.minimum(nearest, _distances(rows, rows[taken[-1:]])[:, 0])
+    return rows[taken]
+
+
 def _members(distinct: DataFrame, reach: float, dtype: str) -> DataFrame:
     """The stored ``distinct`` vectors in their own cells and as guests wherever a neighbour within ``reach`` may live.
 
-    Pivots are vectors drawn by hash: one per :data:`CELL` vectors, at least :data:`FEWEST_PIVOTS` and at most :data:`MOST_PIVOTS`.
+    There is one pivot per :data:`CELL` vectors, but at least :data:`FEWEST_PIVOTS` and at most :data:`MOST_PIVOTS`. They are taken
+    from about :data:`SAMPLE` vectors drawn by hash, each as far as can be from those before it, so that cells are narrow.
     """
-    most = min(MOST_PIVOTS, max(FEWEST_PIVOTS, -(-distinct.count() // CELL)))
-    chosen: dict[int, list[bytes]] = {}
-    for row in distinct.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).collect():
-        chosen.setdefault(row["width"], []).append(bytes(row["raw"]))
-    pivots = {width: unit_rows(raw, dtype) for width, raw in chosen.items()}
+    total = distinct.count()
+    most = min(MOST_PIVOTS, max(FEWEST_PIVOTS, -(-total // CELL)))
+    drawn = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < min(1 << 30, (SAMPLE << 30) // max(total, 1))
+    sample: dict[int, list[bytes]] = {}
+    for row in distinct.where(drawn).select("vec_id", "width", "raw").sort("vec_id").collect():
+        sample.setdefault(row["width"], []).append(bytes(row["raw"]))
+    size = sum(map(len, sample.values()))
+    pivots = {width: _far_apart(unit_rows(raw, dtype), -(-most * len(raw) // size)) for width, raw in sample.items()}
     assigned = stage(_assign(distinct, pivots, dtype), "assigned")
     radius = {row["home"]: row["radius"] for row in assigned.groupBy("home").agg(F.max("distance").alias("radius")).collect()}
     return stage(_replicate(assigned, pivots, radius, reach, dtype), "members")
