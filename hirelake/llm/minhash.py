@@ -31,6 +31,8 @@ _UNSET = np.uint64(2**64 - 1)
 BLOCK = 1 << 16
 #: Texts compared all with all at once, where a bucket is not settled by its leader.
 COMPARED = 200
+#: Slots in which the uses of shingles are counted, for their order.
+SLOTS = 1 << 18
 #: Shingles whose occurrences are held as a matrix at once.
 COLUMNS = 4096
 #: So many ids are broadcast to the scan of the texts (8 bytes each, about 60 MB in a hash table); more are joined by a shuffle.
@@ -243,14 +245,85 @@ def _settle_sorted(plan: Plan):
     return run
 
 
+def _rare_shingles(texts: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """``text_id``, ``n_shingles`` and ``band``: so many of a text's rarest shingles that two similar texts share one of them.
+
+    Of two similar sets each shares at least ``percent`` of its own shingles. If all are put into one order, the first ones, as many
+    as may be missing and one more, hold a shared one. The order is by the uses of a shingle among ``texts``, counted in
+    :data:`SLOTS` slots (one number each on the driver, whatever the input), so that what many texts have in common comes last.
+    """
+    of_texts = sets.withColumnRenamed("doc_id", "text_id").join(texts, "text_id", "left_semi").select("text_id", "shingles")
+    of_texts = stage(of_texts, "large-buckets")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uses = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            uses += np.bincount(_slots(batch.column(1).flatten().to_numpy()), minlength=SLOTS)
+        used = np.flatnonzero(uses)
+        yield pa.record_batch([pa.array(used), pa.array(uses[used])], ["slot", "uses"])
+
+    counted = of_texts.mapInArrow(count, "slot long, uses long").groupBy("slot").agg(F.sum("uses").alias("uses")).toArrow()
+    uses = np.zeros(SLOTS, np.int64)
+    uses[counted.column("slot").to_numpy()] = counted.column("uses").to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(uses)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            ends, values = np.asarray(lists.offsets), np.asarray(lists.values)
+            rarest = [_rarest(values[a:b], shared.value, plan.percent) for a, b in zip(ends[:-1], ends[1:])]
+            sizes = [len(x) for x in rarest]
+            yield pa.record_batch([
+                pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(np.repeat(np.diff(ends).astype(np.int64), sizes)),
+                pa.array(np.concatenate(rarest) if rarest else np.zeros(0, np.int64))], ["text_id", "n_shingles", "band"])
+
+    return of_texts.mapInArrow(run, "text_id long, n_shingles long, band long")
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles.astype(np.uint64)) % np.uint64(SLOTS)).astype(np.int64)
+
+
+def _rarest(shingles: np.ndarray, uses: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles in the order of (uses, shingle): those that a similar set may lack, and one more."""
+    order = np.lexsort((shingles, uses[_slots(shingles)]))
+    return shingles[order[:len(shingles) - -(-percent * len(shingles) // 100) + 1]]
+
+
+def _buckets(banded: DataFrame) -> DataFrame:
+    """Rows of ``banded`` that share their band, with the least text of it (``leader``, ``leader_size``) and the bucket's ``size``."""
+    leaders = (
+        banded.groupBy("band").agg(F.min(F.struct("text_id", "n_shingles")).alias("leader"), F.count("*").alias("size"))
+        .where("size > 1").select("band", F.col("leader.text_id").alias("leader"), F.col("leader.n_shingles").alias("leader_size"), "size")
+    )
+    return stage(banded.join(leaders, "band"), "buckets")
+
+
+def _leader_pairs(shared: DataFrame, plan: Plan) -> DataFrame:
+    """Texts of a bucket and its leader whose sizes allow a link."""
+    sized = _sized(F.col("n_shingles"), F.col("leader_size"), plan.percent)
+    return stage(shared.where((F.col("text_id") != F.col("leader")) & sized).select("leader", "text_id").distinct(), "pairs")
+
+
+def _leader_links(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs whose full sets are similar."""
+    one, two = (sets.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"{name}_set")) for name in ("leader", "text_id"))
+    common = F.size(F.array_intersect("leader_set", "text_id_set"))
+    return stage(
+        pairs.join(two, "text_id").join(one, "leader")
+        .where(_similar(common, F.size("leader_set"), F.size("text_id_set"), plan.percent))
+        .select(F.col("leader").alias("a"), F.col("text_id").alias("b")), "links")
+
+
 def near_duplicates(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (least id reachable by links) and ``kept`` (its own id) of every row.
 
     Two texts are linked if their sets of shingles have the given similarity; candidates share a
     band, and the full sets confirm. Exact copies (equal words) are one text from the start, so a group of
-    copies costs one sum. In each bucket all texts are compared with the one of the least id; buckets
-    whose texts are then still in several groups are compared all with all, in blocks of :data:`COMPARED` texts, and only
-    links between groups leave a block.
+    copies costs one sum. In each bucket all texts are compared with the one of the least id. Buckets of up to
+    :data:`COMPARED` texts that are then still in several groups are compared all with all. The texts of larger ones meet
+    again in finer buckets, one per rare shingle, with a leader each; what even these leave open is compared in blocks of
+    :data:`COMPARED` texts, and only links between groups leave a block.
 
     A text without words has an empty set and is alone. A row without id is alone: its component is null, and it is
     kept. Rows that repeat an id each follow their own text. An empty table gives no rows. Other columns are not read.
@@ -260,15 +333,8 @@ def near_duplicates(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id",
         rows.where("doc_id is not null and content is not null").groupBy("content")
         .agg(F.min_by(F.struct("doc_id", "n_shingles", "bands"), "doc_id").alias("first"), F.count("*").alias("copies"))
         .select("content", "first.*", "copies"), "texts")
-    banded = texts.select(F.col("doc_id").alias("text_id"), "n_shingles", F.explode("bands").alias("band"))
-    leaders = (
-        banded.groupBy("band").agg(F.min(F.struct("text_id", "n_shingles")).alias("leader"), F.count("*").alias("size"))
-        .where("size > 1").select("band", F.col("leader.text_id").alias("leader"), F.col("leader.n_shingles").alias("leader_size"), "size")
-    )
-    shared = stage(banded.join(leaders, "band"), "buckets")
-    pairs = stage(
-        shared.where((F.col("text_id") != F.col("leader")) & _sized(F.col("n_shingles"), F.col("leader_size"), plan.percent))
-        .select("leader", "text_id").distinct(), "pairs")
+    shared = _buckets(texts.select(F.col("doc_id").alias("text_id"), "n_shingles", F.explode("bands").alias("band")))
+    pairs = _leader_pairs(shared, plan)
     in_buckets = stage(shared.where("size > 2").select("text_id")
                        .union(pairs.select("text_id")).union(pairs.select("leader")).distinct(), "candidates")
     docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"))
@@ -276,14 +342,14 @@ def near_duplicates(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id",
     if in_buckets.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     sets = stage(shingle_sets(docs.join(wanted, "doc_id", "left_semi"), plan), "sets")
-    one, two = (sets.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"{name}_set")) for name in ("leader", "text_id"))
-    common = F.size(F.array_intersect("leader_set", "text_id_set"))
-    links = stage(
-        pairs.join(two, "text_id").join(one, "leader")
-        .where(_similar(common, F.size("leader_set"), F.size("text_id_set"), plan.percent))
-        .select(F.col("leader").alias("a"), F.col("text_id").alias("b")), "links")
-    found = components(links)
-    more = _within_buckets(shared, found, sets, plan)
+    found = components(_leader_links(pairs, sets, plan))
+    members, still_open = _open_buckets(shared, found)
+    more = _compared(_dealt(members, still_open.where(F.col("size") <= COMPARED)), sets, plan)
+    large = still_open.where(F.col("size") > COMPARED)
+    if not large.isEmpty():
+        finer = _buckets(_rare_shingles(members.join(large, "band", "left_semi").select("text_id").distinct(), sets, plan))
+        found = components(found.union(more).union(_leader_links(_leader_pairs(finer, plan), sets, plan)))
+        more = _compared(_dealt(*_open_buckets(finer, found)), sets, plan)
     if not more.isEmpty():
         found = components(found.union(more))
     grouped = (
@@ -295,27 +361,31 @@ def near_duplicates(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id",
     return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _within_buckets(shared: DataFrame, found: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
-    """Links between texts of one bucket that are still in different groups, those with its leader aside."""
+def _open_buckets(shared: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets but their leaders (``band``, ``text_id``, ``group``), and the buckets (``band``, ``size``) where these are in several groups."""
     group = F.coalesce("low", "text_id")
-    member = (
-        shared.where("size > 2").join(found.withColumnRenamed("node", "text_id"), "text_id", "left")
-        .select("band", "text_id", "leader", group.alias("group"))
-    )
-    members = stage(member, "members")
-    others = members.where("text_id != leader").groupBy("band").agg(
+    members = stage(
+        shared.where("size > 2 and text_id != leader").join(found.withColumnRenamed("node", "text_id"), "text_id", "left")
+        .select("band", "text_id", group.alias("group")), "members")
+    buckets = members.groupBy("band").agg(
         F.min("group").alias("least"), F.max("group").alias("most"), F.count("*").alias("size"),
         F.sum(F.xxhash64("text_id").cast("decimal(38,0)")).alias("digest"))
-    open_buckets = (  # buckets of the same texts are looked at once
-        others.where("least < most").groupBy("size", "digest").agg(F.min("band").alias("band"))
-        .select("band", F.ceil(F.col("size") / COMPARED).cast("int").alias("blocks"))
-    )
-    block = F.pmod(F.xxhash64("text_id"), F.col("blocks")).cast("int")
-    dealt = (
-        members.where("text_id != leader").join(open_buckets, "band").withColumn("block", block)
+    # Buckets of the same texts are looked at once.
+    return members, stage(buckets.where("least < most").groupBy("size", "digest").agg(F.min("band").alias("band")).select("band", "size"), "open")
+
+
+def _dealt(members: DataFrame, open_buckets: DataFrame) -> DataFrame:
+    """The members of open buckets, once for each two blocks of :data:`COMPARED` texts that they belong to."""
+    blocks = open_buckets.select("band", F.ceil(F.col("size") / COMPARED).cast("int").alias("blocks"))
+    return (
+        members.join(blocks, "band").withColumn("block", F.pmod(F.xxhash64("text_id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("band", "text_id", "group", "block", F.least("block", "other").alias("low_block"), F.greatest("block", "other").alias("high_block"))
     )
+
+
+def _compared(dealt: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """Links between dealt texts of different groups."""
     key = ["band", "low_block", "high_block"]  # at most two blocks of texts
     with_sets = dealt.join(sets.withColumnRenamed("doc_id", "text_id"), "text_id").select(*key, "text_id", "group", "block", "shingles")
     return stage(with_sets.repartition(*key).sortWithinPartitions(*key).mapInArrow(_settle_sorted(plan), "a long, b long"), "more-links")
