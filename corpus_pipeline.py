@@ -41,7 +41,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the least id.
+    """One document of each group of near-duplicates, texts whose sets of 5-word shingles have a similarity of 0.8: that of the least id.
 
     If an id is null or repeated, rows are numbered first and written with their numbers, so that each row has its own; the row of
     the least number then stays.
@@ -50,7 +50,7 @@ def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     keyed = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("key"), F.col("text").alias("text"))
     if not docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
         keyed = stage(keyed.withColumn("key", F.monotonically_increasing_id()), "numbered")
-    found = minhash.near_duplicates(keyed, id_col="key")
+    found = minhash.near_duplicates(keyed, minhash.Plan(words=5), id_col="key")
     copies = stage(found.where(~F.col("kept")).select(F.col("doc_id").alias("key")), "copies")
     if copies.count() <= minhash.BROADCAST_IDS:
         copies = F.broadcast(copies)

@@ -358,6 +358,6 @@ def test_pipeline_is_its_operators(spark):
     assert ids(corpus_pipeline.known_language(spark, docs, REAL)) == ids(predicted.where("lang_pred <> 'und' and score >= 0.1 and margin >= 0.005"))
     judged = rules.judge(rules.measure(docs, host="source", doc_id=F.col("doc_id")))
     assert ids(corpus_pipeline.good_quality(spark, docs, REAL)) == ids(judged.where("kept"))
-    assert ids(corpus_pipeline.no_near_duplicates(spark, docs, REAL)) == ids(minhash.near_duplicates(docs).where("kept"))
+    assert ids(corpus_pipeline.no_near_duplicates(spark, docs, REAL)) == ids(minhash.near_duplicates(docs, minhash.Plan(words=5)).where("kept"))
     packed = corpus_pipeline.run(spark, REAL)
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
