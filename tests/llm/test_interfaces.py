@@ -111,35 +111,6 @@ def test_buckets_that_a_leader_does_not_settle(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found.collect()} == {k: k // 4 * 4 for k in range(24)}
 
 
-def test_a_template_of_many_unlike_texts(spark, monkeypatch):
-    """300 texts share three fifths of their words; pairs among them are near copies, found without comparing all with all."""
-    monkeypatch.setattr(minhash, "COMPARED", 10)
-    dealt, deal = [], minhash._dealt
-    monkeypatch.setattr(minhash, "_dealt", lambda members, buckets: dealt.append(deal(members, buckets)) or dealt[-1])
-    template = [f"t{k}" for k in range(60)]
-    texts = [" ".join(template + [f"own{text}x{k}" for k in range(40)]) for text in range(300)]
-    texts += [f"{text} end{k}" for k, text in enumerate(texts[:40])]
-    texts += [f"start{k} {texts[k]}" for k in range(20, 40)]
-    found = minhash.near_duplicates(texts_of(spark, texts), minhash.Plan(bands=12, rows=1))
-    assert {r.doc_id: r.component_id for r in found.collect()} == {k: k if k < 300 else k - 300 if k < 340 else k - 320 for k in range(360)}
-    first, last = (df.count() for df in dealt)
-    assert last < 360 and first < 3600  # in blocks of ten, all with all would deal each text to 36 blocks a bucket
-
-
-def test_rarest_shingles_of_similar_sets_meet():
-    """Whatever the uses, two sets that are similar enough share one of their first shingles."""
-    random = np.random.default_rng(8)
-    for size in [1, 2, 3, 4, 5, 6, 9, 10, 11, 99, 100, 101]:
-        for _ in range(50):
-            uses = random.integers(0, 5, minhash.SLOTS)
-            one = random.integers(-2**62, 2**62, size)
-            two = one[random.permutation(size)[:random.integers(-(-80 * size // 100), size + 1)]]
-            two = np.concatenate([two, random.integers(-2**62, 2**62, random.integers(0, size // 5 + 1))])
-            shared = len(np.intersect1d(one, two))
-            if 100 * shared >= 80 * len(np.union1d(one, two)):
-                assert len(np.intersect1d(minhash._rarest(one, uses, 80), minhash._rarest(two, uses, 80)))
-
-
 def test_cells_and_blocks_lose_no_link(spark, monkeypatch):
     random_rows = np.random.default_rng(4).normal(size=(300, 8)).astype(np.float32)
     rows = np.concatenate([random_rows, random_rows[:60] + np.float32(0.05)])
