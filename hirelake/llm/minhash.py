@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.llm.arrow import map_texts, text_of
-from hirelake.llm.components import components
+from hirelake.llm.components import UnionFind, components
 from hirelake.llm.scan import ASCII_WHITE, ascii_white_mask, fingerprints, mix, runs, slices, text_bytes
 from hirelake.session import stage
 
@@ -29,10 +29,11 @@ _KEY = np.uint64(0x9E3779B97F4A7C15)
 _UNSET = np.uint64(2**64 - 1)
 #: Elements whose permutations are held at once.
 BLOCK = 1 << 16
-#: Texts compared all with all at once, where a bucket is not settled by its leader.
-COMPARED = 200
-#: Shingles whose occurrences are held as a matrix at once.
-COLUMNS = 4096
+#: Texts that are held at once, where a bucket is not settled by its leader, of so many shingles on average (8 bytes each, 16 MB in all).
+COMPARED = 2000
+SHINGLES = 1000
+#: Texts that pass by the held ones in one task.
+SLICE = 20_000
 #: So many ids are broadcast to the scan of the texts (8 bytes each, about 60 MB in a hash table); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -172,73 +173,59 @@ def _sized(small, large, percent: int):
     return 100 * F.least(small, large) >= percent * F.greatest(small, large)
 
 
-class _Member(NamedTuple):
-    text: int
-    group: int
-    block: int
-    shingles: np.ndarray
-
-
-def _common(sets: list[np.ndarray]) -> np.ndarray:
-    """How many numbers each two sets share, as a matrix: products of 0/1 rows over the numbers that occur more than once."""
-    count = len(sets)
-    owner = np.repeat(np.arange(count), [len(x) for x in sets])
-    _, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    renumbered = np.cumsum(uses > 1) - 1
-    shared = uses[column] > 1
-    owner, column = owner[shared], renumbered[column[shared]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    common = np.zeros((count, count), np.int64)
-    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        low, high = np.searchsorted(column, [first, first + COLUMNS])
-        rows = np.zeros((count, COLUMNS), np.float32)  # products of up to COLUMNS ones are exact
-        rows[owner[low:high], column[low:high] - first] = 1
-        common += (rows @ rows.T).astype(np.int64)
-    return common
-
-
-def _settle(members: list[_Member], across: bool, percent: int) -> list[tuple[int, int]]:
-    """Links between different groups among the members, at most one less than there are; ``across`` two blocks or within one."""
-    members = sorted(members, key=lambda member: member.text)
-    groups = np.array([member.group for member in members])
-    if (groups == groups[0]).all():
-        return []
-    sizes = np.array([len(member.shingles) for member in members])
-    linked = _similar(_common([member.shingles for member in members]), sizes[:, None], sizes[None, :], percent)
-    if across:
-        blocks = np.array([member.block for member in members])
-        linked &= blocks[:, None] != blocks[None, :]
-    links = []
-    for a, member in enumerate(members):
-        while len(others := np.flatnonzero(linked[a, a + 1:] & (groups[a + 1:] != groups[a]))):
-            b = a + 1 + int(others[0])
-            links.append((member.text, members[b].text))
-            groups[groups == groups[b]] = groups[a]
-    return links
+class _Held:
+    """The strays of a block: texts of a bucket that are not in its largest group, found again by their shingles."""
+
+    def __init__(self, texts: list[int], groups: list[int], sets: list[np.ndarray]):
+        self.texts, self.groups = np.array(texts, np.int64), groups
+        self.sizes = np.array([len(x) for x in sets], np.int64)
+        shingles = np.concatenate(sets)
+        order = np.argsort(shingles, kind="stable")
+        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.shingles, starts = np.unique(shingles[order], return_index=True)
+        self.bounds = np.append(starts, len(shingles))
+        self.merged = UnionFind()
+        self.open = True  # whether the strays are in several groups still
+
+    def links(self, text: int, group: int, shingles: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+        """Links of a text with strays of other groups; at most one for each two groups that come together."""
+        roots = self.merged
+        if not self.open and roots.root(self.groups[0]) == roots.root(group):
+            return
+        at = np.minimum(np.searchsorted(self.shingles, shingles), len(self.shingles) - 1)
+        at = at[self.shingles[at] == shingles]
+        if not len(at):
+            return
+        lengths = self.bounds[at + 1] - self.bounds[at]
+        first = np.repeat(self.bounds[at] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
+        common = np.bincount(self.owners[first + np.arange(int(lengths.sum()))], minlength=len(self.texts))
+        for k in np.flatnonzero(_similar(common, self.sizes, len(shingles), percent)).tolist():
+            if roots.join(self.groups[k], group):
+                yield text, int(self.texts[k])
+                self.open = len({roots.root(x) for x in self.groups}) > 1
 
 
 def _settle_sorted(plan: Plan):
-    """:func:`_settle` of each run of rows with one bucket and block pair."""
+    """Links between groups in each run of rows with one bucket, block and slice: first the strays of the block, then the slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, members = None, []
-
-        def links() -> pa.RecordBatch:
-            found = _settle(members, now[1] != now[2], plan.percent) if len(members) > 1 else []
-            return pa.record_batch([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-
+        now, strays, held = None, [], None
         for batch in batches:
+            found = []
             lists = batch.column(6)
             ends, values = np.asarray(lists.offsets), np.asarray(lists.values)
-            for k, (band, low, high, text, group, block) in enumerate(zip(*(column.to_pylist() for column in batch.columns[:6]))):
-                if (band, low, high) != now:
-                    if members:
-                        yield links()
-                    now, members = (band, low, high), []
-                members.append(_Member(text, group, block, values[ends[k]:ends[k + 1]].copy()))
-        if members:
-            yield links()
+            for k, (band, block, part, streamed, text, group) in enumerate(zip(*(column.to_pylist() for column in batch.columns[:6]))):
+                if (band, block, part) != now:
+                    now, strays, held = (band, block, part), [], None
+                shingles = values[ends[k]:ends[k + 1]].view(np.uint64)
+                if not streamed:
+                    strays.append((text, group, shingles.copy()))
+                    continue
+                if strays and held is None:
+                    held, strays = _Held(*(list(x) for x in zip(*strays))), []
+                if held is not None:
+                    found.extend(held.links(text, group, shingles, plan.percent))
+            yield pa.record_batch([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return run
 
@@ -248,9 +235,9 @@ def near_duplicates(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id",
 
     Two texts are linked if their sets of shingles have the given similarity; candidates share a
     band, and the full sets confirm. Exact copies (equal words) are one text from the start, so a group of
-    copies costs one sum. In each bucket all texts are compared with the one of the least id; buckets
-    whose texts are then still in several groups are compared all with all, in blocks of :data:`COMPARED` texts, and only
-    links between groups leave a block.
+    copies costs one sum. In each bucket all texts are compared with the one of the least id; where
+    they are then still in several groups, the texts outside the largest group are compared with all others of the bucket, in
+    blocks of :data:`COMPARED` texts, and only links between groups leave a block.
 
     A text without words has an empty set and is alone. A row without id is alone: its component is null, and it is
     kept. Rows that repeat an id each follow their own text. An empty table gives no rows. Other columns are not read.
@@ -296,26 +283,45 @@ def near_duplicates(df: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id",
 
 
 def _within_buckets(shared: DataFrame, found: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
-    """Links between texts of one bucket that are still in different groups, those with its leader aside."""
+    """Links between texts of one bucket that are still in different groups, those with its leader aside.
+
+    Texts of one group need no comparison. So the strays, those outside a bucket's largest group, are held in blocks, and the
+    others pass by them once per block, in slices; those of no fitting size stay away. A bucket with one large group costs about
+    as many rows as it has texts; only one of many groups costs a row per text and block of strays.
+    """
     group = F.coalesce("low", "text_id")
     member = (
-        shared.where("size > 2").join(found.withColumnRenamed("node", "text_id"), "text_id", "left")
-        .select("band", "text_id", "leader", group.alias("group"))
+        shared.where("size > 2 and text_id != leader").join(found.withColumnRenamed("node", "text_id"), "text_id", "left")
+        .select("band", "text_id", "n_shingles", group.alias("group"))
     )
     members = stage(member, "members")
-    others = members.where("text_id != leader").groupBy("band").agg(
-        F.min("group").alias("least"), F.max("group").alias("most"), F.count("*").alias("size"),
-        F.sum(F.xxhash64("text_id").cast("decimal(38,0)")).alias("digest"))
+    groups = stage(members.groupBy("band", "group").agg(
+        F.count("*").alias("texts"), F.sum("n_shingles").alias("shingles"), F.min("n_shingles").alias("least"),
+        F.max("n_shingles").alias("most"), F.sum(F.xxhash64("text_id").cast("decimal(38,0)")).alias("digest")), "groups")
     open_buckets = (  # buckets of the same texts are looked at once
-        others.where("least < most").groupBy("size", "digest").agg(F.min("band").alias("band"))
-        .select("band", F.ceil(F.col("size") / COMPARED).cast("int").alias("blocks"))
+        groups.groupBy("band").agg(F.max(F.struct("texts", "group")).alias("main"), F.sum("texts").alias("size"),
+                                   F.count("*").alias("groups"), F.sum("digest").alias("digest"))
+        .where("groups > 1").groupBy("size", "digest").agg(F.min(F.struct("band", F.col("main.group").alias("main"))).alias("first"))
+        .select("first.*", F.ceil(F.col("size") / SLICE).cast("int").alias("slices"))
+    )
+    blocks = F.ceil(F.greatest(F.sum("texts") / COMPARED, F.sum("shingles") / (COMPARED * SHINGLES))).cast("int")
+    strays = (
+        groups.join(open_buckets, "band").where(F.col("group") != F.col("main")).groupBy("band", "main", "slices")
+        .agg(blocks.alias("blocks"), F.min("least").alias("least"), F.max("most").alias("most"))
     )
-    block = F.pmod(F.xxhash64("text_id"), F.col("blocks")).cast("int")
+    stray = F.col("group") != F.col("main")
+    fits = (plan.percent * F.col("least") <= 100 * F.col("n_shingles")) & (plan.percent * F.col("n_shingles") <= 100 * F.col("most"))
+    number = F.xxhash64("text_id")
+    own = F.when(stray, F.pmod(number, F.col("blocks"))).otherwise(0).cast("int")
+    part = F.pmod(F.shiftright(number, 20), F.col("slices")).cast("int")
+    place = lambda block, part, streamed: F.struct(block.alias("block"), part.alias("part"), F.lit(streamed).alias("streamed"))
+    numbers = lambda first, count: F.sequence(first, F.col(count) - 1)
+    passes = F.transform(numbers(F.col("own"), "blocks"), lambda block: place(block, F.col("part"), True))
+    waits = F.transform(numbers(F.lit(0), "slices"), lambda slice_: place(F.col("own"), slice_, False))
     dealt = (
-        members.where("text_id != leader").join(open_buckets, "band").withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("band", "text_id", "group", "block", F.least("block", "other").alias("low_block"), F.greatest("block", "other").alias("high_block"))
+        members.join(strays, "band").where(stray | fits).withColumn("own", own).withColumn("part", part)
+        .select("band", "text_id", "group", F.inline(F.when(stray, F.concat(passes, waits)).otherwise(passes)))
     )
-    key = ["band", "low_block", "high_block"]  # at most two blocks of texts
-    with_sets = dealt.join(sets.withColumnRenamed("doc_id", "text_id"), "text_id").select(*key, "text_id", "group", "block", "shingles")
-    return stage(with_sets.repartition(*key).sortWithinPartitions(*key).mapInArrow(_settle_sorted(plan), "a long, b long"), "more-links")
+    key = ["band", "block", "part"]
+    with_sets = dealt.join(sets.withColumnRenamed("doc_id", "text_id"), "text_id").select(*key, "streamed", "text_id", "group", "shingles")
+    return stage(with_sets.repartition(*key).sortWithinPartitions(*key, "streamed").mapInArrow(_settle_sorted(plan), "a long, b long"), "more-links")

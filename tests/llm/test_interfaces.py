@@ -111,6 +111,40 @@ def test_buckets_that_a_leader_does_not_settle(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found.collect()} == {k: k // 4 * 4 for k in range(24)}
 
 
+def test_a_large_group_passes_by_its_strays_once(spark, monkeypatch):
+    """Many near copies of one text, and strays that only share its first words: rows in proportion to the texts."""
+    base = [f"w{k}" for k in range(30)]
+    texts = [" ".join([*base, *[f"c{k}" for k in range(30)], f"v{copy}"]) for copy in range(900)]
+    texts += [" ".join(base + [f"s{stray}x{k}" for k in range(30)]) for stray in range(20)]
+    frame = texts_of(spark, texts)
+    plan = minhash.Plan(bands=3, rows=1)
+    sets = minhash.stage(minhash.shingle_sets(frame, plan), "sets")
+    shared = minhash.stage(sets.selectExpr("doc_id AS text_id", "CAST(size(shingles) AS bigint) AS n_shingles", "explode(array(1L, 2L)) AS band")
+                           .selectExpr("*", "0L AS leader", "920L AS size").where("band = 1 OR text_id != 7"), "shared")
+    found = minhash.stage(sets.selectExpr("doc_id AS node", "0L AS low").where("doc_id BETWEEN 1 AND 899"), "found")
+    assert minhash._within_buckets(shared, found, sets, plan).count() == 0
+    monkeypatch.setattr(minhash, "_settle_sorted", lambda plan: lambda batches: (
+        pa.record_batch([x.column(4), x.column(4)], ["a", "b"]) for x in batches))  # every row that is dealt
+    assert 0 < minhash._within_buckets(shared, found, sets, plan).count() <= 3 * shared.count()
+
+
+def test_strays_are_linked_across_blocks_and_slices(spark, monkeypatch):
+    """Chains of texts, each like the next one only: small blocks and slices give the groups that all pairs give."""
+    words = [f"w{k}" for k in range(90)]
+    texts = [" ".join(words[at:at + 40]) for at in range(0, 48, 3)] + [" ".join(words[:40] + ["x"] * copy) for copy in range(1, 9)]
+    sets = [{tuple(x.split()[k:k + 4]) for k in range(len(x.split()) - 3)} for x in texts]
+    root = components.UnionFind()
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                root.join(a, b)
+    for held, streamed in ((1, 4), (3, 2), (2000, 20_000)):
+        monkeypatch.setattr(minhash, "COMPARED", held)
+        monkeypatch.setattr(minhash, "SLICE", streamed)
+        found = minhash.near_duplicates(texts_of(spark, texts), minhash.Plan(bands=40, rows=1))
+        assert {r.doc_id: r.component_id for r in found.collect()} == {k: root.root(k) for k in range(len(texts))}
+
+
 def test_cells_and_blocks_lose_no_link(spark, monkeypatch):
     random_rows = np.random.default_rng(4).normal(size=(300, 8)).astype(np.float32)
     rows = np.concatenate([random_rows, random_rows[:60] + np.float32(0.05)])
