@@ -8,7 +8,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+#: A side of a join with at most so many rows is broadcast; it should have a few short columns (some 100 bytes a row).
+BROADCAST_ROWS = 500_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -130,6 +133,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return _write(df, scratch_path(df.sparkSession, label))
 
 
+def broadcast_few(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` with the hint to broadcast it if it has at most :data:`BROADCAST_ROWS` rows, which are counted.
+
+    For sides that are small but that Spark expects to be large: its estimate for a join is the product of the sizes.
+    """
+    limit = BROADCAST_ROWS if rows is None else rows
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """:func:`stage` for the length of a ``with`` block; the files go at its end."""

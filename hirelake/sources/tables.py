@@ -52,7 +52,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
+
+
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty frame that Spark's optimizer knows to be empty: joins with it are left out, and their other side is not exchanged."""
+    return spark.createDataFrame([], schema).filter(F.lit(False))
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
@@ -77,7 +82,7 @@ def _folder(path: str, part: int | str, folder: str) -> str:
 
 def _rows(spark: SparkSession, path: str, schema: str, parts) -> DataFrame:
     if not parts:
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     return spark.read.schema(schema).parquet(*[_folder(path, part, folder) for part, folder, _ in parts])
 
 
@@ -226,7 +231,7 @@ def _write(
         merged = merge(target, source.filter(bucket != NO_KEY)).withColumn(BUCKET, bucket)
         results.append(merged.hint("rebalance", BUCKET))
     if NO_KEY in touched:
-        added = merge(spark.createDataFrame([], schema), source.filter(bucket == NO_KEY))
+        added = merge(no_rows(spark, schema), source.filter(bucket == NO_KEY))
         results.append(added.withColumn(BUCKET, F.lit(NO_KEY)))
     if not results:
         return None

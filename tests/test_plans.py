@@ -9,8 +9,10 @@ from hirelake import schemas
 from hirelake.functions.tagging import tag_phrases
 from hirelake.operators import enrichment, marts, matching, petitions
 from hirelake.operators.dedup import latest_per_key, top_per_group
+from hirelake.operators.lookup import lookup
 from hirelake.operators.upsert import upsert
 from hirelake.session import scratch_path, stage
+from hirelake.sources import tables
 
 
 def plan(df):
@@ -96,3 +98,17 @@ def test_open_keys_are_not_exchanged(spark, big, rows):
     found = enrichment.open_keys(spark, *names)
     assert "Exchange" not in plan(found)
     assert rows(found) == [(str(k),) for k in range(199_996, 200_000)]
+
+
+def test_a_small_dimension_leaves_the_fact_in_place(spark, big):
+    """Seven rows that Spark expects to be many, because they are made from a large table."""
+    dimension = big.select("category_label").distinct().withColumn("category_id", F.md5("category_label"))
+    found = lookup(big.select("job_id", "category_label"), dimension, ["category_label"], "category_id")
+    assert "BroadcastHashJoin" in plan(found) and "Exchange hashpartitioning" not in plan(found)
+    assert found.filter("category_id = md5(category_label)").count() == 200_000
+
+
+def test_a_merge_into_an_empty_table_exchanges_nothing(spark, big):
+    empty = tables.read_table(spark, scratch_path(spark, "none"), "job_id string, description string")
+    merged = upsert(empty, big.select("job_id", "description"), ["job_id"], unique_source=True)
+    assert "Exchange" not in plan(merged) and merged.count() == 200_000

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hirelake.session import broadcast_few
+
 CUTOFF = "1998-05-01"
 
 
@@ -27,15 +29,18 @@ class Views:
     # --- postings -----------------------------------------------------------
 
     def _lines(self) -> DataFrame:
-        """Order lines with their order, part, supplier and place."""
+        """Order lines with their order, part, supplier and place.
+
+        Suppliers are broadcast if they are few, and orders come last, so that the lines of an order end up side by side.
+        """
         places = self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         suppliers = self.table("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
         return (
             self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(broadcast_few(suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
         )
 
     def staging_jobs(self) -> DataFrame:
