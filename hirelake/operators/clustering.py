@@ -23,6 +23,9 @@ UNKNOWN = "Unknown"
 UNPOPULATED = "Unpopulated Cluster"
 #: Bytes of the vectors of a block, of which a task holds two when distances are summed exactly.
 BLOCK_BYTES = 8 << 20
+#: Parts of the blocks that pass by all others; each adds a line per vector and cluster to what is exchanged.
+STREAMS = 8
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 # --- features ---------------------------------------------------------------
@@ -125,66 +128,93 @@ def silhouette(df: DataFrame, features: str = "features", cluster: str = "cluste
     return evaluator.evaluate(labelled)
 
 
+def _packed(size: int, width: int):
+    """Rows (point, own, row) as blocks of ``size`` rows: their numbers, clusters and points, each as the bytes of an array."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def block(pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
+            points = np.concatenate([x.column(0).flatten().to_numpy().reshape(x.num_rows, width) for x in pieces])
+            own, rows = (np.concatenate([np.asarray(x.column(k)) for x in pieces]) for k in (1, 2))
+            return pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in (rows, own, points)], ["rows", "owns", "points"])
+
+        held, room = [], size
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                held.append(batch.slice(at, room))
+                at, room = at + held[-1].num_rows, room - held[-1].num_rows
+                if not room:
+                    yield block(held)
+                    held, room = [], size
+        if held:
+            yield block(held)
+
+    return run
+
+
+def _far(points: np.ndarray, targets: np.ndarray, member: np.ndarray, same: bool) -> np.ndarray:
+    """Distances of every point to the targets, added up per cluster; ``same`` says that both are one block."""
+    out, square = np.empty((len(points), member.shape[1])), (targets ** 2).sum(axis=1)
+    for first in range(0, len(points), 512):
+        part = points[first:first + 512]
+        far = part @ targets.T
+        far *= -2.0
+        far += (part ** 2).sum(axis=1)[:, None] + square
+        np.maximum(far, 0.0, out=far)
+        if same:
+            far[np.arange(len(part)), first + np.arange(len(part))] = 0.0
+        out[first:first + 512] = np.sqrt(far, out=far) @ member
+    return out
+
+
 def distance_sums(df: DataFrame, vector: str, cluster: str, block_bytes: int | None = None) -> DataFrame:
     """Euclidean distances of every vector to all of a cluster, added up: ``row`` (any number), ``own``, ``other``, ``far``.
 
-    Vectors are dealt into blocks by hash, and each two blocks meet in one group. What leaves it is a number for each of
-    its vectors and each cluster, never a pair, so the result has rows x clusters lines. The work is quadratic in the
-    rows: every vector is sent to as many groups as there are blocks. Rows with a null vector or cluster are left out;
-    all vectors must have one length.
+    Vectors are packed into blocks, which are written once, and each two blocks meet in a product of the files with
+    themselves, so no vector is exchanged again: at most :data:`STREAMS` parts of the blocks pass by every other part. A task
+    holds a part of one side and a block of the other, and what leaves it is a number for each vector it holds and each cluster, so
+    the result has rows x clusters lines, of which at most :data:`STREAMS` are added up. Only the work and what is read are quadratic in
+    the rows. Rows with a null vector or cluster are left out; all vectors must have one length.
     """
+    spark = df.sparkSession
     point = F.col(vector).cast("array<double>").alias("point")
     rows = df.select(point, F.col(cluster).cast("long").alias("own")).filter("point IS NOT NULL AND own IS NOT NULL")
     rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "points")
     count, width = rows.agg(F.count("*"), F.max(F.size("point"))).first()
-    blocks = max(1, -(-count * 8 * max(width or 1, 1) // (block_bytes or BLOCK_BYTES)))
-    block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
-    dealt = rows.withColumn("block", block).withColumn("met", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    dealt = dealt.select(
-        F.least("block", "met").alias("low"), F.greatest("block", "met").alias("high"), "block", "row", "own", "point")
+    width = width or 0
+    size = max(1, (block_bytes or BLOCK_BYTES) // (8 * max(width, 1)))
+    files = min(max(1, -(-count // size)), 1024)
+    packed = rows.repartition(files, "row").mapInArrow(_packed(size, width), "rows binary, owns binary, points binary")
+    packed = stage(packed.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    met = packed.select(F.col("block").alias("met"), F.col("owns").alias("others"), F.col("points").alias("targets")).coalesce(STREAMS)
+    pairs = met.hint("shuffle_replicate_nl").crossJoin(packed)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def settle(now: tuple, parts: dict[int, list]) -> Iterator[pa.RecordBatch]:
-            sides = [tuple(np.concatenate(x) for x in zip(*parts[b])) for b in dict.fromkeys(now) if b in parts]
-            for a, b in [(0, 0)] if len(set(now)) == 1 else [(0, 1), (1, 0)]:
-                if max(a, b) >= len(sides):
-                    continue
-                (row, own, points), (_, others, targets) = sides[a], sides[b]
-                names, at = np.unique(others, return_inverse=True)
-                member = np.zeros((len(others), len(names)))
-                member[np.arange(len(others)), at] = 1.0
-                square = (targets ** 2).sum(axis=1)
-                for first in range(0, len(row), 512):
-                    part = points[first:first + 512]
-                    squared = np.maximum((part ** 2).sum(axis=1)[:, None] + square - 2.0 * (part @ targets.T), 0.0)
-                    if a == b:
-                        squared[np.arange(len(part)), first + np.arange(len(part))] = 0.0
-                    far = np.sqrt(squared) @ member
-                    size = len(names)
-                    yield pa.record_batch(
-                        [pa.array(np.repeat(row[first:first + 512], size)), pa.array(np.repeat(own[first:first + 512], size)),
-                         pa.array(np.tile(names, len(part))), pa.array(far.ravel())], ["row", "own", "other", "far"])
-
-        now, parts = None, {}
+        held: dict[int, tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]] = {}
         for batch in batches:
-            keys = np.stack([np.asarray(batch.column(k)) for k in range(3)], axis=1)
-            edges = [0, *(np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1).tolist(), len(keys)]
-            for start, stop in zip(edges, edges[1:]):
-                low, high, block = keys[start].tolist()
-                if (low, high) != now:
-                    if now is not None:
-                        yield from settle(now, parts)
-                    now, parts = (low, high), {}
-                piece = batch.slice(start, stop - start)
-                points = piece.column(5).flatten().to_numpy().reshape(stop - start, -1)
-                parts.setdefault(block, []).append((np.asarray(piece.column(3)), np.asarray(piece.column(4)), points))
-        if now is not None:
-            yield from settle(now, parts)
-
-    groups = blocks * (blocks + 1) // 2
-    met = dealt.repartition(min(groups, 16384), "low", "high").sortWithinPartitions("low", "high", "block")
-    parts = met.mapInArrow(sums, "row long, own long, other long, far double")
-    return parts.groupBy("row", "own", "other").agg(F.sum("far").alias("far"))
+            for met, others, targets, row, own, points, block in zip(*batch.columns):
+                numbers = [np.frombuffer(x.as_buffer(), np.int64) for x in (others, row, own)]
+                one, two = (np.frombuffer(x.as_buffer()).reshape(-1, width) if width else np.zeros((len(n), 0))
+                            for x, n in ((points, numbers[1]), (targets, numbers[0])))
+                names, at = np.unique(numbers[0], return_inverse=True)
+                member = np.zeros((len(at), len(names)))
+                member[np.arange(len(at)), at] = 1.0
+                far = _far(one, two, member, met.as_py() == block.as_py())
+                sums = held.setdefault(block.as_py(), (numbers[1].copy(), numbers[2].copy(), {}))[2]
+                for k, name in enumerate(names.tolist()):
+                    sums[name] = sums[name] + far[:, k] if name in sums else far[:, k].copy()
+        for row, own, sums in held.values():
+            for name, far in sums.items():
+                yield pa.record_batch([pa.array(row), pa.array(own), pa.array(np.full(len(row), name)), pa.array(far)],
+                                      ["row", "own", "other", "far"])
+
+    parts = pairs.mapInArrow(sums, "row long, own long, other long, far double")
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(max(1, min(int(before), BLOCK_BYTES // (16 * size * max(width, 1))))))  # two blocks a row
+    try:
+        return stage(parts.groupBy("row", "own", "other").agg(F.sum("far").alias("far")), "distance-sums")
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
 
 
 def silhouette_exact(df: DataFrame, vector: str, cluster: str, block_bytes: int | None = None) -> DataFrame:
@@ -193,7 +223,7 @@ def silhouette_exact(df: DataFrame, vector: str, cluster: str, block_bytes: int
     A row alone in its cluster scores 0, as does one without another cluster or at distance 0 from all; without rows the
     result is null. Use :func:`silhouette` where the squared distance will do: it takes one pass.
     """
-    sums = stage(distance_sums(df, vector, cluster, block_bytes), "distance-sums")
+    sums = distance_sums(df, vector, cluster, block_bytes)
     sizes = sums.filter("own = other").groupBy("other").agg(F.count("*").alias("size"))
     mine = F.col("own") == F.col("other")
     scored = sums.join(sizes, "other").groupBy("row").agg(

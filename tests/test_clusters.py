@@ -7,6 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from hirelake import schemas
+from hirelake.session import stage
 from hirelake.operators import clustering, tfidf
 from hirelake.plans.clusters import cluster_jobs, read_clustering, save_clustering
 
@@ -177,6 +178,24 @@ def test_exact_silhouettes_equal_all_pairs(spark):
     assert clustering.silhouette_exact(df.filter("cluster_id = 1"), "vector", "cluster_id").first()[0] == 0.0
 
 
+def test_blocks_meet_without_sending_the_vectors(spark, monkeypatch):
+    """However many blocks there are, only sums are exchanged, at most eight for each vector and cluster."""
+    plans = {}
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, label)
+
+    monkeypatch.setattr(clustering, "stage", noted)
+    df = spark.range(100).selectExpr("array(double(id), 1.0D) AS vector", "int(id % 2) AS cluster_id")
+    before = spark.conf.get(clustering.BATCH_SETTING)
+    sums = clustering.distance_sums(df, "vector", "cluster_id", 64)
+    assert sums.count() == 200 and spark.conf.get(clustering.BATCH_SETTING) == before
+    exchanged = plans["distance-sums"].split("Exchange")
+    assert len(exchanged) == 2 and "far" in exchanged[1] and "CartesianProduct" in exchanged[1]
+    assert "Generate" not in plans["distance-sums"]
+
+
 def test_choose_model():
     assert clustering.choose_model(0.5, 0.5) == ("Embeddings", 0.5)
     assert clustering.choose_model(0.1, 0.2) == ("Categorical", 0.2)
