@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from hirelake.session import broadcast_few
 
 CUTOFF = "1998-05-01"
+#: So many parts are broadcast (about 70 bytes each).
+FEW_PARTS = 2_000_000
 
 
 class Views:
@@ -31,17 +33,18 @@ class Views:
     def _lines(self) -> DataFrame:
         """Order lines with their order, part, supplier and place.
 
-        Suppliers are broadcast if they are few, and orders come last, so that the lines of an order end up side by side.
+        The lines of an order end up side by side: parts that are few are broadcast, others are joined before the orders.
         """
         places = self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         suppliers = self.table("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
-        return (
-            self.table("lineitem")
-            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(broadcast_few(suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
-        )
+        orders = self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+        parts, same_part = self.table("part"), F.col("l_partkey") == F.col("p_partkey")
+        if parts.count() <= FEW_PARTS:
+            lines = self.table("lineitem").join(*orders).join(F.broadcast(parts), same_part)
+        else:
+            lines = self.table("lineitem").join(parts, same_part).join(*orders)
+        return lines.join(broadcast_few(suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
 
     def staging_jobs(self) -> DataFrame:
         """One staged posting per order line; an order is a job posted several times."""
