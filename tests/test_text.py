@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from hirelake import session
 from hirelake.functions import tagging, text
 from hirelake.operators import dictionary
 from hirelake.plans.skills import skill_rows
@@ -195,6 +196,18 @@ def test_plan_does_not_grow_with_the_dictionary(spark):
     assert size[200_000] < size[10] + 200
 
 
+def test_only_passing_ngrams_become_rows(spark):
+    """Of 60,000 n-grams without a hit next to none is written, and no hit is exchanged by its form."""
+    texts = [(k, " ".join(f"w{k}x{i}" for i in range(200)) + " a b c") for k in range(100)]
+    table = spark.createDataFrame([(p,) for p in ("a b c", "b", "z")], "phrase string")
+    before = set(session.files(spark, session.scratch_folder(spark)))
+    found = dictionary.tag_with(spark.createDataFrame([*texts, (None, "b"), (200, None)], "k long, text string"), "k", "text", table)
+    assert sorted(found.collect()) == [(k, "a b c") for k in range(100)]
+    new = set(session.files(spark, session.scratch_folder(spark))) - before
+    passed, = [f for f in new if f.startswith("passed-")]
+    assert 200 <= spark.read.parquet(f"{session.scratch_folder(spark)}/{passed}").count() < 500
+
+
 def test_no_phrases(spark):
     df = spark.createDataFrame([(1, "a b")], "k long, text string")
     assert dictionary.tag_with(df, "k", "text", spark.createDataFrame([], "phrase string")).count() == 0
