@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import HashingTF, Normalizer
@@ -371,14 +372,46 @@ def centers_of(df: DataFrame, vector: str) -> DataFrame:
     return df.groupBy("cluster_id").agg(vector_to_array(mean).alias("center"))
 
 
-def model_centers(model: KMeansModel, spark) -> DataFrame:
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return spark.createDataFrame(rows, "cluster_id int, center array<double>")
+def model_distance(df: DataFrame, vector: str, model: KMeansModel) -> DataFrame:
+    """Add the Euclidean distance of each row to the centre of its own cluster in a fitted model, without any exchange.
+
+    The centres are few and ride along. ``vector`` is a vector column; only the numbers that it holds leave the JVM.
+    """
+    held = df.sparkSession.sparkContext.broadcast(np.array([np.asarray(c, float) for c in model.clusterCenters()]))
+
+    @F.arrow_udf("double")
+    def far(points: pa.Array, clusters: pa.Array) -> pa.Array:
+        centers, out = held.value, np.empty(len(points))
+        own = clusters.to_numpy(zero_copy_only=False)
+        dense = points.field("type").to_numpy(zero_copy_only=False) == 1
+        indices, values = (pc.list_flatten(points.field(name)).to_numpy(zero_copy_only=False) for name in ("indices", "values"))
+        placed, valued = (pc.fill_null(pc.list_value_length(points.field(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                          for name in ("indices", "values"))
+        place_ends, value_ends = np.cumsum(placed), np.cumsum(valued)
+        width = centers.shape[1]
+        for first in range(0, len(points), 256):
+            last = min(first + 256, len(points))
+            off = -centers[own[first:last]]
+            for row in np.flatnonzero(dense[first:last]):
+                off[row] += values[value_ends[first + row] - width:value_ends[first + row]]
+            rows = np.flatnonzero(~dense[first:last])
+            if len(rows):
+                at = np.repeat(rows, placed[first + rows])
+                mine = np.repeat(~dense[first:last], valued[first:last])
+                off[at, indices[place_ends[first] - placed[first]:place_ends[last - 1]]] += values[
+                    value_ends[first] - valued[first]:value_ends[last - 1]][mine]
+            out[first:last] = np.sqrt(np.einsum("ij,ij->i", off, off))
+        return pa.array(out)
+
+    return df.withColumn("distance", far(F.unwrap_udt(vector), F.col("cluster_id")))
 
 
 def with_center_distance(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
-    """Add the Euclidean distance of each row to the centre of its own cluster."""
-    measured = df.join(centers.select("cluster_id", "center"), "cluster_id")
+    """Add the Euclidean distance of each row to the centre of its own cluster.
+
+    The centres are written first, so that Spark sees how few they are and does not exchange the rows by cluster.
+    """
+    measured = df.join(stage(centers.select("cluster_id", "center"), "centers"), "cluster_id")
     point = F.col(vector).cast("array<double>")
     return measured.withColumn("distance", distance(point, F.col("center"))).drop("center")
 
@@ -403,8 +436,11 @@ def categorical_distance(clustered: DataFrame) -> DataFrame:
 
 
 def join_pairs(jobs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Give each job the columns of its (category, company) pair."""
-    renamed = pairs.withColumnsRenamed({"category_label": "_category", "company_name": "_company"})
+    """Give each job the columns of its (category, company) pair.
+
+    The pairs are written first, so that Spark sees their size and exchanges no jobs by pair if they are few.
+    """
+    renamed = stage(pairs, "pair-columns").withColumnsRenamed({"category_label": "_category", "company_name": "_company"})
     same = (F.col("category_label") == F.col("_category")) & F.col("company_name").eqNullSafe(
         F.col("_company"))
     return jobs.join(renamed, same).drop("_category", "_company")

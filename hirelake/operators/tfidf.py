@@ -33,17 +33,9 @@ def default_stop_words() -> list[str]:
 
 def term_statistics(df: DataFrame, words: str) -> DataFrame:
     """Corpus count (tf) and document count (df) per term, in one scan and one partial sum."""
-    every = F.transform(
-        words, lambda w: F.struct(w.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))
-    )
-    once = F.transform(
-        F.array_distinct(words),
-        lambda w: F.struct(w.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
-    )
-    return (
-        df.select(F.inline(F.concat(every, once))).groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
-    )
+    every = df.select(F.size(words).alias("_size"), F.posexplode(F.concat(words, F.array_distinct(words))).alias("_at", "term"))
+    own = F.col("_at") < F.col("_size")  # behind the words of a row are its distinct ones
+    return every.groupBy("term").agg(F.count(F.when(own, 1)).alias("tf"), F.count(F.when(~own, 1)).alias("df"))
 
 
 def vocabulary(df: DataFrame, words: str, max_terms: int = 500) -> Vocabulary:

@@ -44,7 +44,6 @@ def cluster_jobs(
     jobs without one are then left out. ``names`` (cluster_id, cluster_name) can
     override the generated cluster names.
     """
-    spark = jobs.sparkSession
     now = now if now is not None else F.current_timestamp()
     day = day if day is not None else now
     wanted = ["job_id", "title", "description", "category_label", "company_name",
@@ -75,9 +74,7 @@ def cluster_jobs(
     winner, _ = c.choose_model(text_score, pair_score)
     scores = {"Embeddings": text_score, "Categorical": pair_score}
     if winner == "Embeddings":
-        points = by_text.withColumn("_point", vector_to_array("vector"))
-        centers = c.model_centers(text_model, spark)
-        members = c.with_center_distance(points, "_point", centers).drop("_point")
+        members = c.model_distance(by_text, "vector", text_model)
     else:
         members = c.join_pairs(base, c.categorical_distance(pair_clusters))
     members = stage(members.drop("vector"), "members")

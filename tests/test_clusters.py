@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from hirelake import schemas
@@ -221,6 +222,45 @@ def test_nearest_members(spark, rows):
         (0, 1, 1), (0, 2, 2), (1, 1, 3)]
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_center_distances_exchange_no_rows(spark):
+    """Neither by the model, for sparse and dense vectors and an empty batch, nor by a table of centres."""
+    draw = random.Random(5)
+    points = [[draw.choice([0.0, 0.0, draw.random()]) for _ in range(7)] for _ in range(600)]
+    rows = [(i, Vectors.dense(p) if i % 3 else Vectors.sparse(7, [(k, x) for k, x in enumerate(p) if x])) for i, p in enumerate(points)]
+    df = stage(spark.createDataFrame(rows, ["i", "v"]).repartition(2), "points")
+    model = clustering.fit_kmeans(df, "v", 4)
+    clustered = stage(model.transform(df), "clustered")
+    by_model = clustering.model_distance(clustered, "v", model)
+    assert "Exchange" not in _plan(by_model)
+    for r in by_model.collect():
+        assert r.distance == pytest.approx(math.dist(points[r.i], model.clusterCenters()[r.cluster_id]), abs=1e-12)
+    assert clustering.model_distance(clustered.filter("i < 0"), "v", model).count() == 0
+    listed = clustered.select("i", "cluster_id", vector_to_array("v").alias("a"))
+    by_table = clustering.with_center_distance(listed, "a", clustering.centers_of(listed, "a"))
+    assert "hashpartitioning" not in _plan(by_table)
+    same = by_table.select("i", F.col("distance").alias("d")).join(by_model, "i").filter("abs(d - distance) > 1e-9")
+    assert by_table.count() == 600 and same.count() == 0
+
+
+def test_few_pairs_exchange_no_jobs(spark, rows):
+    jobs = stage(spark.createDataFrame(
+        [(1, "a", "p"), (2, "a", None), (3, "b", "p"), (4, "a", "p")], "i int, category_label string, company_name string"), "jobs")
+    pairs = clustering.categorical_pairs(jobs).withColumn("cluster_id", F.col("jobs").cast("int"))
+    joined = clustering.join_pairs(jobs, pairs)
+    assert "hashpartitioning" not in _plan(joined)
+    assert rows(joined, "i", "cluster_id") == [(1, 2), (2, 1), (3, 1), (4, 2)]
+
+
+def test_term_statistics(spark, rows):
+    df = spark.createDataFrame([(["a", "b", "a"],), (["b"],), ([],), (None,), (["c", None, "c"],)], "words array<string>")
+    stats = tfidf.term_statistics(df, "words")
+    assert rows(stats, "term", "tf", "df") == sorted([("a", 2, 1), ("b", 2, 2), ("c", 2, 1), (None, 1, 1)], key=repr)
+
+
 def test_one_term_names_a_cluster(spark):
     keywords = spark.createDataFrame([(0, 1, "sql")], "cluster_id int, rank int, term string")
     assert clustering.cluster_names(keywords).first().cluster_name == "Cluster_sql"
