@@ -23,6 +23,8 @@ from hirelake.llm.scan import KeyTable, mix, slices, text_bytes, tool
 UNKNOWN = "und"
 #: Trigram vectors kept per Python worker (2 KB each at 512 dimensions) before the table is emptied.
 KEPT_TRIGRAMS = 50_000
+#: Bytes of text looked at at once; each takes some 100 bytes of numbers.
+SLICE_BYTES = 1 << 18
 
 
 class Profiles(NamedTuple):
@@ -84,7 +86,7 @@ class TrigramVectors:
         """
         data, offsets = text_bytes(texts)
         out = np.zeros((len(texts), self.dimensions))
-        for first, bounds, part in slices(data, offsets):
+        for first, bounds, part in slices(data, offsets, SLICE_BYTES):
             codes = np.frombuffer(part.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
             begins = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])[bounds]
             symbols = self._symbols(codes)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from hirelake.llm.arrow import map_texts, text_of
 from hirelake.llm.components import UnionFind, components
-from hirelake.llm.scan import ASCII_WHITE, ascii_white_mask, fingerprints, mix, runs, slices, text_bytes
+from hirelake.llm.scan import ASCII_WHITE, ascii_white_mask, fingerprints, mix, no_tool, runs, slices, text_bytes
 from hirelake.session import stage
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -137,6 +137,7 @@ def sketch(df: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str = "t
     """``doc_id``, ``n_shingles``, ``content`` (a 128-bit digest of the words; null without words) and ``bands`` of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_tool()
         for batch in batches:
             words = word_prints(batch.column(1))
             sets = [_shingles(x, plan.words) for x in words]
@@ -155,6 +156,7 @@ def shingle_sets(df: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: st
     """``doc_id`` and ``shingles`` (ascending 64-bit numbers) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_tool()
         for batch in batches:
             sets = [_shingles(x, plan.words).astype(np.int64) for x in word_prints(batch.column(1))]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
@@ -209,6 +211,7 @@ def _settle_sorted(plan: Plan):
     """Links between groups in each run of rows with one bucket, block and slice: first the strays of the block, then the slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_tool()
         now, strays, held = None, [], None
         for batch in batches:
             found = []

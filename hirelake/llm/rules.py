@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.llm.arrow import map_texts, with_texts
-from hirelake.llm.scan import ASCII_WHITE, ascii_white_mask, fingerprints, mix, runs, slices, text_bytes
+from hirelake.llm.scan import ASCII_WHITE, ascii_white_mask, fingerprints, mix, no_tool, runs, slices, text_bytes
 from hirelake.session import stage
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
@@ -143,6 +143,7 @@ def measure(df: DataFrame, text_col: str = "text", host: str | None = None, **ke
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_tool()
         for batch in batches:
             found = measure_texts(texts(batch))
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(through)], *(pa.array(column) for column in found.T)],

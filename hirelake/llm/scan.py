@@ -174,6 +174,11 @@ def tool(key: tuple, build: Callable[[], object]) -> object:
     return _tool[1]
 
 
+def no_tool() -> None:
+    """Let go what :func:`tool` kept: for tasks of operators without a tool, which may follow one that has in the same worker."""
+    _tool[:] = [None, None]
+
+
 class KeyTable:
     """Numbers of 64-bit keys: an open-addressed hash table whose operations take arrays."""
 

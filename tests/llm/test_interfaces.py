@@ -366,3 +366,39 @@ def test_pipeline_is_its_operators(spark):
     assert ids(corpus_pipeline.no_near_duplicates(spark, docs, REAL)) == ids(minhash.near_duplicates(docs, minhash.Plan(words=5)).where("kept"))
     packed = corpus_pipeline.run(spark, REAL)
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
+
+
+def test_workers_let_go_of_the_last_tool(spark, monkeypatch):
+    """A worker that served a tokenizer or trigrams keeps none of their tables while it sketches, verifies or measures texts."""
+    caught = []
+    for module in (minhash, rules):
+        monkeypatch.setattr(module, "map_texts", lambda df, columns, schema, function: caught.append(function))
+    docs = texts_of(spark, ["a b c"])
+    minhash.sketch(docs, minhash.Plan())
+    minhash.shingle_sets(docs, minhash.Plan())
+    rules.measure(docs, doc_id=F.col("doc_id"))
+    batch = pa.record_batch([pa.array([0]), pa.array(["x"]), pa.array(["a b c"])], ["doc_id", "host", "text"])
+    plain = batch.select(["doc_id", "text"])
+    for function, rows in zip([*caught, minhash._settle_sorted(minhash.Plan())], [[plain], [plain], [batch], []]):
+        scan.tool(("test",), lambda: bytearray(10))
+        list(function(iter(rows)))
+        assert scan._tool == [None, None]
+
+
+def test_language_looks_at_short_slices(monkeypatch):
+    """The numbers made from a slice stay far below a worker's memory, and the vectors do not depend on where texts are cut."""
+    import tracemalloc
+
+    from hirelake.llm.language import TrigramVectors
+
+    texts = pa.array(["The rain in Spain, 日本 и дождь. " * 30_000, *["no more rain today "] * 50, None, ""])
+    vectors = TrigramVectors(64, 7)
+    whole = vectors.texts(texts)
+    tracemalloc.start()
+    try:
+        assert (vectors.texts(texts) == whole).all()
+        assert tracemalloc.get_traced_memory()[1] < 45 << 20
+    finally:
+        tracemalloc.stop()
+    monkeypatch.setattr("hirelake.llm.language.SLICE_BYTES", 100)
+    assert (vectors.texts(texts) == whole).all()
